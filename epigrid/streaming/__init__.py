@@ -1,0 +1 @@
+"""No streaming operator exists in the workload this package covers, so none is provided."""
