@@ -57,22 +57,33 @@ def ring_contains(ring: Column, x: Column, y: Column) -> Column:
 
 def ring_area(ring: Column) -> Column:
     """Area in square degrees (shoelace, relative to the first vertex)."""
-    return F.abs(_moments(ring)["a2"]) / F.lit(2.0)
+    return let(ring, lambda r: F.abs(_moments(r)["a2"]) / F.lit(2.0))
 
 
 def ring_centroid(ring: Column) -> Column:
     """Area-weighted centroid as struct<x, y>."""
-    m = _moments(ring)
-    first = F.element_at(ring, 1)
-    return F.struct(
-        (first["x"] + m["mx"] / (F.lit(3.0) * m["a2"])).alias("x"),
-        (first["y"] + m["my"] / (F.lit(3.0) * m["a2"])).alias("y"),
-    )
+
+    def place(r):
+        first = F.element_at(r, 1)
+        return let(
+            _moments(r),
+            lambda m: F.struct(
+                (first["x"] + m["mx"] / (F.lit(3.0) * m["a2"])).alias("x"),
+                (first["y"] + m["my"] / (F.lit(3.0) * m["a2"])).alias("y"),
+            ),
+        )
+
+    return let(ring, place)
+
+
+def let(value: Column, use) -> Column:
+    """`use(value)` with the value computed once, however often it is named in the result."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _moments(ring: Column) -> Column:
-    first = F.element_at(ring, 1)
     zero = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+    first = F.element_at(ring, 1)
 
     def step(acc, e):
         ax, ay = e["a"]["x"] - first["x"], e["a"]["y"] - first["y"]
@@ -89,11 +100,8 @@ def _moments(ring: Column) -> Column:
 
 def number_text(value: Column) -> Column:
     """Coordinate as text with nine decimals, rounded half up."""
-    billion = F.lit(1_000_000_000).cast("bigint")
-    units = F.floor(F.abs(value) * F.lit(1e9) + F.lit(0.5)).cast("bigint")
-    sign = F.when((value < 0) & (units > 0), F.lit("-")).otherwise(F.lit(""))
-    whole = F.floor(units / billion).cast("bigint")
-    return F.concat(sign, whole.cast("string"), F.lit("."), F.lpad((units % billion).cast("string"), 9, "0"))
+    units = F.floor(value * F.lit(1e9) + F.lit(0.5)).cast("decimal(19,0)")
+    return (units * F.lit("0.000000001").cast("decimal(10,9)")).cast("string")
 
 
 def point_wkt(lon: Column, lat: Column) -> Column:

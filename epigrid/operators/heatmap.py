@@ -12,7 +12,6 @@ from epigrid.functions.geohash import (
     bit_counts,
     cell_box,
     cell_index,
-    cell_key,
     cell_text,
     index_box,
     index_key,
@@ -38,17 +37,17 @@ def with_cells(cases: DataFrame, precisions: tuple[int, ...] = (5, 6, 7)) -> Dat
 def with_key(cases: DataFrame, precision: int) -> DataFrame:
     """Add the cell key as `_cell`; rows without coordinates have no cell and are left out."""
     located = cases.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
-    return located.withColumn("_cell", cell_key(F.col("lon"), F.col("lat"), precision))
+    ix, iy = cell_index(F.col("lon"), F.col("lat"), precision)
+    # Two projections: the indexes are computed once and then read bit by bit.
+    indexed = located.withColumns({"_ix": ix, "_iy": iy})
+    return indexed.withColumn("_cell", index_key(F.col("_ix"), F.col("_iy"), precision)).drop("_ix", "_iy")
 
 
-def cell_wkt(key: Column, precision: int) -> Column:
-    box = cell_box(key, precision)
-    return ring_wkt(box_ring(box["x0"], box["y0"], box["x1"], box["y1"]))
-
-
-def cell_ring(key: Column, precision: int) -> Column:
-    box = cell_box(key, precision)
-    return box_ring(box["x0"], box["y0"], box["x1"], box["y1"])
+def cell_rings(df: DataFrame, precision: int) -> DataFrame:
+    """Add the rectangle of the key `_cell` as `ring`."""
+    corners = ("x0", "y0", "x1", "y1")
+    boxed = df.withColumns({f"_{c}": column for c, column in cell_box(F.col("_cell"), precision).items()})
+    return boxed.withColumn("ring", box_ring(*[F.col(f"_{c}") for c in corners])).drop(*[f"_{c}" for c in corners])
 
 
 def cell_heatmap(
@@ -230,5 +229,5 @@ def _with_month(cases: DataFrame) -> DataFrame:
 def _name_cells(df: DataFrame, precision: int, polygons: bool) -> DataFrame:
     named = df.withColumn("cell_id", cell_text(F.col("_cell"), precision))
     if polygons:
-        named = named.withColumn("cell_polygon_wkt", cell_wkt(F.col("_cell"), precision))
+        named = cell_rings(named, precision).withColumn("cell_polygon_wkt", ring_wkt(F.col("ring"))).drop("ring")
     return named.drop("_cell")

@@ -290,10 +290,9 @@ def cell_features(t: Inputs) -> DataFrame:
 
 
 def layer_extents(t: Inputs) -> DataFrame:
-    cells = heatmap.cell_heatmap(t.cases, polygons=True).select("cell_polygon_wkt")
-    rings = features.polygon_features(cells, "cell_polygon_wkt")
+    cells = heatmap.with_key(t.cases, 6).select("_cell").distinct()
     layers = {
-        "cells": features.ring_extent(rings),
+        "cells": features.ring_extent(heatmap.cell_rings(cells, 6)),
         "hospitals": features.extent(t.hospitals, F.col("lon"), F.col("lat")),
         "schools": features.extent(t.schools, F.col("lon"), F.col("lat")),
     }

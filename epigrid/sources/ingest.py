@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from epigrid.functions.rings import box_ring, ring_wkt
+from epigrid.functions.rings import box_ring, let, ring_wkt
 from epigrid.sources import fixture, schemas
 
 _NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
@@ -24,15 +24,21 @@ def point_from_wkt(wkt: Column) -> dict[str, Column]:
 
 def ring_from_wkt(wkt: Column) -> Column:
     """Outer ring of a single-ring polygon text, NULL where the text is not one closed ring."""
-    vertices = F.split(F.regexp_extract(wkt, _POLYGON, 1), ",")
-    parts = F.transform(vertices, lambda v: F.split(F.trim(v), r"\s+"))
-    ring = F.transform(
-        parts,
-        lambda p: F.struct(F.element_at(p, 1).cast("double").alias("x"), F.element_at(p, 2).cast("double").alias("y")),
-    )
-    good = F.forall(vertices, lambda v: F.rlike(v, F.lit(_VERTEX))) & (F.size(vertices) >= 4)
-    closed = F.trim(F.element_at(vertices, 1)) == F.trim(F.element_at(vertices, -1))
-    return F.when(good & closed, ring)
+
+    def vertex(text):
+        return let(
+            F.split(F.trim(text), r"\s+"),
+            lambda p: F.struct(
+                F.element_at(p, 1).cast("double").alias("x"), F.element_at(p, 2).cast("double").alias("y")
+            ),
+        )
+
+    def parse(vertices):
+        good = F.forall(vertices, lambda v: F.rlike(v, F.lit(_VERTEX))) & (F.size(vertices) >= 4)
+        ring = F.when(good, F.transform(vertices, vertex))
+        return let(ring, lambda r: F.when(F.element_at(r, 1) == F.element_at(r, -1), r))
+
+    return let(F.split(F.regexp_extract(wkt, _POLYGON, 1), ","), parse)
 
 
 def ingest_wkt(df: DataFrame, wkt: str, kind: str = "point") -> tuple[DataFrame, DataFrame]:
