@@ -124,16 +124,10 @@ def _thin_step(placed: DataFrame, crowded: DataFrame, cell: list[str], side: flo
         (dx, dy, covered_edges((dx - 1) * side, (dy - 1) * side, (dx + 1) * side, (dy + 1) * side))
         for dx, dy in neighbours(THIN_REACH)
     ]
-    offsets = F.array(
-        *[
-            F.struct(
-                F.lit(dx).cast("bigint").alias("dx"),
-                F.lit(dy).cast("bigint").alias("dy"),
-                F.lit(mask).cast("bigint").alias("mask"),
-            )
-            for dx, dy, mask in table
-            if mask
-        ]
+    offsets = F.expr(
+        "array("
+        + ", ".join(f"named_struct('dx', {dx}L, 'dy', {dy}L, 'mask', {mask}L)" for dx, dy, mask in table if mask)
+        + ")"
     )
     # Every crowded cell reports to the cells that it covers; `bit_or` is combined before the shuffle.
     reports = (
@@ -352,7 +346,7 @@ def _move_table() -> tuple[int, ...]:
 
 def _move_masks() -> Column:
     """Edges hidden by a neighbour, for each square of displacements, column by column."""
-    return F.lit(list(_move_table())).cast("array<bigint>")
+    return F.expr("array(" + ", ".join(f"{mask}L" for mask in _move_table()) + ")")
 
 
 def _half_chord(height: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from epigrid.functions.geo import dist_deg, round_half_up, to_degrees, to_metres
 from epigrid.functions.rings import number_text, point_wkt, ring_area, ring_centroid, ring_wkt
 from epigrid.operators import features, heatmap, proximity, regions, scoring, zones
+from epigrid.plans import batch
 from epigrid.session import tune
 from epigrid.sources import binding, ingest, tables
 
@@ -206,22 +207,8 @@ def report_readback(t: Inputs) -> DataFrame:
 
 
 def cells_in_red_zones(t: Inputs) -> DataFrame:
-    radius = to_degrees(F.lit(500.0))
-    touched = heatmap.touched_cells(t.located, radius, ["region_name"])
-    red = zones.tiers_of(t.located.select("region_name", "lon", "lat"), zones.RISK_TIERS[:1])
-    areas = zones.union_area(red, ["region_name"]).select(
-        "region_name", round_half_up(F.col("area_deg2") * F.lit(zones.SQKM_PER_SQDEG), 3).alias("risk_zone_area")
-    )
-    density = F.lit(100.0) * F.col("cell_cases") / F.nullif(F.col("risk_zone_area"), F.lit(0.0))
-    report = heatmap.monthly_cells(t.cases, polygons=False).select(
-        "report_month", "cell_id", F.col("case_count").alias("cell_cases")
-    )
-    return (
-        heatmap.overlap_join(report, touched)
-        .join(areas, "region_name")
-        .withColumn("risk_tier", F.lit("RED"))
-        .withColumn("cases_per_sq_km", round_half_up(density, 2))
-    )
+    touched = heatmap.touched_cells(t.located, to_degrees(F.lit(500.0)), ["region_name"])
+    return batch.red_zone_overlay(heatmap.monthly_cells(t.cases, polygons=False), touched, batch.red_zones(t.located))
 
 
 def region_resolutions(t: Inputs) -> DataFrame:

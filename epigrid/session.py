@@ -6,9 +6,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "epigrid") -> SparkSession:
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, app: str = "epigrid", settings: dict[str, str] | None = None
+) -> SparkSession:
     """Session for tests and the local bench; on a cluster the caller brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -16,8 +18,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "epi
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def tune(spark: SparkSession) -> SparkSession:

@@ -57,63 +57,65 @@ def crossing(a, b, c, d):
     return a[1] + s * uy if 0 <= s <= 1 and 0 <= t <= 1 else None
 
 
-def merged(spark, centres, steps=zones.THIN_STEPS, radius=1000):
-    df = spark.createDataFrame([("g", radius, x, y) for x, y in centres], "g string, radius_meters int, lon double, lat double")
-    return zones.union_area(df, ["g"], steps).first()["area_deg2"]
+def merged(spark, groups, steps=zones.THIN_STEPS):
+    """Merged area per named group of centres."""
+    data = [(name, 1000, x, y) for name, centres in groups.items() for x, y in centres]
+    df = spark.createDataFrame(data, "g string, radius_meters int, lon double, lat double")
+    return {r["g"]: r["area_deg2"] for r in zones.union_area(df, ["g"], steps).collect()}
 
 
-def test_slab_area_of_one_buffer():
-    assert slab_area([(100.0, 13.0)], R) == pytest.approx(R * R * UNIT_AREA, rel=1e-9)
+def scattered(seed, count, spread):
+    rng = random.Random(seed)
+    return [(100 + rng.uniform(0, spread * R), 13 + rng.uniform(0, spread * R)) for _ in range(count)]
 
 
-def test_single_and_coincident(spark):
-    assert merged(spark, [(100.0, 13.0)] * 3) == pytest.approx(R * R * UNIT_AREA, rel=1e-9)
+def test_slab_area_of_one_buffer():
+    assert slab_area([(100.0, 13.0)], R) == pytest.approx(R * R * UNIT_AREA, rel=1e-9)
 
 
-def test_apart_touching_and_along_an_edge(spark):
-    one = R * R * UNIT_AREA
-    assert merged(spark, [(100.0, 13.0), (100.0 + 3 * R, 13.0)]) == pytest.approx(2 * one, rel=1e-9)
+def test_against_slabs(spark):
     turn = math.pi / SIDES
     back = 2 * R * math.cos(turn)
-    touching = [(100.0, 13.0), (100.0 + back * math.cos(turn), 13.0 + back * math.sin(turn))]
-    assert merged(spark, touching) == pytest.approx(2 * one, rel=1e-6)
+    groups = {
+        "one": [(100.0, 13.0)],
+        "same": [(100.0, 13.0)] * 3,
+        "apart": [(100.0, 13.0), (100.0 + 3 * R, 13.0)],
+        "touching": [(100.0, 13.0), (100.0 + back * math.cos(turn), 13.0 + back * math.sin(turn))],
+        "ring with a hole": [
+            (100 + 2 * R * math.cos(i * math.pi / 8), 13 + 2 * R * math.sin(i * math.pi / 8)) for i in range(16)
+        ],
+        "few": scattered(1, 12, 2.0),
+        "wide": scattered(2, 25, 4.0),
+        "dense": scattered(3, 40, 1.0),
+    }
     for share in (0.1, 0.7, 3.0):
         along = share * R * math.sin(turn)
-        pair = [(100.0, 13.0), (100.0 - along * math.sin(turn), 13.0 + along * math.cos(turn))]
-        assert merged(spark, pair) == pytest.approx(slab_area(pair, R), rel=1e-7)
+        groups[f"along an edge {share}"] = [
+            (100.0, 13.0), (100.0 - along * math.sin(turn), 13.0 + along * math.cos(turn)),
+        ]
+    found = merged(spark, groups)
+    for name, centres in groups.items():
+        assert found[name] == pytest.approx(slab_area(centres, R), rel=1e-6), name
 
 
-@pytest.mark.parametrize("seed,count,spread", [(1, 12, 2.0), (2, 25, 4.0), (3, 40, 1.0)])
-def test_random_groups(spark, seed, count, spread):
-    rng = random.Random(seed)
-    centres = [(100 + rng.uniform(0, spread * R), 13 + rng.uniform(0, spread * R)) for _ in range(count)]
-    assert merged(spark, centres) == pytest.approx(slab_area(centres, R), rel=1e-7)
-
-
-def test_ring_with_a_hole(spark):
-    centres = [(100 + 2 * R * math.cos(i * math.pi / 8), 13 + 2 * R * math.sin(i * math.pi / 8)) for i in range(16)]
-    assert merged(spark, centres) == pytest.approx(slab_area(centres, R), rel=1e-7)
-
-
-@pytest.mark.parametrize("spread,count", [(0.05, 4000), (3.0, 20000), (0.6, 6000)])
-def test_thinning_keeps_the_union(spark, spread, count):
-    rng = random.Random(count)
-    centres = [(100 + rng.uniform(0, spread * R), 13 + rng.uniform(0, spread * R)) for _ in range(count)]
-    assert merged(spark, centres) == pytest.approx(merged(spark, centres, steps=0), rel=1e-9)
+def test_thinning_keeps_the_union(spark):
+    groups = {"wide": scattered(5, 2500, 2.0), "mid": scattered(6, 800, 0.6)}
+    thinned, plain = merged(spark, groups), merged(spark, groups, steps=0)
+    assert thinned == pytest.approx(plain, rel=1e-9)
 
 
 def test_thinning_bounds_a_hot_spot(spark):
-    """Half of all centres in one small place: what is left after thinning does not grow with them."""
-    rng = random.Random(5)
-    left = []
-    for count in (5000, 40000):
-        hot = [(100 + rng.uniform(0, 4 * R), 13 + rng.uniform(0, 4 * R)) for _ in range(count)]
-        df = spark.createDataFrame([("g", 1000, x, y) for x, y in hot], "g string, radius_meters int, lon double, lat double")
-        centres = df.withColumns(
-            {"_id": F.monotonically_increasing_id(), "_r": F.lit(R), "_hidden": F.lit(0).cast("bigint")}
-        )
-        left.append(zones.thin(centres, ["g", "radius_meters"]).count())
-    assert left[1] < 40000 / 4 and left[1] < 3 * left[0]
+    """400,000 centres in a place two radii wide: representatives, a thin rim and uncrowded cells are left."""
+    centres = spark.range(400_000).select(
+        F.lit("g").alias("g"),
+        F.lit(1000).alias("radius_meters"),
+        (F.lit(100.0) + F.rand(1) * F.lit(2 * R)).alias("lon"),
+        (F.lit(13.0) + F.rand(2) * F.lit(2 * R)).alias("lat"),
+        F.col("id").alias("_id"),
+        F.lit(R).alias("_r"),
+        F.lit(0).cast("bigint").alias("_hidden"),
+    )
+    assert zones.thin(centres, ["g", "radius_meters"]).count() < 100_000
 
 
 def test_outline_closes(located):
