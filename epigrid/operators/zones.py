@@ -151,17 +151,11 @@ def _thin_step(placed: DataFrame, crowded: DataFrame, cell: list[str], side: flo
     )
 
 
-def free_edges(cases: DataFrame, group: list[str], steps: int = THIN_STEPS) -> DataFrame:
-    """The outline of each zone's merged buffers, one row per edge with a free piece.
-
-    A zone is a value of `group` and `radius_meters`. Columns: the zone, `_r` (its radius in degrees), the centre `lon`,
-    `lat` with its `_id`, the edge number `k`, and the free piece from `t0` to `t1`, measured along the edge from its
-    middle in radii.
-    """
-    zone = [*group, "radius_meters"]
+def distinct_centres(cases: DataFrame, group: list[str]) -> DataFrame:
+    """The distinct places of each zone (a value of `group` and `radius_meters`), stored so that their ids are fixed."""
     centres = (
         cases.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
-        .select(*zone, "lon", "lat")
+        .select(*group, "radius_meters", "lon", "lat")
         .distinct()
         .withColumns(
             {
@@ -171,8 +165,17 @@ def free_edges(cases: DataFrame, group: list[str], steps: int = THIN_STEPS) -> D
             }
         )
     )
-    # Stored, so that the ids are fixed.
-    left = thin(cut_lineage(centres, "centres"), zone, steps)
+    return cut_lineage(centres, "centres")
+
+
+def free_edges(centres: DataFrame, group: list[str], steps: int = THIN_STEPS) -> DataFrame:
+    """The outline of each zone's merged buffers, one row per edge with a free piece.
+
+    Columns: the zone, `_r` (its radius in degrees), the centre `lon`, `lat` with its `_id`, the edge number `k`, and the
+    free piece from `t0` to `t1`, measured along the edge from its middle in radii.
+    """
+    zone = [*group, "radius_meters"]
+    left = thin(centres, zone, steps)
     # An edge and a buffer can only meet if the edge's middle and the buffer's centre are this close, in radii.
     width = F.col("_r") * F.lit((1 + HALF_SIDE) * (1 + 1e-9))
     covers = (
@@ -255,7 +258,7 @@ def edge_normal() -> tuple[Column, Column]:
 
 def outline(cases: DataFrame, group: list[str]) -> DataFrame:
     """The merged buffers' outline as pieces from (`from_x`, `from_y`) to (`to_x`, `to_y`), zone on the left."""
-    free = free_edges(cases, group)
+    free = free_edges(distinct_centres(cases, group), group)
     nx, ny = edge_normal()
     reach = F.col("_r") * F.lit(APOTHEM)
 
@@ -279,9 +282,10 @@ def outline(cases: DataFrame, group: list[str]) -> DataFrame:
 
 def union_area(cases: DataFrame, group: list[str], steps: int = THIN_STEPS) -> DataFrame:
     """Area in square degrees of each zone's merged buffers (`group` and `radius_meters`), as `area_deg2`."""
-    free = free_edges(cases, group, steps)
+    centres = distinct_centres(cases, group)
+    free = free_edges(centres, group, steps)
     # Coordinates relative to a corner of the group: the terms of the sum nearly cancel far from the origin.
-    corner = cases.groupBy(*group).agg(F.min("lon").alias("_x"), F.min("lat").alias("_y"))
+    corner = centres.groupBy(*group).agg(F.min("lon").alias("_x"), F.min("lat").alias("_y"))
     nx, ny = edge_normal()
     height = nx * (F.col("lon") - F.col("_x")) + ny * (F.col("lat") - F.col("_y")) + F.col("_r") * F.lit(APOTHEM)
     length = (F.col("t1") - F.col("t0")) * F.col("_r")
