@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from epigrid.constants import APOTHEM, HALF_SIDE, NORMALS, RISK_TIERS, SIDES, SQKM_PER_SQDEG, UNIT_AREA, VERTICES
 from epigrid.functions.geo import round_half_up, to_degrees
-from epigrid.functions.rings import buffer_ring
+from epigrid.functions.rings import buffer_ring, ring_wkt
 from epigrid.operators.joins import neighbours, offset_array
 from epigrid.session import cut_lineage
 
@@ -243,10 +243,19 @@ def free_edges(centres: DataFrame, group: list[str], steps: int = THIN_STEPS) ->
     hides = (F.col("_up") > F.lit(TOUCH)) | (F.col("_b") < F.col("_id"))
     low, high = F.col("_along") - F.col("_half"), F.col("_along") + F.col("_half")
     half = F.lit(HALF_SIDE)
-    free = met.groupBy(*own, "k").agg(
-        # The edge's own buffer is among those that it meets, so every edge has a row.
-        F.max(F.when(hides & (low <= -half) & (high > -half), F.least(high, half)).otherwise(-half)).alias("t0"),
-        F.min(F.when(hides & (high >= half) & (low < half), F.greatest(low, -half)).otherwise(half)).alias("t1"),
+    cut = met.withColumns(
+        {
+            "_t0": F.when(hides & (low <= -half) & (high > -half), F.least(high, half)).otherwise(-half),
+            "_t1": F.when(hides & (high >= half) & (low < half), F.greatest(low, -half)).otherwise(half),
+        }
+    )
+    # The edge's own buffer is among those that it meets, so every edge has a row. `_from` and `_to` are the buffers that
+    # the free piece comes out of and goes into; without one, the piece starts or ends at a corner of its own buffer.
+    free = cut.groupBy(*own, "k").agg(
+        F.max("_t0").alias("t0"),
+        F.min("_t1").alias("t1"),
+        F.max_by("_b", "_t0").alias("_from"),
+        F.min_by("_b", "_t1").alias("_to"),
     )
     return free.filter(F.col("t1") - F.col("t0") > F.lit(TOUCH))
 
@@ -258,7 +267,107 @@ def edge_normal() -> tuple[Column, Column]:
 
 def outline(cases: DataFrame, group: list[str]) -> DataFrame:
     """The merged buffers' outline as pieces from (`from_x`, `from_y`) to (`to_x`, `to_y`), zone on the left."""
+    return _piece_ends(free_edges(distinct_centres(cases, group), group), [*group, "radius_meters", "lon", "lat", "k"])
+
+
+def rings(cases: DataFrame, group: list[str]) -> DataFrame:
+    """The outline as closed rings: the zone, `ring`, the position `seq` in it and the vertex `x`, `y`.
+
+    Every piece knows its follower: the next edge of the same buffer, or the piece with which the buffer that it runs
+    into comes out again (two copies of one convex shape cross twice, so there is one). Following is done by doubling:
+    each round joins every piece with the one that it points to and doubles the distance, and carries the smallest piece
+    number seen and how far away it is. The rounds end when no number changes; there are about log2 of the longest
+    ring. Pieces spread evenly over the tasks whatever the size of a zone or ring.
+    """
+    zone = [*group, "radius_meters"]
     free = free_edges(distinct_centres(cases, group), group)
+    half = F.lit(HALF_SIDE)
+    corner_start, corner_end = F.col("t0") <= -half, F.col("t1") >= half
+    next_edge = (F.col("k") + F.lit(1)) % F.lit(SIDES)
+
+    def at_corner(edge: Column) -> Column:
+        return (-edge - F.lit(1)).cast("bigint")
+
+    pieces = _piece_ends(
+        free.withColumns(
+            {
+                "_piece": F.col("_id") * F.lit(SIDES) + F.col("k"),
+                "_enter": F.when(corner_start, at_corner(F.col("k"))).otherwise(F.col("_from")),
+                "_owner": F.when(corner_end, F.col("_id")).otherwise(F.col("_to")),
+                "_leave": F.when(corner_end, at_corner(next_edge)).otherwise(F.col("_id")),
+            }
+        ),
+        [*zone, "_id", "_piece", "_enter", "_owner", "_leave"],
+    )
+    pieces = cut_lineage(pieces, "pieces")
+    entries = pieces.select(
+        F.col("_id").alias("_owner"), F.col("_enter").alias("_leave"), F.col("_piece").alias("_jump")
+    )
+    chain = pieces.join(entries, ["_owner", "_leave"]).select(
+        "_piece", "_jump", F.col("_piece").alias("_first"), F.lit(0).cast("bigint").alias("_steps"), F.lit(True).alias("_moved")
+    )
+    chain, span = cut_lineage(chain, "chain"), 1
+    while not chain.filter("_moved").isEmpty():
+        ahead = chain.select(
+            F.col("_piece").alias("_jump"),
+            F.col("_jump").alias("_far"),
+            F.col("_first").alias("_first2"),
+            F.col("_steps").alias("_steps2"),
+        )
+        lower = F.col("_first2") < F.col("_first")
+        chain = cut_lineage(
+            chain.join(ahead, "_jump").select(
+                "_piece",
+                F.col("_far").alias("_jump"),
+                F.least("_first", "_first2").alias("_first"),
+                F.when(lower, F.col("_steps2") + F.lit(span)).otherwise(F.col("_steps")).alias("_steps"),
+                lower.alias("_moved"),
+            ),
+            "chain",
+        )
+        span *= 2
+    lost = pieces.count() - chain.count()
+    if lost:
+        # More than two buffers through one point to within rounding: say so instead of leaving pieces out.
+        raise ValueError(f"{lost} outline pieces have no follower")
+    # A piece that is n steps before the first one stands n places before the end.
+    return pieces.join(chain, "_piece").select(
+        *zone,
+        F.col("_first").alias("ring"),
+        F.when(F.col("_steps") == 0, F.lit(None)).otherwise(-F.col("_steps")).alias("seq"),
+        F.col("from_x").alias("x"),
+        F.col("from_y").alias("y"),
+        "to_x",
+        "to_y",
+    )
+
+
+def ring_summary(vertices: DataFrame, group: list[str]) -> DataFrame:
+    """Per ring: its vertices and its signed area in square degrees; a hole runs clockwise and has a negative area."""
+    origin = vertices.groupBy(*group, "radius_meters", "ring").agg(F.min("x").alias("_x"), F.min("y").alias("_y"))
+    cross = (F.col("x") - F.col("_x")) * (F.col("to_y") - F.col("_y")) - (F.col("to_x") - F.col("_x")) * (
+        F.col("y") - F.col("_y")
+    )
+    key = [*group, "radius_meters", "ring"]
+    return (
+        vertices.join(origin, key)
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("vertices"), (F.sum(cross) / F.lit(2.0)).alias("area_deg2"))
+    )
+
+
+def ring_texts(vertices: DataFrame, group: list[str]) -> DataFrame:
+    """Each ring as polygon text, for export. One text is one value, so one ring has to fit into a row here; the vertex
+    rows of `rings` have no such bound."""
+    corner = F.struct(F.col("seq"), F.col("x"), F.col("y"))
+    ordered = vertices.groupBy(*group, "radius_meters", "ring").agg(F.sort_array(F.collect_list(corner)).alias("_v"))
+    points = F.transform("_v", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")))
+    return ordered.withColumn("_v", F.concat(points, F.slice(points, 1, 1))).select(
+        *group, "radius_meters", "ring", ring_wkt(F.col("_v")).alias("wkt")
+    )
+
+
+def _piece_ends(free: DataFrame, columns: list[str]) -> DataFrame:
     nx, ny = edge_normal()
     reach = F.col("_r") * F.lit(APOTHEM)
 
@@ -268,11 +377,7 @@ def outline(cases: DataFrame, group: list[str]) -> DataFrame:
 
     (from_x, from_y), (to_x, to_y) = at("t0"), at("t1")
     return free.select(
-        *group,
-        "radius_meters",
-        "lon",
-        "lat",
-        "k",
+        *columns,
         from_x.alias("from_x"),
         from_y.alias("from_y"),
         to_x.alias("to_x"),

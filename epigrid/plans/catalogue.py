@@ -142,6 +142,24 @@ def merged_outline(t: Inputs) -> DataFrame:
     )
 
 
+def _red_rings(t: Inputs) -> DataFrame:
+    red = zones.tiers_of(t.located.select("region_name", "lon", "lat"), zones.RISK_TIERS[:1])
+    return zones.rings(red, ["region_name"])
+
+
+def merged_rings(t: Inputs) -> DataFrame:
+    """The closed rings of each region's merged RED zone, added up: vertices, and area with holes taken off."""
+    summary = zones.ring_summary(_red_rings(t), ["region_name"])
+    return summary.groupBy("region_name").agg(
+        F.sum("vertices").alias("vertices"),
+        round_half_up(F.sum("area_deg2") * F.lit(zones.SQKM_PER_SQDEG), 3).alias("area_sq_km"),
+    )
+
+
+def merged_wkt(t: Inputs) -> DataFrame:
+    return zones.ring_texts(_red_rings(t), ["region_name"]).select("region_name", "wkt")
+
+
 def merged_areas(t: Inputs) -> DataFrame:
     return zones.wide_areas(zones.risk_zones(t.located))
 
@@ -341,6 +359,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "q10_school_threat": school_threat,
     "q11_school_cumulative_tiers": school_cumulative_tiers,
     "q12_merged_outline": merged_outline,
+    "q12_merged_rings": merged_rings,
+    "q12_merged_wkt": merged_wkt,
     "q13_merged_areas": merged_areas,
     "q14_overlap_savings": overlap_savings,
     "q15_risk_zones": risk_zones,

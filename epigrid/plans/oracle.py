@@ -311,6 +311,12 @@ FROM cases, tiers"""
 FROM pieces""",
             *_outline(red),
         ),
+        "q12_merged_rings": _with(
+            f"""SELECT p.region_name, p.vertices, {_round("area", 3)} AS area_sq_km
+FROM (SELECT region_name, count(*) AS vertices FROM pieces GROUP BY region_name) p
+JOIN zones z ON p.region_name = z.region_name""",
+            *_areas(red),
+        ),
         "q13_merged_areas": _with(
             "SELECT region_name, max(case_count) AS total_cases, "
             + ", ".join(

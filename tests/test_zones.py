@@ -135,3 +135,30 @@ def test_merged_grows_with_radius(located):
 
 def test_tiers_from_a_table(small):
     assert zones.cross_tiers(small["cases"], small["risk_tiers"]).count() == 90
+
+
+def test_rings(spark):
+    """A ring of buffers has one outer ring and one hole; both close and their areas add up to the union."""
+    centres = [(100 + 2 * R * math.cos(i * math.pi / 8), 13 + 2 * R * math.sin(i * math.pi / 8)) for i in range(16)]
+    groups = {"hole": centres, "one": [(100.0, 13.0)], "two": [(100.0, 13.0), (100.0 + R, 13.0 + 0.3 * R)]}
+    data = [(name, 1000, x, y) for name, places in groups.items() for x, y in places]
+    df = spark.createDataFrame(data, "g string, radius_meters int, lon double, lat double")
+    vertices = zones.rings(df, ["g"])
+    summary = zones.ring_summary(vertices, ["g"]).collect()
+    signs = {name: sorted(r["area_deg2"] > 0 for r in summary if r["g"] == name) for name in groups}
+    assert signs == {"hole": [False, True], "one": [True], "two": [True]}
+    for name, places in groups.items():
+        total = sum(r["area_deg2"] for r in summary if r["g"] == name)
+        assert total == pytest.approx(slab_area(places, R), rel=1e-6)
+    by_ring = {}
+    for r in vertices.collect():
+        by_ring.setdefault((r["g"], r["ring"]), []).append((r["seq"] is not None, r["seq"] or 0, r["x"], r["y"], r["to_x"], r["to_y"]))
+    for points in by_ring.values():
+        points.sort()
+        for now, after in zip(points, points[1:] + points[:1]):
+            assert abs(now[4] - after[2]) < 1e-9 and abs(now[5] - after[3]) < 1e-9
+    texts = zones.ring_texts(vertices, ["g"]).collect()
+    assert len(texts) == 4 and all(t["wkt"].startswith("POLYGON((") for t in texts)
+    one = next(t["wkt"] for t in texts if t["g"] == "one")
+    corners = one[len("POLYGON((") : -2].split(", ")
+    assert len(corners) == SIDES + 1 and corners[0] == corners[-1]
