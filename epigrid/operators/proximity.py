@@ -1,14 +1,16 @@
 """Distance joins and nearest-facility search."""
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from epigrid import constants
 from epigrid.functions.geo import dist_deg
 from epigrid.operators.joins import at_most, cell_join, neighbours, offset_array, salted_join
 
-# Side of a search cell in `nearest_facility`, in degrees, and how often it is doubled (enough to span the globe).
+# Side of a search cell in `nearest_facility`, in degrees, and the widest cell, wide enough to span the globe.
 SEARCH_SIDE = 0.05
-SEARCH_LEVELS = 14
+WIDEST_CELL = 720.0
 
 
 def within_distance(
@@ -47,8 +49,9 @@ def within_distance(
     if how == "inner":
         return pairs
     if how == "left":
-        kept = [c for c in facilities.columns if c != facility_id]
-        return facilities.join(pairs.drop(*kept), facility_id, "left")
+        # Not an outer join on the facility: a facility with very many cases would be one task.
+        alone = facilities.join(pairs.select(facility_id).distinct(), facility_id, "left_anti")
+        return pairs.unionByName(alone, allowMissingColumns=True)
     raise ValueError(f"unknown join type {how!r}")
 
 
@@ -59,15 +62,22 @@ def nearest_to_point(facilities: DataFrame, lon: float, lat: float, k: int, faci
 
 
 def nearest_facility(
-    cases: DataFrame, facilities: DataFrame, facility_id: str = "id", case_id: str = "case_id"
+    cases: DataFrame,
+    facilities: DataFrame,
+    facility_id: str = "id",
+    case_id: str = "case_id",
+    cell_side: float = SEARCH_SIDE,
 ) -> DataFrame:
     """The nearest facility of every case, as `facility_id` and `dist_deg`; ties go to the lower id.
 
+    `cell_side` changes the work, not the answer: about the spacing of the facilities where they are dense is best.
+
     No case is compared with all facilities. The search runs on occupied grid cells, whose number does not grow with
     the cases in them: every cell finds how far out the first facility lies (doubling the cell side), lists the facility
     cells and then the facilities that can be nearest to some point in its box, and only then do the cases meet those.
     """
-    side = F.lit(SEARCH_SIDE)
+    side = F.lit(cell_side)
+    top = math.ceil(math.log2(WIDEST_CELL / cell_side))
     cell = {"_gx": F.floor(F.col("lon") / side), "_gy": F.floor(F.col("lat") / side)}
     cases = cases.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
     facilities = facilities.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
@@ -84,7 +94,7 @@ def nearest_facility(
     )
 
     # How far out: the first level at which the 3 x 3 cells around hold a facility.
-    levels = F.explode(F.sequence(F.lit(0), F.lit(SEARCH_LEVELS)))
+    levels = F.explode(F.sequence(F.lit(0), F.lit(top)))
     by_level = facility_cells.withColumn("_level", levels).withColumns(
         {"_lx": _coarser("_hx", "_level"), "_ly": _coarser("_hy", "_level")}
     )
@@ -105,7 +115,7 @@ def nearest_facility(
     # That facility is at most the diagonal of 2 x 2 cells away, so two levels up the 3 x 3 cells hold every candidate.
     search = (
         case_cells.join(found, ["_gx", "_gy"])
-        .withColumn("_level", F.least(F.col("_first") + F.lit(2), F.lit(SEARCH_LEVELS)))
+        .withColumn("_level", F.least(F.col("_first") + F.lit(2), F.lit(top)))
         .withColumn("_o", F.explode(offset_array(neighbours())))
         .withColumns(
             {

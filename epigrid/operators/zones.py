@@ -176,64 +176,75 @@ def free_edges(centres: DataFrame, group: list[str], steps: int = THIN_STEPS) ->
     """
     zone = [*group, "radius_meters"]
     left = thin(centres, zone, steps)
-    # An edge and a buffer can only meet if the edge's middle and the buffer's centre are this close, in radii.
-    width = F.col("_r") * F.lit((1 + HALF_SIDE) * (1 + 1e-9))
     covers = (
         left.withColumn("_o", F.explode(offset_array(neighbours())))
         .withColumns(
             {
-                "_gx": F.floor(F.col("lon") / width) + F.col("_o.dx"),
-                "_gy": F.floor(F.col("lat") / width) + F.col("_o.dy"),
+                "_gx": F.floor(F.col("lon") / _reach()) + F.col("_o.dx"),
+                "_gy": F.floor(F.col("lat") / _reach()) + F.col("_o.dy"),
             }
         )
         .select(*zone, "_gx", "_gy", F.col("_id").alias("_b"), F.col("lon").alias("b_lon"), F.col("lat").alias("b_lat"))
     )
-    dx = (F.col("b_lon") - F.col("lon")) / F.col("_r")
-    dy = (F.col("b_lat") - F.col("lat")) / F.col("_r")
-
-    # First pass: drop the edges that a single neighbour hides. The displacement picks a mask from a table.
-    rim = left.filter(F.col("_hidden") != F.lit(ALL_EDGES).cast("bigint"))
-    at = {"_gx": F.floor(F.col("lon") / width), "_gy": F.floor(F.col("lat") / width)}
-    ix = F.floor(dx / F.lit(MOVE_SIDE)) + F.lit(MOVE_REACH)
-    iy = F.floor(dy / F.lit(MOVE_SIDE)) + F.lit(MOVE_REACH)
+    return _cut_edges(_open_edges(left, covers, zone), covers, zone)
+
+
+def _reach() -> Column:
+    """An edge and a buffer can only meet if the edge's middle and the buffer's centre are this close."""
+    return F.col("_r") * F.lit((1 + HALF_SIDE) * (1 + 1e-9))
+
+
+def _moved() -> tuple[Column, Column]:
+    """The other buffer's displacement in radii."""
+    return (F.col("b_lon") - F.col("lon")) / F.col("_r"), (F.col("b_lat") - F.col("lat")) / F.col("_r")
+
+
+def _open_edges(left: DataFrame, covers: DataFrame, zone: list[str]) -> DataFrame:
+    """One row per edge that no single neighbour hides. The displacement of a neighbour picks a mask from a table."""
+    open_centre = F.col("_hidden") != F.lit(ALL_EDGES).cast("bigint")
+    placed = left.filter(open_centre).withColumns(
+        {"_gx": F.floor(F.col("lon") / _reach()), "_gy": F.floor(F.col("lat") / _reach())}
+    )
+    ix, iy = (F.floor(d / F.lit(MOVE_SIDE)) + F.lit(MOVE_REACH) for d in _moved())
     span = 2 * MOVE_REACH
-    own = [*zone, "_r", "lon", "lat", "_id"]
-    # The hashed sides are thinned: their rows per cell are few and their total depends on the area, not on the cases.
+    # The hashed side is thinned: its rows per cell are few and their total depends on the area, not on the cases.
     # Without the hint a broadcast could be chosen from a size estimate that ignores the ninefold copies.
-    open_edges = (
-        rim.withColumns(at)
-        .hint("shuffle_hash")
+    masked = (
+        placed.hint("shuffle_hash")
         .join(covers, ["_gx", "_gy", *zone])
         .filter(ix.between(0, span - 1) & iy.between(0, span - 1))
         .withColumn("_mask", F.element_at(_move_masks(), (ix * F.lit(span) + iy + F.lit(1)).cast("int")))
-        .groupBy(*own)
-        # A centre is its own neighbour, so none is lost here.
-        .agg(F.bit_or(F.col("_hidden").bitwiseOR(F.col("_mask"))).alias("_hidden"))
-        .filter(F.col("_hidden") != F.lit(ALL_EDGES).cast("bigint"))
     )
-
-    # Second pass: cut each open edge against the buffers near its middle.
     directions = F.array(
         *[
             F.struct(F.lit(k).alias("k"), F.lit(nx).alias("nx"), F.lit(ny).alias("ny"))
             for k, (nx, ny) in enumerate(NORMALS)
         ]
     )
-    edges = (
-        open_edges.withColumn("_e", F.explode(directions))
+    return (
+        masked.groupBy(*zone, "_r", "lon", "lat", "_id")
+        # A centre is its own neighbour, so none is lost here.
+        .agg(F.bit_or(F.col("_hidden").bitwiseOR(F.col("_mask"))).alias("_hidden"))
+        .filter(open_centre)
+        .withColumn("_e", F.explode(directions))
         .select("*", "_e.*")
         .filter(F.call_function("shiftright", F.col("_hidden"), F.col("k")).bitwiseAND(F.lit(1).cast("bigint")) == 0)
-        .withColumns(
-            {
-                "_gx": F.floor((F.col("lon") + F.col("_r") * F.lit(APOTHEM) * F.col("nx")) / width),
-                "_gy": F.floor((F.col("lat") + F.col("_r") * F.lit(APOTHEM) * F.col("ny")) / width),
-            }
-        )
         .drop("_e", "_hidden")
     )
+
+
+def _cut_edges(edges: DataFrame, covers: DataFrame, zone: list[str]) -> DataFrame:
+    """Cut each open edge against the buffers near its middle."""
+    placed = edges.withColumns(
+        {
+            "_gx": F.floor((F.col("lon") + F.col("_r") * F.lit(APOTHEM) * F.col("nx")) / _reach()),
+            "_gy": F.floor((F.col("lat") + F.col("_r") * F.lit(APOTHEM) * F.col("ny")) / _reach()),
+        }
+    )
     # Displacement along the edge's normal and along the edge itself.
+    dx, dy = _moved()
     met = (
-        edges.hint("shuffle_hash")
+        placed.hint("shuffle_hash")
         .join(covers, ["_gx", "_gy", *zone])
         .withColumns({"_up": F.col("nx") * dx + F.col("ny") * dy, "_along": F.col("nx") * dy - F.col("ny") * dx})
         .filter((F.col("_up") >= F.lit(-TOUCH)) & (F.col("_up") <= F.lit(2 * APOTHEM + TOUCH)))
@@ -251,7 +262,7 @@ def free_edges(centres: DataFrame, group: list[str], steps: int = THIN_STEPS) ->
     )
     # The edge's own buffer is among those that it meets, so every edge has a row. `_from` and `_to` are the buffers that
     # the free piece comes out of and goes into; without one, the piece starts or ends at a corner of its own buffer.
-    free = cut.groupBy(*own, "k").agg(
+    free = cut.groupBy(*zone, "_r", "lon", "lat", "_id", "k").agg(
         F.max("_t0").alias("t0"),
         F.min("_t1").alias("t1"),
         F.max_by("_b", "_t0").alias("_from"),

@@ -167,3 +167,36 @@ def test_duplicate_keys(small):
     assert rows(duplicate_keys(small["schools"], ["district"]), "district", "row_count") == [
         ("Din Daeng", 2), ("Khlong Toei", 2), ("Phra Nakhon", 2),
     ]
+
+
+def test_nearest_does_not_depend_on_the_cells(spark, small):
+    """Far-away cases, cases on a facility, ties, and any cell side."""
+    places = [(100.4856, 13.7590), (0.0, 0.0), (-179.9, -89.0), (99.0, 16.0), (100.53425, 13.766), (None, 1.0)]
+    cases = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(places)], "case_id int, lon double, lat double")
+    hospitals = small["hospitals"].unionByName(
+        spark.createDataFrame([(99, "Copy", "p", "d", 100.4856, 13.7590)], small["hospitals"].schema)
+    )
+    facts = [(r["id"], r["lon"], r["lat"]) for r in hospitals.collect()]
+    wanted = [
+        (i, min((((x - fx) ** 2 + (y - fy) ** 2) ** 0.5, f) for f, fx, fy in facts)[1])
+        for i, (x, y) in enumerate(places) if x is not None
+    ]
+    for side in (0.005, 0.05, 3.0):
+        assert rows(proximity.nearest_facility(cases, hospitals, cell_side=side), "case_id", "facility_id") == wanted
+
+
+def test_pair_at_exactly_the_radius(spark):
+    """Closed radius, whichever cells the two ends fall into."""
+    step = 1000 / 111000.0
+    facilities = spark.createDataFrame([(i, "f", i * step, 0.0) for i in range(50)], "id int, name string, lon double, lat double")
+    cases = spark.createDataFrame([(i, i * step + step, 0.0) for i in range(50)], "case_id int, lon double, lat double")
+    wanted = sorted(
+        (f, c) for f in range(50) for c in range(50) if abs(f * step - (c * step + step)) <= step
+    )
+    assert rows(proximity.within_distance(facilities, cases, 1000), "id", "case_id") == wanted
+
+
+def test_no_facility_in_range(spark, small):
+    nowhere = spark.createDataFrame([(1, 0.0, 0.0, "DF")], "case_id int, lon double, lat double, severity string")
+    assert scoring.case_load(small["schools"], nowhere, 1000).count() == 0
+    assert proximity.within_distance(small["schools"], nowhere, 1000, how="left").filter("case_id IS NULL").count() == 10
