@@ -16,9 +16,11 @@ def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 def buffer_ring(lon: Column, lat: Column, radius_deg: Column) -> Column:
     """Ring of the buffer polygon around a point."""
     turns = [*VERTICES, VERTICES[0]]
-    directions = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(s).alias("s")) for c, s in turns])
-    return F.transform(
-        directions, lambda d: F.struct((lon + radius_deg * d["c"]).alias("x"), (lat + radius_deg * d["s"]).alias("y"))
+    return F.array(
+        *[
+            F.struct((lon + radius_deg * F.lit(c)).alias("x"), (lat + radius_deg * F.lit(s)).alias("y"))
+            for c, s in turns
+        ]
     )
 
 
@@ -100,8 +102,8 @@ def _moments(ring: Column) -> Column:
 
 def number_text(value: Column) -> Column:
     """Coordinate as text with nine decimals, rounded half up."""
-    units = F.floor(value * F.lit(1e9) + F.lit(0.5)).cast("decimal(19,0)")
-    return (units * F.lit("0.000000001").cast("decimal(10,9)")).cast("string")
+    units = F.floor(value * F.lit(1e9) + F.lit(0.5)).cast("decimal(18,0)")
+    return (units * F.lit("0.000000001").cast("decimal(9,9)")).cast("string")
 
 
 def point_wkt(lon: Column, lat: Column) -> Column:

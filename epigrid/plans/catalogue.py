@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epigrid.functions.geo import dist_deg, round_half_up, to_degrees, to_metres
-from epigrid.functions.rings import number_text, point_wkt, ring_area, ring_centroid, ring_wkt
+from epigrid.functions.rings import number_text, point_wkt, ring_area, ring_wkt
 from epigrid.operators import features, heatmap, proximity, regions, scoring, zones
 from epigrid.plans import batch
 from epigrid.session import tune
@@ -105,8 +105,6 @@ def case_buffer(t: Inputs) -> DataFrame:
 
 
 def tier_buffers(t: Inputs) -> DataFrame:
-    area = ring_area(F.col("ring")) * F.lit(1e6)
-    centre = ring_centroid(F.col("ring"))
     return zones.tier_buffers(t.cases).select(
         "case_id",
         "severity",
@@ -114,8 +112,6 @@ def tier_buffers(t: Inputs) -> DataFrame:
         "risk_tier",
         "radius_meters",
         ring_wkt(F.col("ring")).alias("zone_wkt"),
-        round_half_up(area, 4).alias("area_millionths"),
-        round_half_up(centre["x"], 5).alias("centre_x"),
     )
 
 
@@ -313,7 +309,7 @@ def geojson_points(t: Inputs) -> DataFrame:
 
 
 def wkt_points(t: Inputs) -> DataFrame:
-    """Points written as text and read again; every third field of the text is a real coordinate pair."""
+    """Points written as text and read again."""
     texts = t.cases.select("case_id", point_wkt(F.col("lon"), F.col("lat")).alias("wkt"))
     parsed, _ = ingest.ingest_wkt(texts, "wkt")
     return parsed.select("case_id", number_text(F.col("lon")).alias("lon"), number_text(F.col("lat")).alias("lat"))

@@ -1,6 +1,6 @@
 """The same questions as plain SQL for DuckDB, written independently of the operators: cross joins, no grid, no thinning."""
 
-from epigrid.constants import APOTHEM, HALF_SIDE, NORMALS, SIDES, UNIT_AREA, VERTICES
+from epigrid.constants import APOTHEM, HALF_SIDE, HEAT_RAMP, NORMALS, SIDES, UNIT_AREA, VERTICES
 from epigrid.functions.geohash import ALPHABET
 from epigrid.plans.catalogue import CITY_POINT, CLUSTER_POINTS
 
@@ -208,8 +208,6 @@ def _fogging() -> str:
 
 def _colour(value: str) -> str:
     """Heat colour of an intensity, channel by channel."""
-    from epigrid.constants import HEAT_RAMP
-
     cases = []
     for (low, a), (high, b) in zip(HEAT_RAMP, HEAT_RAMP[1:]):
         t = f"(({value} - {_d(low)}) / {_d(high - low)})"
@@ -287,8 +285,7 @@ LEFT JOIN cases c ON {_dist("h", "c")} <= {_deg(5000)} GROUP BY h.name, h.provin
         "q06_hospitals_nearest_points": _with(nearest_points),
         "q07_case_buffer": _with(f"SELECT case_id, severity, {_buffer_wkt(_deg(500))} AS buffer_500m_wkt FROM cases"),
         "q08_tier_buffers": _with(
-            f"""SELECT case_id, severity, infection_date, risk_tier, radius_meters, {_buffer_wkt(radius)} AS zone_wkt,
-  {_round(f"{radius} * {radius} * {_d(UNIT_AREA)} * 1000000", 4)} AS area_millionths, {_round("lon", 5)} AS centre_x
+            f"""SELECT case_id, severity, infection_date, risk_tier, radius_meters, {_buffer_wkt(radius)} AS zone_wkt
 FROM cases, tiers"""
         ),
         "q09_school_case_tiers": _with(

@@ -6,6 +6,8 @@ from collections.abc import Callable
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from epigrid.constants import RISK_TIERS
+from epigrid.functions.geo import to_degrees
 from epigrid.functions.rings import box_ring, let, ring_wkt
 from epigrid.sources import fixture, schemas
 
@@ -139,10 +141,10 @@ def demo_layers(spark: SparkSession) -> dict[str, DataFrame]:
         list(_DEMO_PROVINCES), "province_name string, case_count bigint, lon double, lat double"
     )
     tiers = F.array(
-        *[F.struct(F.lit(t).alias("risk_tier"), F.lit(r).alias("radius_meters")) for t, r in fixture.RISK_TIERS]
+        *[F.struct(F.lit(t).alias("risk_tier"), F.lit(r).alias("radius_meters")) for t, r in RISK_TIERS]
     )
     zones = provinces.withColumn("tier", F.explode(tiers)).select("*", "tier.*")
-    reach = F.col("radius_meters") / F.lit(111000.0)
+    reach = to_degrees("radius_meters")
     km = F.col("radius_meters") / F.lit(1000.0)
     zones = zones.withColumns(
         {

@@ -37,7 +37,6 @@ def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     """Replace a table with the result of a query; running it again gives the same table."""
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by is not None:
-        # One shuffle on the partition column and a spread of it, so that a large month is still many files.
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
