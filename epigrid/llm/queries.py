@@ -7,16 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epigrid.llm import sentencepiece_codec
+from epigrid.llm import packing, sentencepiece_codec
 from epigrid.llm.common import table
 
 
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048)
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_sentencepiece": op7_sentencepiece}
+    return {"op1_best_fit_packing": op1_best_fit_packing, "op7_sentencepiece": op7_sentencepiece}
 
 
 def oracle_sql() -> dict[str, str]:
