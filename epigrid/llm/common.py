@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -32,3 +32,16 @@ def learned_rows(id_column: str, parts: int, left_out: int) -> Column:
 
 def shards_for(rows: int, per_shard: int) -> int:
     return max(1, -(-rows // per_shard))
+
+
+def slices(texts: list[str | None], characters: int = 2_000_000) -> Iterator[list[str | None]]:
+    """The texts in turn, in lists of about so many characters, so that what is made of them stays small."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t or "")
+        if size >= characters:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part

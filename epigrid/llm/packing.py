@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from epigrid.llm.common import shards_for
+from epigrid.llm.common import shards_for, slices
 from epigrid.llm.word_bpe import word_bpe
 
 SEPARATOR = (0).to_bytes(4, "little")
@@ -34,7 +34,8 @@ def pieces(
         bpe, width = word_bpe(tokenizer), 4 * length
         for batch in batches:
             row, piece, start, size, crc, raw = [], [], [], [], [], []
-            for i, data in enumerate(bpe.encode(batch.column(1).to_pylist())):
+            coded = (data for part in slices(batch.column(1).to_pylist()) for data in bpe.encode(part))
+            for i, data in enumerate(coded):
                 data += SEPARATOR
                 for k, at in enumerate(range(0, len(data), width)):
                     part = data[at : at + width]

@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from epigrid.llm.bpe import Merges
+from epigrid.llm.common import slices
 
 SPACE = "▁"
-CACHED_UNITS = 600_000
+CACHED_UNITS = 300_000
 SLOW = re.compile(r"\n[^ \n]*| +[^ \n]*|[^ \n]+")
 
 
@@ -138,7 +139,8 @@ def encode(docs: DataFrame, model_path: str, id_column: str = "doc_id", text_col
         for batch in batches:
             ids = [
                 [int(i) for _, s, _ in units for i in s.split(",")]
-                for units in model.encode_units(batch.column(1).to_pylist())
+                for part in slices(batch.column(1).to_pylist())
+                for units in model.encode_units(part)
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=names)
 
@@ -155,7 +157,7 @@ def digests(docs: DataFrame, model_path: str, id_column: str = "doc_id", text_co
         sha = hashlib.sha256
         for batch in batches:
             n, ids, decoded = [], [], []
-            for units in model.encode_units(batch.column(1).to_pylist()):
+            for units in (u for part in slices(batch.column(1).to_pylist()) for u in model.encode_units(part)):
                 counts, spelled, raw = zip(*units) if units else ((), (), ())
                 n.append(sum(counts))
                 ids.append(sha(",".join(spelled).encode()).hexdigest())

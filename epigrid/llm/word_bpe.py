@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from epigrid.llm.bpe import Merges
 
-CACHED = 600_000
+CACHED = 300_000
 #: Characters that the normaliser only puts in lower case.
 PLAIN = regex.compile(r"[!-~¡-¬®-įıĲ-ɏ]*")
 
