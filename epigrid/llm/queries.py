@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epigrid.llm import packing, sentencepiece_codec
+from epigrid.llm import packing, quality_rules, sentencepiece_codec
 from epigrid.llm.common import table
 
 
@@ -15,12 +15,23 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048)
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, folder, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "good_probability"
+    )
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_best_fit_packing": op1_best_fit_packing, "op7_sentencepiece": op7_sentencepiece}
+    return {
+        "op1_best_fit_packing": op1_best_fit_packing,
+        "op6_quality_rules": op6_quality_rules,
+        "op7_sentencepiece": op7_sentencepiece,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
