@@ -44,7 +44,7 @@ RULES = (
     Rule("repeated_words", "n_repeat_words / n_words", 0.30, 0.15),
     Rule("repeated_lines", "n_dup_lines / n_lines", 0.50, 0.34),
     Rule("symbols_over_stops", "n_symbols / greatest(n_symbols + n_stops, 1)", 0.50, 0.20),
-    Rule("signs", "n_signs / greatest(word_chars, 1)", 0.12, 0.09),
+    Rule("signs", "n_signs / greatest(word_chars, 1)", 0.15, 0.12),
     Rule("shouting", "n_marks / n_words", 0.30, 0.05),
     Rule("word_length", "abs(word_chars / n_words - 6.5)", 4.5, 3.0),
     Rule("no_sentences", "1 - least(1.0, n_stops * 60 / n_words)", 0.7, 0.2),
