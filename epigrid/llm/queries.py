@@ -7,14 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epigrid.llm import packing, quality_rules, sentencepiece_codec
-from epigrid.llm.common import table
+from epigrid.llm import packing, quality_classifier, quality_rules, sentencepiece_codec, toxicity
+from epigrid.llm.common import learned_rows, table
 
 
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048)
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"), parts=4, left_out=2)
+    return toxicity.score(docs, model, threshold=0.3).withColumn("held_out", ~learned_rows("doc_id", 4, 2))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, folder, "documents"))
     return judged.select(
@@ -26,11 +32,19 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality_classifier.train(docs, table(spark, folder, "labels"), parts=3, left_out=1)
+    return quality_classifier.score(docs, model, threshold=0.5).withColumn("held_out", ~learned_rows("doc_id", 3, 1))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op5_toxicity": op5_toxicity,
         "op6_quality_rules": op6_quality_rules,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_quality_classifier": op8_quality_classifier,
     }
 
 
