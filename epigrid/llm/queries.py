@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epigrid.llm import packing, quality_classifier, quality_rules, sentencepiece_codec, toxicity
+from epigrid.llm import golay_simhash, packing, quality_classifier, quality_rules, sentencepiece_codec, toxicity
 from epigrid.llm.common import learned_rows, table
 
 
@@ -38,6 +38,10 @@ def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.score(docs, model, threshold=0.5).withColumn("held_out", ~learned_rows("doc_id", 3, 1))
 
 
+def op9_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
+    return golay_simhash.near_duplicates(table(spark, folder, "documents"), width=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -45,6 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": op6_quality_rules,
         "op7_sentencepiece": op7_sentencepiece,
         "op8_quality_classifier": op8_quality_classifier,
+        "op9_simhash_golay": op9_simhash_golay,
     }
 
 
