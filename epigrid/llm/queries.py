@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epigrid.llm import golay_simhash, packing, quality_classifier, quality_rules, sentencepiece_codec, toxicity
+from epigrid.llm import (
+    golay_simhash, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, toxicity,
+)
 from epigrid.llm.common import learned_rows, table
 
 
@@ -15,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048)
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, folder, "documents"), window=35)
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.train(docs, table(spark, folder, "labels"), parts=4, left_out=2)
@@ -45,6 +51,7 @@ def op9_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_toxicity": op5_toxicity,
         "op6_quality_rules": op6_quality_rules,
         "op7_sentencepiece": op7_sentencepiece,
