@@ -1,7 +1,9 @@
 """Session helpers."""
 
+import re
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,20 +45,28 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the folder that `spark.checkpoint.dir` names and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that `spark.checkpoint.dir` names: executors and driver share it.
 
-    The rest of a query then starts from stored rows: its plan stays small and a lost executor costs a read, not a
-    recomputation. Only a local session without that setting gets a temporary folder; elsewhere it is an error, because
-    a machine-local folder does not survive the loss of an executor.
+    Only a session on a single machine (`local[...]`) may go without; it gets a temporary folder of its own. Elsewhere that is
+    an error, because a machine-local folder does not survive the loss of an executor.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="epigrid-")
+        warnings.warn(f"spark.checkpoint.dir is not set; intermediate tables go to {folder}", stacklevel=3)
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/epigrid-{label}-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def cut_lineage(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    The rest of a query then starts from stored rows: its plan stays small and a lost executor costs a read, not a
+    recomputation. The stored tables stay until the owner of the folder cleans it.
+    """
+    path = f"{shared_folder(df.sparkSession)}/epigrid-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
