@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from epigrid.llm import (
-    golay_simhash, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, toxicity,
+    golay_simhash, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, toxicity, warc,
 )
 from epigrid.llm.common import learned_rows, table
 
@@ -48,6 +48,10 @@ def op9_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
     return golay_simhash.near_duplicates(table(spark, folder, "documents"), width=4)
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive(table(spark, folder, "pages"), least_bytes=1000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_sentencepiece": op7_sentencepiece,
         "op8_quality_classifier": op8_quality_classifier,
         "op9_simhash_golay": op9_simhash_golay,
+        "op10_warc": op10_warc,
     }
 
 
