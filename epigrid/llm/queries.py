@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epigrid.llm import (
-    golay_simhash, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, toxicity, warc,
+    golay_simhash, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, topk_search, toxicity, warc,
 )
 from epigrid.llm.common import learned_rows, table
 
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048)
 
 
+def op3_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.nearest(table(spark, folder, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.digests(table(spark, folder, "documents"), window=35)
 
@@ -55,6 +59,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op3_exact_topk": op3_exact_topk,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_toxicity": op5_toxicity,
         "op6_quality_rules": op6_quality_rules,
@@ -65,5 +70,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+EXACT_TOPK = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_exact_topk": EXACT_TOPK}
