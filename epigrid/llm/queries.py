@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epigrid.llm import (
-    golay_simhash, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, topk_search, toxicity, warc,
+    golay_simhash, line_dedup, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, topk_search, toxicity, warc,
 )
 from epigrid.llm.common import learned_rows, table
 
@@ -17,6 +17,14 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048)
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.classes(table(spark, folder, "documents"), threshold=2, least_chars=20)
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("at").alias("line"), F.col("class_id").alias("class_doc_id"),
+        F.col("class_at").alias("class_line"), "n_links", "kept",
+    )
+
+
 def op3_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.nearest(table(spark, folder, "embeddings"), F.col("id") % 50 == 0, k=5)
 
@@ -59,6 +67,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op2_line_dedup": op2_line_dedup,
         "op3_exact_topk": op3_exact_topk,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_toxicity": op5_toxicity,
