@@ -186,3 +186,13 @@ def near_duplicates(
     of_bits = rooted.join(named, "root").select("bits", "component_id")
     digits = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
     return marked.join(of_bits, "bits").select(id_column, digits, "component_id")
+
+
+def representatives(docs: DataFrame, width: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows, one of each component: that with the smallest id. Rows that repeat id and text leave one."""
+    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    marked = docs.withColumn("__row", F.struct(F.col(id_column).alias("id"), F.xxhash64(text).alias("mark")))
+    found = near_duplicates(marked, width, "__row", text_column).where(F.col("component_id").eqNullSafe(F.col("__row")))
+    names = found.select("__row").distinct().alias("s")
+    rows = marked.alias("d").join(names, F.col("d.__row").eqNullSafe(F.col("s.__row")), "left_semi")
+    return rows.dropDuplicates(["__row"]).drop("__row")

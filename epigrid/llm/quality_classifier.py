@@ -176,9 +176,9 @@ def train(
 
 def score(
     docs: DataFrame, model: Model, threshold: float = 0.5, id_column: str = "doc_id", text_column: str = "text",
-    keep: tuple[str, ...] = (),
+    keep: tuple[str, ...] = (), prefix: str = "",
 ) -> DataFrame:
-    """(id, score, predicted) of every text, with the further columns named in `keep`."""
+    """(id, score, predicted) of every text, with the further columns named in `keep`; `prefix` goes before the new names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH weights, whatever the corpus
 
     def run(batches):
@@ -190,7 +190,8 @@ def score(
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], names=names)
 
     kept = [id_column, *keep]
-    names = [*kept, "score", "predicted"]
-    picked = docs.select(F.col(text_column).cast("string").alias("scored_text"), *kept)
-    schema = ", ".join(f"`{n}` {t}" for n, t in picked.select(*kept).dtypes) + ", score double, predicted int"
+    names = [*kept, f"{prefix}score", f"{prefix}predicted"]
+    picked = docs.select(F.col(text_column).cast("string").alias("__scored_text"), *kept)
+    kinds = [*docs.select(*kept).dtypes, (names[-2], "double"), (names[-1], "int")]
+    schema = ", ".join(f"`{n}` {t}" for n, t in kinds)
     return picked.mapInArrow(run, schema)
