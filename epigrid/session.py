@@ -68,5 +68,5 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     recomputation. The stored tables stay until the owner of the folder cleans it.
     """
     path = f"{shared_folder(df.sparkSession)}/epigrid-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
