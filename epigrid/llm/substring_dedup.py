@@ -27,7 +27,8 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+import zstandard
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from epigrid.llm.common import shards_for
 from epigrid.llm.features import Texts, mix
@@ -163,6 +164,12 @@ def _sliced(texts: list[str | None]):
             begin, size = i + 1, 0
 
 
+@F.udf(T.BinaryType(), useArrow=True)
+def _squeezed(text):
+    """A text as it goes through a shuffle: a third of the disk that Spark's own codec needs for it."""
+    return zstandard.compress(text.encode())
+
+
 def _named(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     return docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
@@ -195,12 +202,12 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
 
 
 def _cut(rows: DataFrame, window: int) -> DataFrame:
-    """(id, mark, start, anchor, segment): the segments of rows (id, mark, text, anchors) that have one of the anchors."""
+    """(id, mark, start, windows, anchor, segment): the segments of rows (id, mark, blob, anchors) that have one of the anchors."""
 
     def run(batches):
         for batch in batches:
             wanted = batch.column(3)
-            for begin, texts in _sliced(batch.column(2).to_pylist()):
+            for begin, texts in _sliced([zstandard.decompress(b).decode() for b in batch.column(2).to_pylist()]):
                 block, start, end, first, _, (owner, at, size, anchor) = _segments(texts, window)
                 part = wanted.slice(begin, len(texts))
                 lists, values = part.offsets.to_numpy(), part.values.to_numpy()
@@ -213,11 +220,11 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
                 cut = [b" ".join(data[x:y].split()) for x, y in zip(start[a].tolist(), end[b].tolist())]
                 picked = pa.array(owner + begin)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(picked), batch.column(1).take(picked), pa.array(at), pa.array(anchor), pa.array(cut, pa.binary()).cast(pa.string())],
-                    names=["id", "mark", "start", "anchor", "segment"],
+                    [batch.column(0).take(picked), batch.column(1).take(picked), pa.array(at), pa.array(size), pa.array(anchor), pa.array(cut, pa.binary()).cast(pa.string())],
+                    names=["id", "mark", "start", "windows", "anchor", "segment"],
                 )
 
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, mark long, start long, anchor long, segment string")
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, mark long, start long, windows long, anchor long, segment string")
 
 
 def _among(owner, anchor, wanted_owner, wanted_anchor) -> np.ndarray:
@@ -237,9 +244,7 @@ def _judge_shard(window: int):
         for s, n in zip(sequences, counts):
             automaton.add(s, n)
         automaton.finish()
-        found = [
-            [(0, len(s) - window + 1)] if n > 1 else _runs(automaton.repeated(s, window)) for s, n in zip(sequences, counts)
-        ]
+        found = [_runs(automaton.repeated(s, window)) if n == 1 else [] for s, n in zip(sequences, counts)]
         return _marked(rows, found)
 
     return judge
@@ -279,25 +284,34 @@ def repeated_ranges(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     spread = _anchors(rows, window)
     often = spread.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
     wanted = spread.join(often, "anchor").groupBy("id", "mark").agg(F.collect_set("anchor").alias("anchors"))
-    joined = rows.alias("r").join(wanted.alias("w"), _same_row("r", "w")).select("r.id", "r.mark", "r.text", "w.anchors")
-    cut = _cut(joined, window).withColumn("digest", F.xxhash64("segment"))
-    cut = cut_lineage(cut, "segments")
-    different = cut.groupBy("anchor", "digest", "segment").agg(F.count(F.lit(1)).alias("n"))
-    sizes = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"))
-    crowded = sizes.where(F.col("segments") > CROWDED).select("anchor")
-    words = cut.agg(F.sum(F.length("segment"))).first()[0] or 0
-    shards = shards_for(words // 6, SHARD_WORDS)
-    plain = different.join(crowded, "anchor", "left_anti")
+    squeezed = rows.select("id", "mark", _squeezed("text").alias("blob")).alias("r")
+    joined = squeezed.join(wanted.alias("w"), _same_row("r", "w")).select("r.id", "r.mark", "r.blob", "w.anchors")
+    cut = cut_lineage(_cut(joined, window).withColumn("digest", F.xxhash64("segment")), "segments")
+    counted = cut.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n"))
+    counted = cut_lineage(counted, "segment-counts")
+    # a segment that stands twice is repeated throughout; its text matters only if its anchor has other segments
+    kinds = counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"), F.min("n").alias("least"))
+    unsure = kinds.where("least = 1")
+    again = counted.where("n > 1").select("anchor", "digest", F.array(F.struct(F.lit(0).cast("long").alias("a"), F.lit(None).cast("long").alias("b"))).alias("runs"))
+    texts = cut.select("anchor", "digest", "segment").join(unsure, "anchor")
+    different = texts.groupBy("anchor", "digest", "segment", "segments").agg(F.count(F.lit(1)).alias("n"))
+    words = counted.join(unsure, "anchor").agg(F.count(F.lit(1))).first()[0] * 2 * window
+    shards = shards_for(words, SHARD_WORDS)
+    plain = different.where(F.col("segments") <= CROWDED).drop("segments")
     dealt = plain.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     marks = dealt.groupBy("shard").applyInArrow(_judge_shard(window), _MARKS)
-    single = _crowded_windows(different.join(crowded, "anchor"), window)
-    again = single.groupBy("anchor", "hash").agg(F.sum("n").alias("times")).where("times > 1").select("anchor", "hash")
-    runs = single.join(again, ["anchor", "hash"]).select(
+    single = _crowded_windows(different.where(F.col("segments") > CROWDED), window)
+    twice = single.groupBy("anchor", "hash").agg(F.sum("n").alias("times")).where("times > 1").select("anchor", "hash")
+    runs = single.join(twice, ["anchor", "hash"]).select(
         "anchor", "digest", F.array(F.struct(F.col("at").alias("a"), (F.col("at") + 1).alias("b"))).alias("runs")
     )
-    placed = cut.select("id", "mark", "start", "anchor", "digest").join(marks.unionAll(runs), ["anchor", "digest"])
+    places = cut.select("id", "mark", "start", "windows", "anchor", "digest")
+    placed = places.join(again.unionAll(marks).unionAll(runs), ["anchor", "digest"])
     covered = F.transform(
-        "runs", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"] + window - 1).alias("b"))
+        "runs",
+        lambda r: F.struct(
+            (F.col("start") + r["a"]).alias("a"), (F.col("start") + F.coalesce(r["b"], F.col("windows")) + window - 1).alias("b")
+        ),
     )
     return placed.groupBy("id", "mark").agg(F.flatten(F.collect_set(covered)).alias("ranges"))
 
@@ -311,11 +325,13 @@ def _removed(words: int, ranges: list[dict] | None) -> np.ndarray:
 
 
 def _with_ranges(docs: DataFrame, window: int, id_column: str, text_column: str) -> DataFrame:
+    """The rows with `__blob`, the squeezed text, in place of the text, and `__ranges`, what repeated windows cover or null."""
     ranges = repeated_ranges(_named(docs, id_column, text_column), window).alias("c")
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    rows = docs.withColumns({"__mark": F.xxhash64(text), "__text": text}).alias("d")
+    rows = docs.withColumns({"__mark": F.xxhash64(text), "__null": F.col(text_column).isNull(), "__blob": _squeezed(text)})
     same = F.col(f"d.{id_column}").eqNullSafe(F.col("c.id")) & (F.col("d.__mark") == F.col("c.mark"))
-    return rows.join(ranges, same, "left").select("d.*", F.col("c.ranges").alias("__ranges"))
+    joined = rows.drop(text_column).alias("d").join(ranges, same, "left")
+    return joined.select("d.*", F.col("c.ranges").alias("__ranges"))
 
 
 def digests(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -325,7 +341,7 @@ def digests(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", te
         for batch in batches:
             n, gone, sha = [], [], []
             for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = text.encode().split()
+                words = zstandard.decompress(text).split()
                 removed = _removed(len(words), ranges)
                 kept = [w for w, r in zip(words, removed.tolist()) if not r] if ranges else words
                 n.append(len(words))
@@ -336,7 +352,7 @@ def digests(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", te
 
     names = [id_column, "n_words", "n_removed", "kept_sha256"]
     rows = _with_ranges(docs.select(id_column, text_column), window, id_column, text_column)
-    rows = rows.select(id_column, "__text", "__ranges")
+    rows = rows.select(id_column, "__blob", "__ranges")
     kind = dict(rows.dtypes)[id_column]
     return rows.mapInArrow(run, f"`{id_column}` {kind}, n_words long, n_removed long, kept_sha256 string")
 
@@ -344,11 +360,14 @@ def digests(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", te
 def clean(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows with their repeated passages cut out of the text; a text without any stays byte for byte."""
 
-    @F.udf("string", useArrow=True)
-    def without(text, ranges):
-        words = text.encode().split()
-        return b" ".join(w for w, r in zip(words, _removed(len(words), ranges).tolist()) if not r).decode()
+    @F.udf(T.StringType(), useArrow=True)
+    def without(blob, ranges):
+        text = zstandard.decompress(blob)
+        if ranges:
+            words = text.split()
+            text = b" ".join(w for w, r in zip(words, _removed(len(words), ranges).tolist()) if not r)
+        return text.decode()
 
     rows = _with_ranges(docs, window, id_column, text_column)
-    cleaned = F.when(F.col("__ranges").isNull(), F.col(text_column)).otherwise(without("__text", "__ranges"))
-    return rows.withColumn(text_column, cleaned).drop("__mark", "__text", "__ranges")
+    cleaned = F.when(~F.col("__null"), without("__blob", "__ranges"))
+    return rows.withColumn(text_column, cleaned).select(*docs.columns)
