@@ -29,8 +29,8 @@ from epigrid.session import cut_lineage
 
 THRESHOLD = 2
 LEAST_CHARS = 20
-#: Letters whose counts, modulo 16, make the sketch.
-LETTERS = "etnaoirs"
+#: Letters whose counts, modulo 256, make the sketch.
+LETTERS = "etnai"
 #: So many line hashes are broadcast to fetch their texts; beyond that the texts are joined by a shuffle.
 BROADCAST_IDS = 500_000
 _TOP = 60  # bit of the band's last row
@@ -43,58 +43,55 @@ def _lines(docs: DataFrame, id_column: str, text_column: str, least_chars: int)
     return rows.where(F.char_length("line") >= least_chars).withColumn("line_id", F.xxhash64("line"))
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start from 0 and length of segment i of an even partition; the longer segments come last."""
-    base, extra = F.floor(length / parts).cast("int"), length % parts
-    return base * i + F.greatest(F.lit(0), extra - (parts - i)), base + (extra >= parts - i).cast("int")
+def _keys(threshold: int) -> tuple[Column, int]:
+    """Probe keys of `line`, hashes of (length, segment number, segment); the first threshold + 1 are its index keys."""
+    parts, line = threshold + 1, F.col("line")
+    probes = [
+        (shorter, i, shift)
+        for shorter in range(parts)
+        for i in range(parts)
+        for shift in range(max(-i, shorter - (threshold - i)), min(i, shorter + threshold - i) + 1)
+    ]
+    probes.sort(key=lambda p: (p[0], p[2]) != (0, 0))
+    specs = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip("lis", p))) for p in probes))
 
+    def key(n: Column, spec: Column) -> Column:
+        length, i = n - spec["l"], spec["i"]
+        extra = length % parts  # the segments are even; the longer ones come last
+        base, late = ((length - extra) / parts).cast("int"), extra - (parts - i)
+        start, size = base * i + F.greatest(late, F.lit(0)), base + (late >= 0).cast("int")
+        return F.xxhash64(length, i, F.substring(line, start + spec["s"] + 1, size))
 
-def _keys(threshold: int) -> tuple[Column, Column]:
-    """Index keys and probe keys of `line`, as arrays of 64-bit hashes of (length, segment number, segment)."""
-    parts, n, line = threshold + 1, F.char_length("line"), F.col("line")
-
-    def key(length: Column, i: int, start: Column, size: Column) -> Column:
-        return F.xxhash64(length, F.lit(i), F.substring(line, start + 1, size))
-
-    index, probe = [], []
-    for shorter in range(parts):
-        length = n - shorter
-        for i in range(parts):
-            start, size = _segment(length, i, parts)
-            if not shorter:
-                index.append(key(length, i, start, size))
-            first, last = max(-i, shorter - (threshold - i)), min(i, shorter + threshold - i)
-            probe += [key(length, i, start + shift, size) for shift in range(first, last + 1)]
-    return F.array(*index), F.array(*probe)
+    return let(F.char_length(line), lambda n: F.transform(specs, lambda spec: key(n, spec))), parts
 
 
 def _sketch() -> Column:
     n, packed = F.char_length("line"), F.lit(0).cast("long")
     for k, letter in enumerate(LETTERS):
         count = n - F.char_length(F.replace(F.col("line"), F.lit(letter), F.lit("")))
-        packed = packed.bitwiseOR(F.shiftleft(count.bitwiseAND(15).cast("long"), 4 * k))
+        packed = packed.bitwiseOR(F.shiftleft(count.bitwiseAND(255).cast("long"), 8 * k))
     return packed
 
 
 def _sketch_distance(a: Column, b: Column) -> Column:
     total = F.lit(0).cast("long")
     for k in range(len(LETTERS)):
-        gap = (F.shiftright(a, 4 * k).bitwiseAND(15) - F.shiftright(b, 4 * k).bitwiseAND(15)).bitwiseAND(15)
-        total = total + F.least(gap, 16 - gap)
+        gap = (F.shiftright(a, 8 * k).bitwiseAND(255) - F.shiftright(b, 8 * k).bitwiseAND(255)).bitwiseAND(255)
+        total = total + F.least(gap, 256 - gap)
     return total
 
 
 def candidates(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(a, b): hashes of different lines that share a segment and agree in the sketch, a < b."""
-    different = lines.select("line_id", "line").distinct()
-    index, probe = _keys(threshold)
-    keyed = different.select("line_id", _sketch().alias("sketch"), index.alias("index"), probe.alias("probe"))
-    own = keyed.select(F.explode("index").alias("key"), "line_id", "sketch").alias("i")
-    offered = keyed.select(F.explode("probe").alias("key"), "line_id", "sketch").alias("p")
+    keys, own = _keys(threshold)
+    keyed = lines.select("line_id", _sketch().alias("sketch"), keys.alias("keys")).distinct()
+    keyed = cut_lineage(keyed, "line-keys")  # equal lines are one from here on; their texts are not shuffled
+    index = keyed.select(F.explode(F.slice("keys", 1, own)).alias("key"), "line_id", "sketch").alias("i")
+    offered = keyed.select(F.explode("keys").alias("key"), "line_id", "sketch").alias("p")
     near = _sketch_distance(F.col("i.sketch"), F.col("p.sketch")) <= 2 * threshold
     condition = (F.col("i.key") == F.col("p.key")) & (F.col("i.line_id") != F.col("p.line_id")) & near
     a, b = F.col("i.line_id"), F.col("p.line_id")
-    return own.join(offered.hint("merge"), condition).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    return index.join(offered.hint("merge"), condition).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
 def _common(a: Column, b: Column, from_end: bool) -> Column:
