@@ -71,9 +71,9 @@ def places(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
         gaps = np.flatnonzero(count[size:capacity])
         if len(gaps):
             gaps += size
-            growth = count[gaps - size] - count[gaps] + 1  # half of what the sum of squares grows by
+            growth = 2 * (count[gaps - size] - count[gaps]) + 2  # of the sum of squares
             if gaps[0] == size:  # a full sequence counts no more
-                growth[0] = -count[size]
+                growth[0] = 1 - 2 * count[size]
             gap = int(gaps[growth.argmin()])
             count[gap] -= 1
             sequence[i] = open_at[gap].pop()
