@@ -24,7 +24,7 @@ from epigrid.llm.features import Texts, buckets, labelled_sample
 SAMPLE_ROWS = 4000
 BITS = 20
 #: Word beginnings of these lengths in bytes count beside the whole word.
-BEGINNINGS = (4, 5)
+BEGINNINGS = (4, 5, 6, 7, 8)
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _STOP = np.zeros(256, bool)
@@ -87,30 +87,29 @@ def fit(texts: list[str], labels: list[int], steps: int = 60, rate: float = 0.15
     around it can't make up for it, and long sentences gather no chance from noise.
     """
     y = np.asarray(labels, float)
-    empty = np.zeros(1 << BITS, np.float32)
     if not len(y) or y.min() == y.max():
-        return Model(empty, 0.0, float(y.mean()) if len(y) else 0.0)
+        return Model(np.zeros(1 << BITS, np.float32), 0.0, float(y.mean()) if len(y) else 0.0)
+    size = 1 << BITS
+    held, toxic = np.zeros(size), np.zeros(size)  # bags that hold a feature, and toxic ones of them
     parts, sentences, docs, seen, count = [], [], [], 0, 0
     for part in slices(texts):
         f, s, d, _ = bags(part)
+        once = np.unique(d[s] << BITS | f)
+        held += np.bincount(once & (size - 1), minlength=size)
+        toxic += np.bincount(once & (size - 1), weights=y[seen + (once >> BITS)], minlength=size)
         parts.append(f.astype(np.int32))
         sentences.append((s + count).astype(np.int32))
         docs.append(d + seen)
         count, seen = count + len(d), seen + len(part)
-    feature, sentence, doc = np.concatenate(parts), np.concatenate(sentences), np.concatenate(docs)
-    # features of fewer than three bags say nothing about others
-    bag = doc[sentence].astype(np.int64)
-    pair = np.unique(bag << BITS | feature)
-    bag_of, of = pair >> BITS, pair & ((1 << BITS) - 1)
-    held, toxic = np.bincount(of, minlength=1 << BITS), np.bincount(of, weights=y[bag_of], minlength=1 << BITS)
     ratio = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((held - toxic + 0.5) / (len(y) - y.sum() + 1))
-    known = held >= 3
+    known = held >= 3  # features of fewer bags say nothing about others
+    feature, sentence, doc = np.concatenate(parts), np.concatenate(sentences), np.concatenate(docs)
+    parts = sentences = None
     kept = known[feature]
     feature, sentence = feature[kept], sentence[kept]
     # start from the log ratios, weighted by how many bags they rest on; only features over chance start above zero
     weights = np.where(known, np.clip(ratio, 0, 4) * np.clip(toxic / 20, 0, 1) * 0.5, 0.0)
-    bias, m, v = -9.0, np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
-    size = 1 << BITS
+    bias, m, v = -9.0, np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, steps + 1):
         p = _sentences(feature, sentence, count, weights, bias)
         none, any_ = _documents(p, doc, len(y))
