@@ -7,6 +7,7 @@ of three questions is timed too.
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -56,7 +57,8 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "4")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = tune(local_session(cpus, shuffle_partitions=8, app="bench"))
+    shared = os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="bench-")
+    spark = tune(local_session(cpus, shuffle_partitions=8, app="bench", settings={"spark.checkpoint.dir": shared}))
     spark.sparkContext.setLogLevel("ERROR")
     known = queries()
     seconds = {name: timed(lambda: known[name](spark, folder), runs) for name in HEADLINE}

@@ -1,10 +1,14 @@
-"""Rings: closed `array<struct<x, y>>` with the first vertex repeated at the end."""
+"""Rings: closed `array<struct<x, y>>` with the first vertex repeated at the end.
+
+A geometry of several rings is a column of parts, `array<array<ring>>`: each part is an outer ring and its holes.
+"""
 
 from pyspark.sql import Column, functions as F
 
 from epigrid.constants import APOTHEM, NORMALS, SIDES, VERTICES
 
 RING_TYPE = "array<struct<x:double,y:double>>"
+PARTS_TYPE = f"array<array<{RING_TYPE}>>"
 
 
 def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -53,6 +57,40 @@ def inside_edges(edges: Column, x: Column, y: Column) -> Column:
     return F.exists(edges, on_edge) | odd
 
 
+def parts_edges(parts: Column) -> Column:
+    """Edges of all rings. Crossing counts over them respect holes and islands."""
+    return F.flatten(F.transform(F.flatten(parts), ring_edges))
+
+
+def parts_area(parts: Column) -> Column:
+    """Area in square degrees: outer rings less their holes, whichever way the rings run."""
+    zero = F.lit(0.0)
+
+    def part(rings):
+        holes = F.aggregate(F.slice(rings, 2, F.size(rings)), zero, lambda acc, r: acc + ring_area(r))
+        return ring_area(F.element_at(rings, 1)) - holes
+
+    return F.aggregate(parts, zero, lambda acc, rings: acc + part(rings))
+
+
+def parts_centroid(parts: Column) -> Column:
+    """Area-weighted centroid of all parts less their holes, as struct<x, y>."""
+
+    def weigh(ring, sign):
+        return let(
+            F.struct(ring_area(ring).alias("a"), ring_centroid(ring).alias("c")),
+            lambda m: F.struct((m["a"] * sign).alias("a"), m["c"]["x"].alias("x"), m["c"]["y"].alias("y")),
+        )
+
+    signed = F.flatten(
+        F.transform(parts, lambda rings: F.transform(rings, lambda r, i: weigh(r, F.when(i == 0, 1.0).otherwise(-1.0))))
+    )
+    total = lambda rows, name: F.aggregate(rows, F.lit(0.0), lambda acc, m: acc + m["a"] * (m[name] if name else F.lit(1.0)))
+    return let(
+        signed, lambda rows: F.struct((total(rows, "x") / total(rows, "")).alias("x"), (total(rows, "y") / total(rows, "")).alias("y"))
+    )
+
+
 def ring_contains(ring: Column, x: Column, y: Column) -> Column:
     return inside_edges(ring_edges(ring), x, y)
 
@@ -115,6 +153,17 @@ def ring_wkt(ring: Column) -> Column:
     return F.concat(F.lit("POLYGON("), vertex_text(ring), F.lit(")"))
 
 
+def parts_wkt(parts: Column) -> Column:
+    """Polygon text, or a multipolygon text if there are several parts."""
+
+    def body(rings):
+        return F.concat(F.lit("("), F.array_join(F.transform(rings, vertex_text), ", "), F.lit(")"))
+
+    texts = F.transform(parts, body)
+    many = F.concat(F.lit("MULTIPOLYGON("), F.array_join(texts, ", "), F.lit(")"))
+    return F.when(F.size(parts) > 1, many).otherwise(F.concat(F.lit("POLYGON"), F.element_at(texts, 1)))
+
+
 def vertex_text(ring: Column) -> Column:
     pairs = F.transform(ring, lambda p: F.concat(number_text(p["x"]), F.lit(" "), number_text(p["y"])))
     return F.concat(F.lit("("), F.array_join(pairs, ", "), F.lit(")"))

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from epigrid.constants import RADIUS_STYLES, TIER_STYLES, UNKNOWN_STYLE
 from epigrid.functions.colours import ramp_colour
-from epigrid.functions.rings import ring_centroid
-from epigrid.sources.ingest import ring_from_wkt
+from epigrid.functions.rings import number_text, ring_centroid
+from epigrid.sources.ingest import parts_from_wkt
 
 
 def point_features(df: DataFrame, lon: str = "lon", lat: str = "lat", popup_cols: list[str] | None = None) -> DataFrame:
@@ -20,10 +20,16 @@ def point_features(df: DataFrame, lon: str = "lon", lat: str = "lat", popup_cols
 
 
 def polygon_features(df: DataFrame, wkt: str = "wkt", shown: int = 5) -> DataFrame:
-    """Polygons from text: their `ring` and a tooltip of the first columns. Rows whose text is no polygon are left out."""
+    """Polygons and multipolygons from text: their `parts` and a tooltip of the first columns.
+
+    Rows without a text are left out; a text that is no polygon stops the query, naming the text.
+    """
     names = [c for c in df.columns if c != wkt]
-    parsed = df.withColumns({"ring": ring_from_wkt(F.col(wkt)), "tooltip": fields_text(names[:shown])})
-    return parsed.filter(F.col("ring").isNotNull()).drop(wkt)
+    parsed = df.filter(F.col(wkt).isNotNull()).withColumns(
+        {"parts": parts_from_wkt(F.col(wkt)), "tooltip": fields_text(names[:shown])}
+    )
+    refused = F.raise_error(F.concat(F.lit("not a polygon: "), F.substring(wkt, 1, 200)))
+    return parsed.withColumn("parts", F.coalesce("parts", refused)).drop(wkt)
 
 
 def zone_features(df: DataFrame, unknown: tuple[str, float] = UNKNOWN_STYLE, shown: int = 6) -> DataFrame:
@@ -41,7 +47,7 @@ def zone_features(df: DataFrame, unknown: tuple[str, float] = UNKNOWN_STYLE, sho
         )
         return F.coalesce(by_tier[tier], by_radius[radius], F.lit(unknown[part]))
 
-    names = [c for c in df.columns if c not in ("wkt", "ring")]
+    names = [c for c in df.columns if c not in ("wkt", "ring", "parts")]
     return df.withColumns(
         {
             "colour": style(0),
@@ -55,7 +61,7 @@ def zone_features(df: DataFrame, unknown: tuple[str, float] = UNKNOWN_STYLE, sho
 def cell_features(df: DataFrame, value: str = "case_count", shown: int = 5) -> DataFrame:
     """Cells with their intensity (value over the largest value, 0 if that is not positive) and its colour."""
     top = df.agg(F.max(value)).scalar()
-    names = [c for c in df.columns if c not in ("wkt", "ring")]
+    names = [c for c in df.columns if c not in ("wkt", "ring", "parts")]
     intensity = F.when(top > 0, F.col(value).cast("double") / top).otherwise(F.lit(0.0))
     return df.withColumn("intensity", intensity).withColumns(
         {"colour": ramp_colour(F.col("intensity")), "tooltip": fields_text(names[:shown])}
@@ -92,6 +98,30 @@ def ring_geometry(ring: str = "ring") -> Column:
     return F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates"))
 
 
+def parts_geometry(parts: str = "parts") -> Column:
+    """MultiPolygon geometry of all parts; a single part is a MultiPolygon of one."""
+    corners = F.transform(
+        parts, lambda rings: F.transform(rings, lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
+    )
+    return F.struct(F.lit("MultiPolygon").alias("type"), corners.alias("coordinates"))
+
+
+def geojson_text(df: DataFrame, kind: str, coordinates: Column, properties: list[str]) -> DataFrame:
+    """The same with the coordinates as ready text, so that numbers look alike whichever engine wrote them."""
+    parts = (F.lit(f'{{"type":"Feature","geometry":{{"type":"{kind}","coordinates":'), coordinates)
+    return df.select(F.concat(*parts, F.lit('},"properties":'), F.to_json(F.struct(*properties)), F.lit("}")).alias("value"))
+
+
+def position_text(x: Column, y: Column) -> Column:
+    return F.concat(F.lit("["), number_text(x), F.lit(","), number_text(y), F.lit("]"))
+
+
+def ring_text(ring: str = "ring") -> Column:
+    """Coordinates of a polygon with one ring."""
+    corners = F.transform(ring, lambda p: position_text(p["x"], p["y"]))
+    return F.concat(F.lit("[["), F.array_join(corners, ","), F.lit("]]"))
+
+
 def write_features(df: DataFrame, path: str) -> None:
     """Write GeoJSON features as JSON lines."""
     df.select("value").write.mode("overwrite").text(path)

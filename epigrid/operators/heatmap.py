@@ -25,22 +25,26 @@ FINEST = 7
 
 
 def with_cells(cases: DataFrame, precisions: tuple[int, ...] = (5, 6, 7)) -> DataFrame:
-    """Add the geohash of every case as `cell_<precision>`; coarse cells are prefixes of the finest."""
+    """Add the geohash of every case as `cell_<precision>`; coarse cells are prefixes of the finest.
+
+    A case without coordinates keeps its row and has no cell.
+    """
     finest = max(precisions)
-    keyed = with_key(cases, finest)
+    keyed = with_key(cases, finest, keep=True)
     texts = {
         f"cell_{p}": cell_text(parent_key(F.col("_cell"), finest, p), p) for p in precisions
     }
     return keyed.withColumns(texts).drop("_cell")
 
 
-def with_key(cases: DataFrame, precision: int) -> DataFrame:
-    """Add the cell key as `_cell`; rows without coordinates have no cell and are left out."""
-    located = cases.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+def with_key(cases: DataFrame, precision: int, keep: bool = False) -> DataFrame:
+    """Add the cell key as `_cell`; rows without coordinates have none and are left out, or kept if asked for."""
+    located = cases if keep else cases.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
     ix, iy = cell_index(F.col("lon"), F.col("lat"), precision)
     # Two projections: the indexes are computed once and then read bit by bit.
     indexed = located.withColumns({"_ix": ix, "_iy": iy})
-    return indexed.withColumn("_cell", index_key(F.col("_ix"), F.col("_iy"), precision)).drop("_ix", "_iy")
+    known = F.col("lon").isNotNull() & F.col("lat").isNotNull()
+    return indexed.withColumn("_cell", F.when(known, index_key(F.col("_ix"), F.col("_iy"), precision))).drop("_ix", "_iy")
 
 
 def cell_rings(df: DataFrame, precision: int) -> DataFrame:
@@ -178,10 +182,16 @@ def month_change(cases: DataFrame, precision: int = 6) -> DataFrame:
 
 
 def latest_month(report: DataFrame) -> DataFrame:
-    """Rows of the newest month of a report."""
+    """Rows of the newest month of a stored report. On a table partitioned by month the filter prunes the partitions."""
     return report.filter(F.col("report_month") == report.agg(F.max("report_month")).scalar())
 
 
+def latest_month_report(cases: DataFrame, precision: int = 6) -> DataFrame:
+    """The report of the newest month alone: the month is found from one column, and older cases are not grouped."""
+    month = cases.agg(F.trunc(F.max("infection_date"), "MM").alias("m")).scalar()
+    return cell_report(cases.filter((F.col("infection_date") >= month) & (F.col("infection_date") < F.add_months(month, 1))), precision)
+
+
 def touched_cells(centres: DataFrame, radius_deg: Column, group: list[str], precision: int = 6) -> DataFrame:
     """Cells met by at least one buffer of each group, as `group` columns and the key `_cell`.
 

@@ -67,9 +67,13 @@ def nearest_facility(
     facility_id: str = "id",
     case_id: str = "case_id",
     cell_side: float = SEARCH_SIDE,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """The nearest facility of every case, as `facility_id` and `dist_deg`; ties go to the lower id.
 
+    Every case keeps its row, also one that repeats another: without coordinates, or outside +-180 and +-90 degrees, it has no
+    facility. The columns of the facility named in `carry` come along.
+
     `cell_side` changes the work, not the answer: about the spacing of the facilities where they are dense is best.
 
     No case is compared with all facilities. The search runs on occupied grid cells, whose number does not grow with
@@ -79,8 +83,10 @@ def nearest_facility(
     side = F.lit(cell_side)
     top = math.ceil(math.log2(WIDEST_CELL / cell_side))
     cell = {"_gx": F.floor(F.col("lon") / side), "_gy": F.floor(F.col("lat") / side)}
-    cases = cases.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
-    facilities = facilities.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    # The number of a row depends on the partition it is read in, so a recomputed task gives the same one.
+    columns, every = cases.columns, cases.withColumn("_row", F.monotonically_increasing_id())
+    on_globe = F.coalesce(F.col("lon").between(-180, 180) & F.col("lat").between(-90, 90), F.lit(False))
+    cases, facilities = every.filter(on_globe), facilities.filter(on_globe)
     box = [
         F.min("lon").alias("x0"), F.min("lat").alias("y0"), F.max("lon").alias("x1"), F.max("lat").alias("y1"),
     ]
@@ -88,6 +94,7 @@ def nearest_facility(
     spots = facilities.select(
         F.col(facility_id).alias("_fid"), F.col("lon").alias("f_lon"), F.col("lat").alias("f_lat"),
         (F.floor(F.col("lon") / side)).alias("_hx"), (F.floor(F.col("lat") / side)).alias("_hy"),
+        F.struct(F.col(facility_id).alias("facility_id"), *carry).alias("_carried"),
     )
     facility_cells = spots.groupBy("_hx", "_hy").agg(
         F.min("f_lon").alias("hx0"), F.min("f_lat").alias("hy0"), F.max("f_lon").alias("hx1"), F.max("f_lat").alias("hy1")
@@ -136,17 +143,14 @@ def nearest_facility(
         candidate_cells.join(spots, ["_hx", "_hy"])
         .withColumn("_far", F.min(_box_gap("max", "f_lon", "f_lat", "f_lon", "f_lat")).over(per_cell))
         .filter(_box_gap("min", "f_lon", "f_lat", "f_lon", "f_lat") <= F.col("_far"))
-        .select("_gx", "_gy", "_fid", "f_lon", "f_lat")
+        .select("_gx", "_gy", "_fid", "f_lon", "f_lat", "_carried")
     )
 
-    kept = [c for c in cases.columns if c not in ("lon", "lat")]
     pairs = salted_join(cases.withColumns(cell), candidates, ["_gx", "_gy"], case_id, load=case_cells)
-    best = F.min(F.struct(dist_deg("lon", "lat", "f_lon", "f_lat").alias("d"), F.col("_fid").alias("f")))
-    return (
-        pairs.groupBy(*kept)
-        .agg(best.alias("_best"))
-        .select(*kept, F.col("_best.f").alias("facility_id"), F.col("_best.d").alias("dist_deg"))
-    )
+    best = F.min_by("_carried", F.struct(dist_deg("lon", "lat", "f_lon", "f_lat"), "_fid")).alias("_best")
+    away = F.min(dist_deg("lon", "lat", "f_lon", "f_lat")).alias("dist_deg")
+    found = pairs.groupBy("_row", *columns).agg(best, away).select(*columns, "_best.*", "dist_deg")
+    return found.unionByName(every.filter(~on_globe).select(*columns), allowMissingColumns=True)
 
 
 def _coarser(index: str, level: str):

@@ -1,52 +1,96 @@
 """Assignment of points to regions."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from epigrid import constants
-from epigrid.functions.rings import inside_edges, ring_edges
+from epigrid.functions.rings import parts_edges, ring_edges
 from epigrid.operators.joins import cell_join
+from epigrid.session import cut_lineage
 
 # Side of a region cell in degrees.
 REGION_SIDE = 0.05
+# A cover is broadcast if its measured size is at most this.
+BROADCAST_BYTES = 64 << 20
+_BOX = ("x0", "y0", "x1", "y1")
+_SHAPE = ("ring", "parts")
 
 
 def region_cells(regions: DataFrame, side: float = REGION_SIDE) -> DataFrame:
-    """Grid cover of the regions: one row per region and cell its box touches.
+    """Grid cover of the regions: one row per region and cell that it meets.
 
-    `whole` marks cells that lie inside the region, where no point needs a test. Other cells carry only the edges that a
-    ray from the cell to the east can meet, so a long coastline is not copied to every cell. Cells that meet no edge and
-    lie outside are dropped.
+    `whole` marks cells that lie inside the region, where no point needs a test. A border cell carries the edges that touch it
+    and whether its lower left corner `_cx`, `_cy` is inside; `inside_cell` decides by them alone. The work follows the edges:
+    each is dealt to the cells that it passes, and the corners' insides come from running counts of the crossings along each
+    row of cells. So it grows with the border's length and spreads over tasks, whatever the shape or the number of rings.
     """
-    s = F.lit(side)
-    spread = (
-        regions.withColumn("_edges", ring_edges(F.col("ring")))
-        .withColumn("_gx", F.explode(F.sequence(F.floor(F.col("x0") / s), F.floor(F.col("x1") / s))))
-        .withColumn("_gy", F.explode(F.sequence(F.floor(F.col("y0") / s), F.floor(F.col("y1") / s))))
-        .withColumns({"_cx0": F.col("_gx") * s, "_cy0": F.col("_gy") * s})
-        .withColumns({"_cx1": F.col("_cx0") + s, "_cy1": F.col("_cy0") + s})
-    )
-    # A margin far above rounding keeps a point that lands in a neighbouring cell by rounding on the tested side.
+    s, key = F.lit(side), ["_region", "_gy"]
+    numbered = regions.withColumn("_region", F.xxhash64(*[c for c in regions.columns if c not in _SHAPE], *_BOX))
+    shape = parts_edges(F.col("parts")) if "parts" in regions.columns else ring_edges(F.col("ring"))
+    edges = numbered.select("_region", F.explode(shape).alias("_e"))
+    ax, ay, bx, by = (F.col(f"_e.{end}.{axis}") for end in "ab" for axis in "xy")
+    # A margin far above rounding: an edge on a cell's side belongs to both cells.
     pad = F.lit(side * 1e-6)
 
-    def in_band(e):
-        return (
-            (F.least(e["a"]["y"], e["b"]["y"]) <= F.col("_cy1") + pad)
-            & (F.greatest(e["a"]["y"], e["b"]["y"]) >= F.col("_cy0") - pad)
-            & (F.greatest(e["a"]["x"], e["b"]["x"]) >= F.col("_cx0") - pad)
-        )
-
-    def over_cell(e):
-        return in_band(e) & (F.least(e["a"]["x"], e["b"]["x"]) <= F.col("_cx1") + pad)
-
-    middle = ((F.col("_cx0") + F.col("_cx1")) / 2, (F.col("_cy0") + F.col("_cy1")) / 2)
-    return (
-        spread.withColumn("_edges", F.filter("_edges", in_band))
-        .withColumn("_border", F.exists("_edges", over_cell))
-        .withColumn("whole", ~F.col("_border") & inside_edges(F.col("_edges"), *middle))
-        .filter(F.col("whole") | F.col("_border"))
-        .withColumn("_edges", F.when(F.col("_border"), F.col("_edges")))
-        .drop("ring", "_border", "_cx0", "_cy0", "_cx1", "_cy1")
+    def cell(value: Column) -> Column:
+        return F.floor(value / s)
+
+    def x_at(y: Column) -> Column:
+        return F.when(ay == by, ax).otherwise(ax + (y - ay) * (bx - ax) / F.nullif(by - ay, F.lit(0.0)))
+
+    rowed = edges.withColumn("_gy", F.explode(F.sequence(cell(F.least(ay, by) - pad), cell(F.greatest(ay, by) + pad))))
+    low, high = F.col("_gy") * s - pad, (F.col("_gy") + 1) * s + pad
+    # the stretch of the edge within the row of cells
+    from_y, to_y = F.greatest(F.least(ay, by), low), F.least(F.greatest(ay, by), high)
+    ends = (F.when(ay == by, F.least(ax, bx)).otherwise(F.least(x_at(from_y), x_at(to_y))),
+            F.when(ay == by, F.greatest(ax, bx)).otherwise(F.greatest(x_at(from_y), x_at(to_y))))
+    passed = F.sequence(cell(F.greatest(ends[0], F.least(ax, bx)) - pad), cell(F.least(ends[1], F.greatest(ax, bx)) + pad))
+    border = (
+        rowed.withColumn("_gx", F.explode(passed))
+        .groupBy(*key, "_gx")
+        .agg(F.collect_list("_e").alias("_edges"))
+        .withColumns({"_cx": F.col("_gx") * s, "_cy": F.col("_gy") * s})
     )
+    # where edges cross the lower side of a row of cells; an edge on the line counts as below it
+    line = F.col("_gy") * s
+    crossings = rowed.filter((ay > line) != (by > line)).select(*key, x_at(line).alias("_x"))
+    events = border.select(*key, F.col("_cx").alias("_x"), F.lit(0).alias("_odd"), "_gx").unionByName(
+        crossings.withColumns({"_odd": F.lit(1), "_gx": F.lit(None).cast("bigint")})
+    )
+    along = Window.partitionBy(*key).orderBy("_x", F.desc("_odd")).rowsBetween(Window.unboundedPreceding, 0)
+    corners = events.withColumn("_inside", F.sum("_odd").over(along) % 2 == 1).filter(F.col("_gx").isNotNull()).drop("_x", "_odd")
+    cornered = border.join(corners, [*key, "_gx"])
+    # the cells between two border cells of a row are whole if the right one's corner is inside
+    before = F.lag("_gx").over(Window.partitionBy(*key).orderBy("_gx"))
+    gaps = corners.withColumn("_before", before).filter(F.col("_inside") & (F.col("_gx") - F.col("_before") > 1))
+    between = gaps.select(*key, F.explode(F.sequence(F.col("_before") + 1, F.col("_gx") - 1)).alias("_gx"))
+    cells = cornered.withColumn("whole", F.lit(False)).unionByName(
+        between.withColumn("whole", F.lit(True)), allowMissingColumns=True
+    )
+    named = numbered.drop(*(c for c in _SHAPE if c in regions.columns))
+    return cells.join(named, "_region").drop("_region")
+
+
+def inside_cell(x: Column, y: Column) -> Column:
+    """Closed test of a point in a border cell: up from the cell's corner to the point's height, then right to the point, and
+    the inside changes at every edge crossed."""
+
+    def on_edge(e):
+        a, b = e["a"], e["b"]
+        cross = (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"])
+        within = x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"]))
+        return (cross == 0.0) & within & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
+
+    cx, cy = F.col("_cx"), F.col("_cy")
+
+    def crossed(e):
+        a, b = e["a"], e["b"]
+        y_at = a["y"] + (cx - a["x"]) * (b["y"] - a["y"]) / F.nullif(b["x"] - a["x"], F.lit(0.0))
+        x_at = a["x"] + (y - a["y"]) * (b["x"] - a["x"]) / F.nullif(b["y"] - a["y"], F.lit(0.0))
+        upwards = ((a["x"] > cx) != (b["x"] > cx)) & (y_at > cy) & (y_at <= y)
+        sideways = ((a["y"] > y) != (b["y"] > y)) & (x_at > cx) & (x_at <= x)
+        return F.coalesce(upwards, F.lit(False)).cast("int") + F.coalesce(sideways, F.lit(False)).cast("int")
+
+    changes = F.aggregate("_edges", F.lit(0), lambda n, e: n + crossed(e))
+    return F.exists("_edges", on_edge) | (F.col("_inside") != (changes % 2 == 1))
 
 
 def assign_region(points: DataFrame, regions: DataFrame, point_id: str = "case_id") -> DataFrame:
@@ -56,11 +100,10 @@ def assign_region(points: DataFrame, regions: DataFrame, point_id: str = "case_i
     from its geometry.
     """
     s = F.lit(REGION_SIDE)
-    covered = [F.floor(F.col(high) / s) - F.floor(F.col(low) / s) + F.lit(1) for low, high in (("x0", "x1"), ("y0", "y1"))]
-    cell_count = regions.agg(F.sum(covered[0] * covered[1])).first()[0] or 0
-    cells = region_cells(regions)
+    cells = cut_lineage(region_cells(regions), "region-cells")
     located = points.withColumns({"_gx": F.floor(F.col("lon") / s), "_gy": F.floor(F.col("lat") / s)})
-    joined = cell_join(located, cells, ["_gx", "_gy"], point_id, cell_count <= constants.BROADCAST_ROWS)
+    size = cells.agg(F.sum(F.lit(100) + 40 * F.coalesce(F.size("_edges"), F.lit(0)))).first()[0] or 0
+    joined = cell_join(located, cells, ["_gx", "_gy"], point_id, size <= BROADCAST_BYTES)
     in_box = F.col("lon").between(F.col("x0"), F.col("x1")) & F.col("lat").between(F.col("y0"), F.col("y1"))
-    inside = F.col("whole") | (in_box & inside_edges(F.col("_edges"), F.col("lon"), F.col("lat")))
-    return joined.filter(inside).drop("_gx", "_gy", "_edges", "whole", "x0", "y0", "x1", "y1")
+    inside = F.col("whole") | (in_box & inside_cell(F.col("lon"), F.col("lat")))
+    return joined.filter(inside).drop("_gx", "_gy", "_edges", "_inside", "_cx", "_cy", "whole", *_BOX)

@@ -41,14 +41,9 @@ def tiers_of(df: DataFrame, tiers=RISK_TIERS) -> DataFrame:
 
 
 def cross_tiers(df: DataFrame, tiers: DataFrame) -> DataFrame:
-    """The same for tiers that come as a table: they are packed into one row and exploded again.
-
-    A tier table is a handful of rows by nature; more than a thousand is taken for a mistake.
-    """
-    rows = tiers.limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError("a tier table has at most 1000 rows")
-    return tiers_of(df, [(row["risk_tier"], row["radius_meters"]) for row in rows])
+    """The same for tiers that come as a table: it is packed into one value, which every row explodes."""
+    options = tiers.agg(F.collect_list(F.struct("risk_tier", "radius_meters"))).scalar()
+    return df.withColumn("_tier", F.explode(options)).select("*", "_tier.*").drop("_tier")
 
 
 def case_buffers(cases: DataFrame, metres: float) -> DataFrame:
@@ -207,10 +202,9 @@ def _open_edges(left: DataFrame, covers: DataFrame, zone: list[str]) -> DataFram
     )
     ix, iy = (F.floor(d / F.lit(MOVE_SIDE)) + F.lit(MOVE_REACH) for d in _moved())
     span = 2 * MOVE_REACH
-    # The hashed side is thinned: its rows per cell are few and their total depends on the area, not on the cases.
-    # Without the hint a broadcast could be chosen from a size estimate that ignores the ninefold copies.
+    # A merge join spills. Without the hint a broadcast could be chosen from a size estimate that ignores the ninefold copies.
     masked = (
-        placed.hint("shuffle_hash")
+        placed.hint("merge")
         .join(covers, ["_gx", "_gy", *zone])
         .filter(ix.between(0, span - 1) & iy.between(0, span - 1))
         .withColumn("_mask", F.element_at(_move_masks(), (ix * F.lit(span) + iy + F.lit(1)).cast("int")))
@@ -244,7 +238,7 @@ def _cut_edges(edges: DataFrame, covers: DataFrame, zone: list[str]) -> DataFram
     # Displacement along the edge's normal and along the edge itself.
     dx, dy = _moved()
     met = (
-        placed.hint("shuffle_hash")
+        placed.hint("merge")
         .join(covers, ["_gx", "_gy", *zone])
         .withColumns({"_up": F.col("nx") * dx + F.col("ny") * dy, "_along": F.col("nx") * dy - F.col("ny") * dx})
         .filter((F.col("_up") >= F.lit(-TOUCH)) & (F.col("_up") <= F.lit(2 * APOTHEM + TOUCH)))
@@ -265,8 +259,9 @@ def _cut_edges(edges: DataFrame, covers: DataFrame, zone: list[str]) -> DataFram
     free = cut.groupBy(*zone, "_r", "lon", "lat", "_id", "k").agg(
         F.max("_t0").alias("t0"),
         F.min("_t1").alias("t1"),
-        F.max_by("_b", "_t0").alias("_from"),
-        F.min_by("_b", "_t1").alias("_to"),
+        # of several buffers that end at one point the one with the lowest number counts
+        F.max_by("_b", F.struct("_t0", F.negative("_b"))).alias("_from"),
+        F.min_by("_b", F.struct("_t1", "_b")).alias("_to"),
     )
     return free.filter(F.col("t1") - F.col("t0") > F.lit(TOUCH))
 

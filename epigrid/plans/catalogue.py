@@ -7,7 +7,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epigrid.functions.geo import dist_deg, round_half_up, to_degrees, to_metres
-from epigrid.functions.rings import number_text, point_wkt, ring_area, ring_wkt
+from epigrid.functions.geohash import cell_text
+from epigrid.functions.rings import (
+    number_text, parts_area, parts_centroid, parts_wkt, point_wkt, ring_area, ring_wkt,
+)
 from epigrid.operators import features, heatmap, proximity, regions, scoring, zones
 from epigrid.plans import batch
 from epigrid.session import tune
@@ -15,6 +18,7 @@ from epigrid.sources import binding, ingest, tables
 
 # The reference points of the distance and nearest-to-point questions.
 CITY_POINT = (100.4856, 13.7590)
+ONE_CASE, ONE_REGION = 42, "FRANCE"
 CLUSTER_POINTS = ((100.554, 13.723), (100.55, 13.72))
 
 
@@ -72,11 +76,11 @@ def distance_to_city(t: Inputs) -> DataFrame:
 
 def nearest_hospital(t: Inputs) -> DataFrame:
     cases = t.cases.select("case_id", "patient_age", "severity", "lon", "lat")
-    names = t.hospitals.select(F.col("id").alias("facility_id"), F.col("name").alias("nearest_hospital"))
-    nearest = proximity.nearest_facility(cases, t.hospitals).withColumn(
-        "distance_meters", round_half_up(to_metres("dist_deg"))
-    )
-    return nearest.join(names, "facility_id").drop("facility_id", "dist_deg")
+    nearest = proximity.nearest_facility(cases, t.hospitals, carry=("name",))
+    return nearest.select(
+        "case_id", "patient_age", "severity", F.col("name").alias("nearest_hospital"),
+        round_half_up(to_metres("dist_deg")).alias("distance_meters"),
+    )
 
 
 def hospital_case_load(t: Inputs) -> DataFrame:
@@ -86,8 +90,9 @@ def hospital_case_load(t: Inputs) -> DataFrame:
 
 
 def hospital_case_load_all(t: Inputs) -> DataFrame:
-    pairs = proximity.within_distance(t.hospitals, t.cases, 5000, how="left")
-    return pairs.groupBy("name", "province").agg(F.count("case_id").alias("case_count"))
+    load = proximity.within_distance(t.hospitals, t.cases, 5000).groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
+    counted = t.hospitals.select("id", "name", "province").join(load, "id", "left")
+    return counted.groupBy("name", "province").agg(F.sum(F.coalesce("_n", F.lit(0))).alias("case_count"))
 
 
 def hospitals_nearest_points(t: Inputs) -> DataFrame:
@@ -247,7 +252,7 @@ def sharpest_change(t: Inputs) -> DataFrame:
 
 
 def latest_month(t: Inputs) -> DataFrame:
-    return heatmap.latest_month(heatmap.cell_report(t.cases)).select("report_month", "wkt", "case_count")
+    return heatmap.latest_month_report(t.cases).select("report_month", "wkt", "case_count")
 
 
 def fine_heatmap(t: Inputs) -> DataFrame:
@@ -305,7 +310,32 @@ def layer_extents(t: Inputs) -> DataFrame:
 
 
 def geojson_points(t: Inputs) -> DataFrame:
-    return features.geojson(t.schools, features.point_geometry(), ["id", "name"]).select("value")
+    return features.geojson_text(t.schools, "Point", features.position_text(F.col("lon"), F.col("lat")), ["id", "name"])
+
+
+def geojson_cells(t: Inputs) -> DataFrame:
+    """The heatmap's cells with their rectangle and case counts."""
+    counted = heatmap.with_key(t.cases, 6).groupBy("_cell").agg(F.count(F.lit(1)).alias("case_count"))
+    named = heatmap.cell_rings(counted.withColumn("cell_id", cell_text(F.col("_cell"), 6)), 6)
+    return features.geojson_text(named, "Polygon", features.ring_text(), ["cell_id", "case_count"])
+
+
+def one_case_buffer(t: Inputs) -> DataFrame:
+    """The buffer of one case; the filter reaches the scan."""
+    return case_buffer(Inputs(t.spark, t.folder)).filter(F.col("case_id") == ONE_CASE)
+
+
+def one_region_heatmap(t: Inputs) -> DataFrame:
+    """The heatmap of one region; the filter reaches the scan of the regions."""
+    located = regions.assign_region(t.cases, t.regions.filter(F.col("region_name") == ONE_REGION)).drop("ring")
+    cells = heatmap.cell_heatmap(located, polygons=True)
+    return cells.select("cell_id", "case_count", F.col("cell_polygon_wkt").alias("wkt"))
+
+
+def zone_readback(t: Inputs) -> DataFrame:
+    """The risk zones sorted by their radius, which is not shown."""
+    ordered = risk_zones(t).orderBy("region_name", "radius_meters")
+    return ordered.select("region_name", "risk_tier", "case_count", "area_sq_km")
 
 
 def wkt_points(t: Inputs) -> DataFrame:
@@ -332,6 +362,46 @@ def wkt_rejects(t: Inputs) -> DataFrame:
     return rejects.select("event_id", "wkt")
 
 
+def wkt_mixed_points(t: Inputs) -> DataFrame:
+    """Good and bad point texts made from the events: every row is either accepted with its coordinates or a reject."""
+    x, y, turn = number_text(F.col("lon")), number_text(F.col("lat")), F.col("case_id") % 5
+    text = (
+        F.when(turn == 0, F.concat(F.lit("POINT("), x, F.lit(" "), y, F.lit(")")))
+        .when(turn == 1, F.concat(F.lit("  point ( "), x, F.lit("  "), y, F.lit(" ) ")))
+        .when(turn == 2, F.concat(F.lit("POINT("), x, F.lit(")")))
+        .when(turn == 3, F.concat(F.lit("POINT("), x, F.lit(" "), y, F.lit(") "), F.col("severity")))
+    )
+    good, bad = ingest.ingest_wkt(t.cases.select("case_id", text.alias("wkt")), "wkt")
+    shown = good.select("case_id", F.lit(True).alias("accepted"), number_text(F.col("lon")).alias("lon"), number_text(F.col("lat")).alias("lat"))
+    return shown.unionByName(bad.select("case_id", F.lit(False).alias("accepted")), allowMissingColumns=True)
+
+
+def wkt_mixed_polygons(t: Inputs) -> DataFrame:
+    """Polygon texts with one ring, a hole, two parts, and an open ring, made from the region boxes."""
+    key = F.col("region_code").cast("int")
+    x, y = F.col("x0").cast("int"), F.col("y0").cast("int")
+
+    def box(x0, y0, x1, y1, closed=True):
+        corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1)] + [(x0, y0)] * closed
+        pairs = [F.concat(a.cast("string"), F.lit(" "), b.cast("string")) for a, b in corners]
+        return F.concat(F.lit("("), F.concat_ws(", ", *pairs), F.lit(")"))
+
+    outer, hole, far = box(x, y, x + 4, y + 4), box(x + 1, y + 1, x + 2, y + 3), box(x + 10, y, x + 11, y + 1)
+    text = (
+        F.when(key % 4 == 0, F.concat(F.lit("POLYGON("), outer, F.lit(")")))
+        .when(key % 4 == 1, F.concat(F.lit("POLYGON("), outer, F.lit(", "), hole, F.lit(")")))
+        .when(key % 4 == 2, F.concat(F.lit("MULTIPOLYGON(("), outer, F.lit(", "), hole, F.lit("), ("), far, F.lit("))")))
+        .otherwise(F.concat(F.lit("POLYGON("), box(x, y, x + 4, y + 4, closed=False), F.lit(")")))
+    )
+    good, bad = ingest.ingest_wkt(t.regions.select("region_code", text.alias("wkt")), "wkt", kind="polygon")
+    centre = parts_centroid(F.col("parts"))
+    shown = good.select(
+        "region_code", F.lit(True).alias("accepted"), round_half_up(parts_area(F.col("parts")), 4).alias("area"),
+        round_half_up(centre["x"], 6).alias("cx"), round_half_up(centre["y"], 6).alias("cy"), parts_wkt(F.col("parts")).alias("wkt"),
+    )
+    return shown.unionByName(bad.select("region_code", F.lit(False).alias("accepted")), allowMissingColumns=True)
+
+
 def repeated_names(t: Inputs) -> DataFrame:
     return tables.duplicate_keys(t.schools, ["district"])
 
@@ -388,6 +458,12 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "q34_cell_features": cell_features,
     "q34_layer_extents": layer_extents,
     "geojson_points": geojson_points,
+    "geojson_cells": geojson_cells,
+    "q07_one_case_buffer": one_case_buffer,
+    "q26_one_region_heatmap": one_region_heatmap,
+    "q15_zone_readback": zone_readback,
+    "wkt_mixed_points": wkt_mixed_points,
+    "wkt_mixed_polygons": wkt_mixed_polygons,
     "wkt_points": wkt_points,
     "wkt_polygons": wkt_polygons,
     "wkt_rejects": wkt_rejects,

@@ -2,7 +2,7 @@
 
 from epigrid.constants import APOTHEM, HALF_SIDE, HEAT_RAMP, NORMALS, SIDES, UNIT_AREA, VERTICES
 from epigrid.functions.geohash import ALPHABET
-from epigrid.plans.catalogue import CITY_POINT, CLUSTER_POINTS
+from epigrid.plans.catalogue import CITY_POINT, CLUSTER_POINTS, ONE_CASE, ONE_REGION
 
 
 def _place(axis: str, cluster: str, jitter: str) -> str:
@@ -219,6 +219,25 @@ def _colour(value: str) -> str:
     return f"CASE {' '.join(cases)} ELSE '{HEAT_RAMP[-1][1]}' END"
 
 
+def _ring_sql(x: str, y: str, width: int, height: int) -> str:
+    corners = ((0, 0), (width, 0), (width, height), (0, height), (0, 0))
+    pairs = (f"({x} + {i}) || '.000000000 ' || ({y} + {j}) || '.000000000'" for i, j in corners)
+    return "'(' || " + " || ', ' || ".join(pairs) + " || ')'"
+
+
+#: Areas and centroids by hand: a square of side 4 (16), less a hole of 1 x 2 (2), and a far square of side 1.
+_MIXED = f"""SELECT region_code, m < 3 AS accepted,
+  CASE m WHEN 0 THEN 16.0::DOUBLE WHEN 1 THEN 14.0::DOUBLE WHEN 2 THEN 15.0::DOUBLE END AS area,
+  CASE m WHEN 0 THEN x + 2.0::DOUBLE WHEN 1 THEN {_round("x + (16 * 2 - 2 * 1.5)::DOUBLE / 14", 6)}
+    WHEN 2 THEN {_round("x + (16 * 2 - 2 * 1.5 + 10.5)::DOUBLE / 15", 6)} END AS cx,
+  CASE m WHEN 0 THEN y + 2.0::DOUBLE WHEN 1 THEN y + 2.0::DOUBLE WHEN 2 THEN {_round("y + (16 * 2 - 2 * 2 + 0.5)::DOUBLE / 15", 6)} END AS cy,
+  CASE m WHEN 0 THEN 'POLYGON(' || {_ring_sql("x", "y", 4, 4)} || ')'
+    WHEN 1 THEN 'POLYGON(' || {_ring_sql("x", "y", 4, 4)} || ', ' || {_ring_sql("(x + 1)", "(y + 1)", 1, 2)} || ')'
+    WHEN 2 THEN 'MULTIPOLYGON((' || {_ring_sql("x", "y", 4, 4)} || ', ' || {_ring_sql("(x + 1)", "(y + 1)", 1, 2)} || '), ('
+      || {_ring_sql("(x + 10)", "y", 1, 1)} || '))' END AS wkt
+FROM (SELECT region_code, CAST(x0 AS INTEGER) AS x, CAST(y0 AS INTEGER) AS y, CAST(region_code AS INTEGER) % 4 AS m FROM regions)"""
+
+
 def oracle_sql() -> dict[str, str]:
     month = "CAST(date_trunc('month', infection_date) AS DATE)"
     age = _round("avg(patient_age)", 1)
@@ -471,6 +490,32 @@ FROM (SELECT region_name, count(DISTINCT case_id) AS case_count FROM located GRO
             f"""SELECT region_code, {", ".join(f"{_round(c, 4)} AS {c}" for c in ("x0", "y0", "x1", "y1"))},
   {_round("(x1 - x0) * (y1 - y0)", 4)} AS area FROM regions"""
         ),
+        "geojson_points": _with(
+            f"""SELECT '{{"type":"Feature","geometry":{{"type":"Point","coordinates":[' || {_text("lon")} || ',' || {_text("lat")}
+  || ']}},"properties":{{"id":' || id || ',"name":"' || name || '"}}}}' AS value FROM schools"""
+        ),
+        "geojson_cells": _with(
+            f"""SELECT '{{"type":"Feature","geometry":{{"type":"Polygon","coordinates":[['
+  || {" || ',' || ".join(f"'[' || {_text(x)} || ',' || {_text(y)} || ']'" for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)))}
+  || ']]}},"properties":{{"cell_id":"' || {h6} || '","case_count":' || count(*) || '}}}}' AS value FROM hashed GROUP BY {h6}""",
+            _hash(),
+        ),
+        "q07_one_case_buffer": _with(
+            f"SELECT case_id, severity, {_buffer_wkt(_deg(500))} AS buffer_500m_wkt FROM cases WHERE case_id = {ONE_CASE}"
+        ),
+        "q26_one_region_heatmap": _with(
+            f"""SELECT {h6} AS cell_id, count(*) AS case_count, {_rect_wkt(6)} AS wkt
+FROM hashed WHERE region_name = '{ONE_REGION}' GROUP BY {h6}""",
+            _hash("located"),
+        ),
+        "q15_zone_readback": _with(
+            f"SELECT region_name, risk_tier, case_count, {_round('area', 3)} AS area_sq_km FROM zones", *_areas()
+        ),
+        "wkt_mixed_points": _with(
+            f"""SELECT case_id, case_id % 5 < 2 AS accepted, CASE WHEN case_id % 5 < 2 THEN {_text("lon")} END AS lon,
+  CASE WHEN case_id % 5 < 2 THEN {_text("lat")} END AS lat FROM cases"""
+        ),
+        "wkt_mixed_polygons": _with(_MIXED),
         "wkt_rejects": "SELECT event_id, props AS wkt FROM events",
         "repeated_names": _with(
             "SELECT district, count(*) AS row_count FROM schools GROUP BY district HAVING count(*) > 1"

@@ -3,7 +3,7 @@
 import os
 from collections.abc import Callable
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from epigrid.constants import RISK_TIERS
@@ -13,7 +13,10 @@ from epigrid.sources import fixture, schemas
 
 _NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
 _POINT = rf"(?i)^\s*POINT\s*\(\s*({_NUMBER})\s+({_NUMBER})\s*\)\s*$"
-_POLYGON = rf"(?i)^\s*POLYGON\s*\(\s*\(([^()]*)\)\s*\)\s*$"
+_RING = r"\(\s*[^()]*\)"
+_PART = rf"\(\s*{_RING}(?:\s*,\s*{_RING})*\s*\)"
+_POLYGON = rf"(?i)^\s*POLYGON\s*({_PART})\s*$"
+_MULTIPOLYGON = rf"(?i)^\s*MULTIPOLYGON\s*\(\s*({_PART}(?:\s*,\s*{_PART})*)\s*\)\s*$"
 _VERTEX = rf"^\s*{_NUMBER}\s+{_NUMBER}\s*$"
 
 
@@ -24,8 +27,9 @@ def point_from_wkt(wkt: Column) -> dict[str, Column]:
     }
 
 
-def ring_from_wkt(wkt: Column) -> Column:
-    """Outer ring of a single-ring polygon text, NULL where the text is not one closed ring."""
+def parts_from_wkt(wkt: Column) -> Column:
+    """Parts of a POLYGON or MULTIPOLYGON text, each an outer ring and its holes; NULL where it is neither, or a ring is not
+    closed or not made of number pairs."""
 
     def vertex(text):
         return let(
@@ -35,33 +39,61 @@ def ring_from_wkt(wkt: Column) -> Column:
             ),
         )
 
-    def parse(vertices):
-        good = F.forall(vertices, lambda v: F.rlike(v, F.lit(_VERTEX))) & (F.size(vertices) >= 4)
-        ring = F.when(good, F.transform(vertices, vertex))
-        return let(ring, lambda r: F.when(F.element_at(r, 1) == F.element_at(r, -1), r))
+    def ring(text):
+        def parse(vertices):
+            good = F.forall(vertices, lambda v: F.rlike(v, F.lit(_VERTEX))) & (F.size(vertices) >= 4)
+            return let(
+                F.when(good, F.transform(vertices, vertex)), lambda r: F.when(F.element_at(r, 1) == F.element_at(r, -1), r)
+            )
+
+        return let(F.split(F.regexp_replace(text, r"[()]", ""), ","), parse)
+
+    def part(text):
+        return F.transform(F.regexp_extract_all(text, F.lit(f"({_RING})"), F.lit(1)), ring)
+
+    body = F.concat(F.regexp_extract(wkt, _POLYGON, 1), F.regexp_extract(wkt, _MULTIPOLYGON, 1))
+
+    def whole(parts):
+        good = (F.size(parts) > 0) & F.forall(parts, lambda rings: F.forall(rings, lambda r: r.isNotNull()))
+        return F.when(good, parts)
+
+    return let(F.transform(F.regexp_extract_all(body, F.lit(f"({_PART})"), F.lit(1)), part), whole)
+
 
-    return let(F.split(F.regexp_extract(wkt, _POLYGON, 1), ","), parse)
+def ring_from_wkt(wkt: Column) -> Column:
+    """Outer ring of a polygon text with one ring; NULL for everything else."""
+
+    def single(parts):
+        return F.when((F.size(parts) == 1) & (F.size(F.element_at(parts, 1)) == 1), F.element_at(F.element_at(parts, 1), 1))
+
+    return let(parts_from_wkt(wkt), single)
 
 
 def ingest_wkt(df: DataFrame, wkt: str, kind: str = "point") -> tuple[DataFrame, DataFrame]:
-    """Split rows into those whose `wkt` column parses (with coordinates instead of text) and the rejects."""
+    """Split rows into those whose `wkt` column parses (with coordinates instead of text) and the rejects.
+
+    Polygons come with `parts`, all their rings, and with `ring`, the outer ring if there is no other.
+    """
     if kind == "point":
         parsed = df.withColumns(point_from_wkt(F.col(wkt)))
         good = F.col("lon").isNotNull() & F.col("lat").isNotNull()
         added = ["lon", "lat"]
     elif kind == "polygon":
-        parsed = with_box(df.withColumn("ring", ring_from_wkt(F.col(wkt))))
-        good = F.col("ring").isNotNull()
-        added = ["ring", "x0", "y0", "x1", "y1"]
+        parsed = with_box(df.withColumn("parts", parts_from_wkt(F.col(wkt))))
+        alone = (F.size("parts") == 1) & (F.size(F.element_at("parts", 1)) == 1)
+        parsed = parsed.withColumn("ring", F.when(alone, F.element_at(F.element_at("parts", 1), 1)))
+        good = F.col("parts").isNotNull()
+        added = ["ring", "parts", "x0", "y0", "x1", "y1"]
     else:
         raise ValueError(f"unknown kind {kind!r}")
     return parsed.filter(good).drop(wkt), parsed.filter(~good).drop(*added)
 
 
 def with_box(df: DataFrame) -> DataFrame:
-    """Add the bounding box of the `ring` column."""
-    xs = F.transform("ring", lambda p: p["x"])
-    ys = F.transform("ring", lambda p: p["y"])
+    """Add the bounding box of the `parts` column, or of `ring` where there is none."""
+    corners = F.flatten(F.flatten("parts")) if "parts" in df.columns else F.col("ring")
+    xs = F.transform(corners, lambda p: p["x"])
+    ys = F.transform(corners, lambda p: p["y"])
     return df.withColumns(
         {"x0": F.array_min(xs), "y0": F.array_min(ys), "x1": F.array_max(xs), "y1": F.array_max(ys)}
     )
@@ -70,27 +102,31 @@ def with_box(df: DataFrame) -> DataFrame:
 def load_csv(
     spark: SparkSession, path: str, schema: str, header: bool = True, bad_path: str | None = None
 ) -> DataFrame:
-    """Read CSV rows into a declared schema. Rows that do not fit are left out, and written to `bad_path` if given."""
+    """Read CSV rows into a declared schema.
+
+    A row that does not fit stops the load, naming the row; with `bad_path` such rows are written there instead.
+    """
     fields = T.StructType.fromDDL(schema)
+    reader = spark.read.option("header", header)
+    if bad_path is None:
+        return reader.schema(fields).option("mode", "FAILFAST").csv(path)
     bad = "_corrupt_record"
     raw = (
-        spark.read.schema(T.StructType([*fields.fields, T.StructField(bad, T.StringType())]))
-        .option("header", header)
+        reader.schema(T.StructType([*fields.fields, T.StructField(bad, T.StringType())]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", bad)
         .csv(path)
     )
-    if bad_path is not None:
-        # The reader does not accept a query on the corrupt column alone, so the whole row is kept.
-        raw.filter(F.col(bad).isNotNull()).write.mode("overwrite").json(bad_path)
+    # The reader does not accept a query on the corrupt column alone, so the whole row is kept.
+    raw.filter(F.col(bad).isNotNull()).write.mode("overwrite").json(bad_path)
     return raw.filter(F.col(bad).isNull()).drop(bad)
 
 
 def load_csv_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The four exported map inputs. A missing file is an error, raised when the path is resolved."""
+    """The four exported map inputs. A missing file is an error, raised when the path is resolved; so is a field that does
+    not fit, raised when the rows are read."""
     return {
-        name: spark.read.schema(schema).option("header", True).csv(os.path.join(folder, f"{name}.csv"))
-        for name, schema in schemas.EXPORTS.items()
+        name: load_csv(spark, os.path.join(folder, f"{name}.csv"), schema) for name, schema in schemas.EXPORTS.items()
     }
 
 
@@ -106,13 +142,20 @@ def load_tables(spark: SparkSession, zones: str, report: str, hospitals: str, sc
     }
 
 
+#: Conditions under which a source counts as missing. Anything else, such as an unknown column, is a fault of the source.
+_MISSING = ("TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND", "SCHEMA_NOT_FOUND")
+
+
 def first_available(*loaders: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
-    """Result of the first loader whose sources exist; the last one's error is raised."""
+    """Result of the first loader whose sources exist; the last one's error is raised, and every error but a missing source."""
     for loader in loaders[:-1]:
         try:
             return loader()
-        except (PySparkException, FileNotFoundError):
+        except FileNotFoundError:
             continue
+        except AnalysisException as error:
+            if (error.getCondition() or "").split(".")[0] not in _MISSING:
+                raise
     return loaders[-1]()
 
 

@@ -13,10 +13,10 @@ from epigrid.sources.fixture import fixture_tables  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
-    session = tune(local_session("8", app="tests", settings={"spark.sql.warehouse.dir": warehouse}))
+    shared = str(tmp_path_factory.mktemp("checkpoint"))
+    settings = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": shared}
+    session = tune(local_session("8", app="tests", settings=settings))
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
 

@@ -180,7 +180,7 @@ def test_nearest_does_not_depend_on_the_cells(spark, small):
     wanted = [
         (i, min((((x - fx) ** 2 + (y - fy) ** 2) ** 0.5, f) for f, fx, fy in facts)[1])
         for i, (x, y) in enumerate(places) if x is not None
-    ]
+    ] + [(5, None)]
     for side in (0.005, 0.05, 3.0):
         assert rows(proximity.nearest_facility(cases, hospitals, cell_side=side), "case_id", "facility_id") == wanted
 
@@ -200,3 +200,14 @@ def test_no_facility_in_range(spark, small):
     nowhere = spark.createDataFrame([(1, 0.0, 0.0, "DF")], "case_id int, lon double, lat double, severity string")
     assert scoring.case_load(small["schools"], nowhere, 1000).count() == 0
     assert proximity.within_distance(small["schools"], nowhere, 1000, how="left").filter("case_id IS NULL").count() == 10
+
+
+def test_nearest_keeps_every_row(spark, small):
+    """Repeated rows, one id at two places, no coordinates, and places off the globe."""
+    places = [(1, 100.5, 13.7), (1, 100.5, 13.7), (1, 99.0, 18.8), (2, None, 13.0), (3, 5000.0, 13.0), (4, 100.0, float("nan")), (5, 100.0, -91.0)]
+    cases = spark.createDataFrame(places, "case_id int, lon double, lat double")
+    found = proximity.nearest_facility(cases, small["hospitals"], carry=("name",))
+    assert found.columns == ["case_id", "lon", "lat", "facility_id", "name", "dist_deg"]
+    assert [r[0] for r in rows(found.filter("facility_id IS NOT NULL"), "case_id")] == [1, 1, 1]
+    assert found.filter("case_id = 1").select("facility_id").distinct().count() == 2
+    assert [r[0] for r in rows(found.filter("name IS NULL"), "case_id")] == [2, 3, 4, 5]

@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__ as contract
 from compare import connect, difference
 from conftest import rows
+from epigrid.operators.regions import region_cells
+from epigrid.sources import binding
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -62,3 +64,11 @@ def test_shuffled_and_salted_paths_agree(spark, monkeypatch):
     for n in names:
         df = contract.queries()[n](spark, FOLDER)
         assert rows(df, *sorted(df.columns)) == before[n], n
+
+
+def test_selective_filters_reach_the_scan(spark):
+    plan = contract.queries()["q07_one_case_buffer"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(event_id,42)" in plan
+    # the cover of the one region is stored while the query is built; its plan has the filter in the scan
+    one = binding.regions(spark, FOLDER).filter("region_name = 'FRANCE'")
+    assert "EqualTo(n_name,FRANCE)" in region_cells(one)._jdf.queryExecution().executedPlan().toString()

@@ -1,6 +1,9 @@
 """Ingest, exports, tables and features."""
 
 import json
+import math
+import random
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -44,6 +47,37 @@ def test_points_in_any_ring(spark):
     assert rows(regions.assign_region(df, regs), "case_id") == [(0,), (2,), (3,), (4,), (6,), (7,), (8,)]
 
 
+def test_random_shapes_as_regions(spark):
+    """Jagged rings with holes, points on corners and sides: the cover agrees with the test on all edges."""
+    rng = random.Random(5)
+
+    def jagged(x, y, r, n):
+        turns = sorted(rng.uniform(0, 2 * math.pi) for _ in range(n))
+        ring = [(round(x + r * rng.uniform(0.5, 1) * math.cos(t), 3), round(y + r * rng.uniform(0.5, 1) * math.sin(t), 3)) for t in turns]
+        return ring + ring[:1]
+
+    shapes = [
+        [[jagged(0, 0, 0.5, 40)]], [[jagged(1, 1, 0.6, 25), jagged(1, 1, 0.2, 9)]], [[jagged(-1, 0.3, 0.3, 12)], [jagged(-1, -0.9, 0.07, 5)]],
+        [[[(0.5, 0.5), (0.8, 0.5), (0.8, 0.55), (0.5, 0.55), (0.5, 0.5)]]],
+    ]
+    regs = ingest.with_box(spark.createDataFrame(list(enumerate(shapes)), f"region_name int, parts {rings.PARTS_TYPE}"))
+    corners = [p for parts in shapes for part in parts for ring in part for p in ring]
+    points = corners + [(round(rng.uniform(-1.5, 2), 2), round(rng.uniform(-1.5, 2), 2)) for _ in range(3000)]
+    cases = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)], "case_id int, lon double, lat double")
+    plain = cases.crossJoin(regs).filter(rings.inside_edges(rings.parts_edges(F.col("parts")), F.col("lon"), F.col("lat")))
+    assert rows(regions.assign_region(cases, regs), "case_id", "region_name") == rows(plain, "case_id", "region_name")
+
+
+def test_a_long_border_is_covered_quickly(spark):
+    n = 20_000
+    ring = [(2.5 * math.cos(2 * math.pi * k / n) * (1 + 0.01 * (k % 7)), 2.5 * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    regs = ingest.with_box(spark.createDataFrame([("r", [[ring + ring[:1]]])], f"region_name string, parts {rings.PARTS_TYPE}"))
+    start = time.time()
+    cover = regions.region_cells(regs)
+    assert cover.filter("whole").count() > 6000 and time.time() - start < 30
+    assert cover.agg(F.max(F.size("_edges"))).first()[0] < 600
+
+
 def test_overlapping_regions_and_nulls(spark, small):
     df = spark.createDataFrame(
         [(1, 99.3, 19.6), (2, 100.3270, 13.58), (3, None, 13.6), (4, 0.0, 0.0)], "case_id int, lon double, lat double"
@@ -74,6 +108,54 @@ def test_csv(spark, tmp_path):
     bad = str(tmp_path / "bad")
     assert rows(ingest.load_csv(spark, str(path), schemas.SCHOOLS, bad_path=bad), "id", "lon") == [(1, 100.5)]
     assert spark.read.json(bad).count() == 1
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        ingest.load_csv(spark, str(path), schemas.SCHOOLS).collect()
+
+
+def test_polygons_of_several_rings(spark):
+    """Holes and parts: parsed, measured, written, and used as regions."""
+    hole = "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 1 3, 2 3, 2 1, 1 1))"
+    many = "MULTIPOLYGON(((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 3, 1 3, 1 1)), ((10 0, 11 0, 11 1, 10 1, 10 0)))"
+    broken = [
+        "POLYGON((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 3))", "MULTIPOLYGON((0 0, 4 0, 4 4, 0 0))", "POLYGON(())", "MULTIPOLYGON()", "POLYGON EMPTY",
+    ]
+    df = spark.createDataFrame(list(enumerate([hole, many, *broken])), "region_name int, wkt string")
+    good, bad = ingest.ingest_wkt(df, "wkt", kind="polygon")
+    assert rows(bad, "region_name") == [(2,), (3,), (4,), (5,), (6,)]
+    centre = rings.parts_centroid(F.col("parts"))
+    measured = good.select("region_name", rings.parts_area(F.col("parts")).alias("a"), F.round(centre["x"] * 30).alias("x"), "x1")
+    assert rows(measured, "region_name", "a", "x", "x1") == [(0, 14.0, 62.0, 4.0), (1, 15.0, 79.0, 11.0)]
+    text = rows(good.select("region_name", rings.parts_wkt(F.col("parts")).alias("w")), "region_name", "w")
+    assert text[0][1].startswith("POLYGON((0.000000000 0.000000000") and text[1][1].startswith("MULTIPOLYGON(((")
+    again, _ = ingest.ingest_wkt(good.select("region_name", rings.parts_wkt(F.col("parts")).alias("wkt")), "wkt", kind="polygon")
+    assert rows(again, "region_name", "parts") == rows(good, "region_name", "parts")
+    points = [(0.5, 0.5), (1.5, 2.0), (1.0, 2.0), (3.0, 3.0), (10.5, 0.5), (5.0, 0.5), (4.0, 4.0)]
+    cases = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)], "case_id int, lon double, lat double")
+    found = rows(regions.assign_region(cases, good), "case_id", "region_name")
+    assert found == [(0, 0), (0, 1), (2, 0), (2, 1), (3, 0), (3, 1), (4, 1), (6, 0), (6, 1)]
+    features_of = features.geojson(features.polygon_features(df.filter("region_name < 2")), features.parts_geometry(), ["region_name"])
+    shapes = [json.loads(r["value"])["geometry"] for r in features_of.collect()]
+    assert [len(g["coordinates"]) for g in shapes] == [1, 2] and [len(g["coordinates"][0]) for g in shapes] == [2, 2]
+    with pytest.raises(Exception, match="not a polygon"):
+        features.polygon_features(df).collect()
+
+
+def test_a_fault_is_no_missing_source(spark, tmp_path):
+    """A stored report whose column was renamed stops the load; it is not replaced by the demo layers."""
+    spark.range(1).selectExpr("'x' AS text", "1L AS case_count").createOrReplaceTempView("renamed_report")
+    load = lambda: ingest.load_tables(spark, "renamed_report", "renamed_report", "renamed_report", "renamed_report")
+    with pytest.raises(AnalysisException, match="UNRESOLVED_COLUMN"):
+        ingest.first_available(load, lambda: ingest.demo_layers(spark))
+
+
+def test_tiers_from_a_table(spark, small):
+    tiers = spark.createDataFrame([(f"T{k}", k) for k in range(1500)], "risk_tier string, radius_meters int")
+    assert zones.cross_tiers(small["cases"].limit(2), tiers).count() == 3000
+
+
+def test_cells_keep_cases_without_coordinates(spark):
+    cases = spark.createDataFrame([(1, None, 13.0), (2, 100.553, 13.723)], "case_id int, lon double, lat double")
+    assert rows(heatmap.with_cells(cases), "case_id", "cell_6") == [(1, None), (2, "w4rw04")]
 
 
 def test_first_available(spark, tmp_path):
@@ -110,9 +192,9 @@ def test_features(spark, small, tmp_path):
     box = features.extent(small["hospitals"], F.col("lon"), F.col("lat")).first()
     assert tuple(box) == (13.693, 98.958, 20.428, 100.678)
     out = str(tmp_path / "features")
-    features.write_features(features.geojson(polygons, features.ring_geometry(), ["risk_tier"]), out)
+    features.write_features(features.geojson(polygons, features.parts_geometry(), ["risk_tier"]), out)
     lines = [json.loads(r["value"]) for r in spark.read.text(out).collect()]
-    assert len(lines) == 9 and lines[0]["geometry"]["type"] == "Polygon" and len(lines[0]["geometry"]["coordinates"][0]) == 5
+    assert len(lines) == 9 and lines[0]["geometry"]["type"] == "MultiPolygon" and len(lines[0]["geometry"]["coordinates"][0][0]) == 5
 
 
 def test_tables(spark, small):
