@@ -19,9 +19,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from epigrid.constants import APOTHEM, HALF_SIDE, NORMALS, RISK_TIERS, SIDES, SQKM_PER_SQDEG, UNIT_AREA, VERTICES
 from epigrid.functions.geo import round_half_up, to_degrees
-from epigrid.functions.rings import buffer_ring, ring_wkt
+from epigrid.functions.rings import RING_TYPE, buffer_ring, let, ring_contains, ring_wkt
 from epigrid.operators.joins import neighbours, offset_array
 from epigrid.session import cut_lineage
+from epigrid.sources.ingest import with_box
 
 ALL_EDGES = (1 << SIDES) - 1
 # Cell side of the first thinning step in radii, the factor between steps, and how far a cell looks for cover.
@@ -32,6 +33,8 @@ THIN_STEPS, CROWDED = 8, 16
 MOVE_SIDE, MOVE_REACH = 0.125, 9
 # Two edges closer than this many radii count as on one line.
 TOUCH = 1e-9
+# Ends of pieces closer than half of this many radii are one point.
+NEAR = 1e-6
 
 
 def tiers_of(df: DataFrame, tiers=RISK_TIERS) -> DataFrame:
@@ -254,14 +257,10 @@ def _cut_edges(edges: DataFrame, covers: DataFrame, zone: list[str]) -> DataFram
             "_t1": F.when(hides & (high >= half) & (low < half), F.greatest(low, -half)).otherwise(half),
         }
     )
-    # The edge's own buffer is among those that it meets, so every edge has a row. `_from` and `_to` are the buffers that
-    # the free piece comes out of and goes into; without one, the piece starts or ends at a corner of its own buffer.
+    # The edge's own buffer is among those that it meets, so every edge has a row.
     free = cut.groupBy(*zone, "_r", "lon", "lat", "_id", "k").agg(
         F.max("_t0").alias("t0"),
         F.min("_t1").alias("t1"),
-        # of several buffers that end at one point the one with the lowest number counts
-        F.max_by("_b", F.struct("_t0", F.negative("_b"))).alias("_from"),
-        F.min_by("_b", F.struct("_t1", "_b")).alias("_to"),
     )
     return free.filter(F.col("t1") - F.col("t0") > F.lit(TOUCH))
 
@@ -279,40 +278,24 @@ def outline(cases: DataFrame, group: list[str]) -> DataFrame:
 def rings(cases: DataFrame, group: list[str]) -> DataFrame:
     """The outline as closed rings: the zone, `ring`, the position `seq` in it and the vertex `x`, `y`.
 
-    Every piece knows its follower: the next edge of the same buffer, or the piece with which the buffer that it runs
-    into comes out again (two copies of one convex shape cross twice, so there is one). Following is done by doubling:
-    each round joins every piece with the one that it points to and doubles the distance, and carries the smallest piece
-    number seen and how far away it is. The rounds end when no number changes; there are about log2 of the longest
-    ring. Pieces spread evenly over the tasks whatever the size of a zone or ring.
+    A piece is followed by the one that starts where it ends. Where several pieces end and start at one point, each is followed
+    by the first one clockwise from where it came from, which keeps every corner of the merged area whole. Following is then
+    done by doubling: each round joins every piece with the one that it points to and doubles the distance, and carries the
+    smallest piece number seen and how far away it is. The rounds end when no number changes; there are about log2 of the
+    longest ring. Pieces spread evenly over the tasks whatever the size of a zone or ring.
     """
     zone = [*group, "radius_meters"]
     free = free_edges(distinct_centres(cases, group), group)
-    half = F.lit(HALF_SIDE)
-    corner_start, corner_end = F.col("t0") <= -half, F.col("t1") >= half
-    next_edge = (F.col("k") + F.lit(1)) % F.lit(SIDES)
-
-    def at_corner(edge: Column) -> Column:
-        return (-edge - F.lit(1)).cast("bigint")
-
-    pieces = _piece_ends(
-        free.withColumns(
-            {
-                "_piece": F.col("_id") * F.lit(SIDES) + F.col("k"),
-                "_enter": F.when(corner_start, at_corner(F.col("k"))).otherwise(F.col("_from")),
-                "_owner": F.when(corner_end, F.col("_id")).otherwise(F.col("_to")),
-                "_leave": F.when(corner_end, at_corner(next_edge)).otherwise(F.col("_id")),
-            }
-        ),
-        [*zone, "_id", "_piece", "_enter", "_owner", "_leave"],
-    )
-    pieces = cut_lineage(pieces, "pieces")
-    entries = pieces.select(
-        F.col("_id").alias("_owner"), F.col("_enter").alias("_leave"), F.col("_piece").alias("_jump")
-    )
-    chain = pieces.join(entries, ["_owner", "_leave"]).select(
+    numbered = free.withColumn("_piece", F.col("_id") * F.lit(SIDES) + F.col("k"))
+    pieces = cut_lineage(_piece_ends(numbered, [*zone, "_r", "_piece", "k"]), "pieces")
+    chain = _followers(pieces, zone).select(
         "_piece", "_jump", F.col("_piece").alias("_first"), F.lit(0).cast("bigint").alias("_steps"), F.lit(True).alias("_moved")
     )
     chain, span = cut_lineage(chain, "chain"), 1
+    wrong = pieces.join(chain.groupBy(F.col("_jump").alias("_piece")).agg(F.count(F.lit(1)).alias("_n")), "_piece", "left")
+    wrong = wrong.filter(F.coalesce("_n", F.lit(0)) != 1).select(*zone, "from_x", "from_y").first()
+    if wrong:
+        raise ValueError(f"the outline does not close at {tuple(wrong)}")
     while not chain.filter("_moved").isEmpty():
         ahead = chain.select(
             F.col("_piece").alias("_jump"),
@@ -332,10 +315,6 @@ def rings(cases: DataFrame, group: list[str]) -> DataFrame:
             "chain",
         )
         span *= 2
-    lost = pieces.count() - chain.count()
-    if lost:
-        # More than two buffers through one point to within rounding: say so instead of leaving pieces out.
-        raise ValueError(f"{lost} outline pieces have no follower")
     # A piece that is n steps before the first one stands n places before the end.
     return pieces.join(chain, "_piece").select(
         *zone,
@@ -348,6 +327,28 @@ def rings(cases: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
+def _followers(pieces: DataFrame, zone: list[str]) -> DataFrame:
+    """(_piece, _jump): the piece that follows each. Ends and starts meet on a grid far finer than any piece, and far coarser
+    than rounding; starts are copied to the cells that are half a cell away."""
+    fine = F.col("_r") * F.lit(NEAR)
+
+    def cell(value: Column) -> Column:
+        return F.floor(value / fine)
+
+    steps = F.array(F.lit(-0.5), F.lit(0.5))
+    starts = (
+        pieces.withColumn("_sx", F.explode(F.array_distinct(F.transform(steps, lambda d: cell(F.col("from_x") + d * fine)))))
+        .withColumn("_sy", F.explode(F.array_distinct(F.transform(steps, lambda d: cell(F.col("from_y") + d * fine)))))
+        .select(*zone, "_sx", "_sy", F.col("_piece").alias("_jump"), F.col("k").alias("_k"), F.col("from_x").alias("_x"), F.col("from_y").alias("_y"))
+    )
+    ends = pieces.select(*zone, "_r", "_piece", "k", "to_x", "to_y", cell(F.col("to_x")).alias("_sx"), cell(F.col("to_y")).alias("_sy"))
+    close = (F.abs(F.col("to_x") - F.col("_x")) <= fine / 2) & (F.abs(F.col("to_y") - F.col("_y")) <= fine / 2)
+    # turn from where a piece came from, clockwise, in sides
+    turn = (F.col("k") + F.lit(SIDES // 2 + SIDES - 1) - F.col("_k")) % SIDES
+    met = ends.join(starts, [*zone, "_sx", "_sy"]).filter(close)
+    return met.groupBy("_piece").agg(F.min_by("_jump", F.struct(turn, "_jump")).alias("_jump"))
+
+
 def ring_summary(vertices: DataFrame, group: list[str]) -> DataFrame:
     """Per ring: its vertices and its signed area in square degrees; a hole runs clockwise and has a negative area."""
     origin = vertices.groupBy(*group, "radius_meters", "ring").agg(F.min("x").alias("_x"), F.min("y").alias("_y"))
@@ -373,6 +374,42 @@ def ring_texts(vertices: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
+def zone_parts(vertices: DataFrame, group: list[str]) -> DataFrame:
+    """Per zone its geometry `parts`: every outer ring with the holes in it. One geometry is one value, so one zone has to fit
+    into a row here; the vertex rows of `rings` have no such bound.
+
+    Rings start at their lowest vertex from the left, so the same zone always has the same text. A hole belongs to the smallest
+    outer ring around it.
+    """
+    zone = [*group, "radius_meters"]
+    corner = F.struct(F.col("seq"), F.col("x"), F.col("y"))
+    ordered = vertices.groupBy(*zone, "ring").agg(F.sort_array(F.collect_list(corner)).alias("_v"))
+    points = F.transform("_v", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")))
+
+    def turned(p: Column) -> Column:
+        first = F.array_position(p, F.array_min(p)).cast("int")
+        around = F.concat(F.slice(p, first, F.size(p)), F.slice(p, F.lit(1), first - 1))
+        return F.concat(around, F.slice(around, 1, 1))
+
+    closed = ordered.select(*zone, "ring", let(points, turned).alias("_ring"))
+    areas = ring_summary(vertices, group).select(*zone, "ring", "area_deg2")
+    sized = closed.join(areas, [*zone, "ring"])
+    outer = sized.filter("area_deg2 > 0").withColumn("ring", F.col("_ring"))
+    outer = with_box(outer).select(*zone, F.col("_ring").alias("_outer"), F.col("area_deg2").alias("_size"), "x0", "y0", "x1", "y1")
+    holes = sized.filter("area_deg2 < 0").select(*zone, F.col("ring").alias("_hole_id"), F.col("_ring").alias("_hole"))
+    at = F.element_at("_hole", 1)
+    in_box = at["x"].between(F.col("x0"), F.col("x1")) & at["y"].between(F.col("y0"), F.col("y1"))
+    around = holes.join(outer, zone).filter(in_box).filter(ring_contains(F.col("_outer"), at["x"], at["y"]))
+    owned = around.groupBy(*zone, "_hole_id").agg(
+        F.min_by("_outer", "_size").alias("_outer"), F.first("_hole").alias("_hole")
+    )
+    held = owned.groupBy(*zone, "_outer").agg(F.sort_array(F.collect_list("_hole")).alias("_holes"))
+    parts = outer.join(held, [*zone, "_outer"], "left").withColumn(
+        "_part", F.concat(F.array("_outer"), F.coalesce("_holes", F.array().cast(f"array<{RING_TYPE}>")))
+    )
+    return parts.groupBy(*zone).agg(F.sort_array(F.collect_list("_part")).alias("parts"))
+
+
 def _piece_ends(free: DataFrame, columns: list[str]) -> DataFrame:
     nx, ny = edge_normal()
     reach = F.col("_r") * F.lit(APOTHEM)
@@ -395,16 +432,12 @@ def union_area(cases: DataFrame, group: list[str], steps: int = THIN_STEPS) -> D
     """Area in square degrees of each zone's merged buffers (`group` and `radius_meters`), as `area_deg2`."""
     centres = distinct_centres(cases, group)
     free = free_edges(centres, group, steps)
-    # Coordinates relative to a corner of the group: the terms of the sum nearly cancel far from the origin.
-    corner = centres.groupBy(*group).agg(F.min("lon").alias("_x"), F.min("lat").alias("_y"))
+    # Coordinates relative to a corner of all places: the terms of the sum nearly cancel far from the origin.
+    x, y = (centres.agg(F.min(c)).scalar() for c in ("lon", "lat"))
     nx, ny = edge_normal()
-    height = nx * (F.col("lon") - F.col("_x")) + ny * (F.col("lat") - F.col("_y")) + F.col("_r") * F.lit(APOTHEM)
+    height = nx * (F.col("lon") - x) + ny * (F.col("lat") - y) + F.col("_r") * F.lit(APOTHEM)
     length = (F.col("t1") - F.col("t0")) * F.col("_r")
-    return (
-        free.join(corner, group)
-        .groupBy(*group, "radius_meters")
-        .agg((F.sum(height * length) / F.lit(2.0)).alias("area_deg2"))
-    )
+    return free.groupBy(*group, "radius_meters").agg((F.sum(height * length) / F.lit(2.0)).alias("area_deg2"))
 
 
 def buffer_area(radius_deg: Column) -> Column:
@@ -417,7 +450,7 @@ def risk_zones(located: DataFrame, region: str = "region_name") -> DataFrame:
 
     `located` are cases with their region (one row per region that holds the case).
     """
-    tiers = tiers_of(located.select(region, "lon", "lat"))
+    tiers = tiers_of(located.select(region, "lon", "lat").distinct())
     radius = to_degrees(F.col("radius_meters"))
     merged = union_area(tiers, [region])
     counts = tiers_of(

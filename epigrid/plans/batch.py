@@ -4,17 +4,24 @@ from pyspark.sql import DataFrame, functions as F
 
 from epigrid.constants import SQKM_PER_SQDEG
 from epigrid.functions.geo import round_half_up, to_degrees
+from epigrid.functions.rings import parts_wkt
 from epigrid.operators import heatmap, regions, zones
+from epigrid.session import cut_lineage
 from epigrid.sources.tables import write_table
 
 
 def build_tables(cases: DataFrame, boundaries: DataFrame) -> dict[str, DataFrame]:
     """Write the risk zones, the monthly cell report and their overlay as tables of the current namespace.
 
-    Every write replaces its table, so a second run gives the same tables.
+    The risk zones carry their merged geometry as text. Every write replaces its table, so a second run gives the same tables.
+    The cases are assigned to their regions once.
     """
-    located = regions.assign_region(cases, boundaries)
-    risk = write_table(zones.risk_zones(located), "risk_zones")
+    located = cut_lineage(regions.assign_region(cases, boundaries).drop("ring", "parts"), "located")
+    places = zones.tiers_of(located.select("region_name", "lon", "lat").distinct())
+    shapes = zones.zone_parts(zones.rings(places, ["region_name"]), ["region_name"])
+    texts = shapes.select("region_name", "radius_meters", parts_wkt(F.col("parts")).alias("wkt"))
+    measured = zones.risk_zones(located).join(texts, ["region_name", "radius_meters"], "left")
+    risk = write_table(measured, "risk_zones")
     report = write_table(heatmap.cell_report(cases), "cell_report", partition_by="report_month")
     touched = heatmap.touched_cells(located, to_degrees(F.lit(500.0)), ["region_name"])
     red = risk.filter(F.col("risk_tier") == "RED").select("region_name", "risk_tier", "area_sq_km")
@@ -42,7 +49,7 @@ def red_zone_overlay(report: DataFrame, touched: DataFrame, red: DataFrame) -> D
 
 def red_zones(located: DataFrame) -> DataFrame:
     """Merged area of the RED tier per region."""
-    red = zones.tiers_of(located.select("region_name", "lon", "lat"), zones.RISK_TIERS[:1])
+    red = zones.tiers_of(located.select("region_name", "lon", "lat").distinct(), zones.RISK_TIERS[:1])
     area = round_half_up(F.col("area_deg2") * F.lit(SQKM_PER_SQDEG), 3)
     return zones.union_area(red, ["region_name"]).select(
         "region_name", F.lit("RED").alias("risk_tier"), area.alias("area_sq_km")

@@ -286,7 +286,9 @@ def point_features(t: Inputs) -> DataFrame:
 
 
 def zone_features(t: Inputs) -> DataFrame:
-    styled = features.zone_features(risk_zones(t).drop("area_sq_km"))
+    counts = t.located.groupBy("region_name").agg(F.countDistinct("case_id").alias("case_count"))
+    zoned = zones.tiers_of(counts).select("region_name", "risk_tier", "radius_meters", "case_count")
+    styled = features.zone_features(zoned)
     return styled.select("region_name", "risk_tier", "colour", "opacity", "draw_order", "tooltip")
 
 

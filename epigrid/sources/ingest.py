@@ -131,12 +131,15 @@ def load_csv_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def load_tables(spark: SparkSession, zones: str, report: str, hospitals: str, schools: str) -> dict[str, DataFrame]:
-    """The four map inputs from stored tables."""
+    """The four map inputs from stored tables, under the names that the exports have."""
+    zone = spark.table(zones)
+    if "region_name" in zone.columns:
+        zone = zone.withColumnRenamed("region_name", "province_name")
     return {
         "hexbin_report": spark.table(report).selectExpr(
             "wkt", "case_count", "dhf_count + dss_count AS severe_count", "avg_age"
         ),
-        "risk_zones": spark.table(zones),
+        "risk_zones": zone.select("province_name", "risk_tier", "radius_meters", "case_count", "area_sq_km", "wkt"),
         "hospitals": spark.table(hospitals).select("name", "province", "lon", "lat"),
         "schools": spark.table(schools).select("name", "district", "lon", "lat"),
     }

@@ -205,6 +205,15 @@ def test_tables(spark, small):
             built = build_tables(small["cases"], small["regions"])
             assert {n: d.count() for n, d in built.items()} == {"risk_zones": 9, "cell_report": 21, "cells_in_red_zones": 21}
         assert heatmap.latest_month(built["cell_report"]).count() == 4
+        small["hospitals"].write.saveAsTable("hospitals")
+        small["schools"].write.saveAsTable("schools")
+        layers = ingest.load_tables(spark, "risk_zones", "cell_report", "hospitals", "schools")
+        assert {n: d.columns for n, d in layers.items()} == {n: [c.split()[0] for c in s.split(", ")] for n, s in schemas.EXPORTS.items()}
+        shown = features.geojson(features.zone_features(features.polygon_features(layers["risk_zones"])), features.parts_geometry(), ["province_name", "colour"])
+        shapes = [json.loads(r["value"]) for r in shown.collect()]
+        assert len(shapes) == 9 and all(s["geometry"]["coordinates"] and s["properties"]["colour"] for s in shapes)
+        areas = features.polygon_features(layers["risk_zones"]).select("area_sq_km", (rings.parts_area(F.col("parts")) * 11988).alias("a"))
+        assert all(abs(r["area_sq_km"] - r["a"]) < 0.01 for r in areas.collect())
     finally:
         spark.sql("DROP DATABASE surveillance_test CASCADE")
         spark.catalog.setCurrentDatabase("default")

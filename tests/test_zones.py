@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from epigrid.constants import SIDES, UNIT_AREA, VERTICES
+from epigrid.functions.rings import parts_area, parts_wkt
 from epigrid.operators import zones
 
 R = 1000 / 111000.0
@@ -162,3 +163,28 @@ def test_rings(spark):
     one = next(t["wkt"] for t in texts if t["g"] == "one")
     corners = one[len("POLYGON((") : -2].split(", ")
     assert len(corners) == SIDES + 1 and corners[0] == corners[-1]
+
+
+@pytest.mark.parametrize("spacing", [1.0, math.sqrt(2), 1.5, 2.0, 2 * math.cos(math.pi / SIDES)])
+def test_rings_of_lattices(spark, spacing):
+    """Regular layouts, where many buffers cross at one point: every outline closes and the areas add up."""
+    places = [(100 + spacing * R * i, 13 + spacing * R * j) for i in range(4) for j in range(4)]
+    df = spark.createDataFrame([("g", 1000, x, y) for x, y in places], "g string, radius_meters int, lon double, lat double")
+    vertices = zones.rings(df, ["g"])
+    total = sum(r["area_deg2"] for r in zones.ring_summary(vertices, ["g"]).collect())
+    assert total == pytest.approx(slab_area(places, R), rel=1e-6)
+
+
+def test_zone_geometry(spark):
+    """Outer rings with their holes, also with an island in a hole; one geometry per zone, and its area is the union's."""
+    ring = [(100 + 4 * R * math.cos(i * math.pi / 16), 13 + 4 * R * math.sin(i * math.pi / 16)) for i in range(32)]
+    places = {"island": [*ring, (100.0, 13.0)], "two": [(100.0, 13.0), (100 + 5 * R, 13.0)]}
+    data = [(g, 1000, x, y) for g, p in places.items() for x, y in p]
+    df = spark.createDataFrame(data, "g string, radius_meters int, lon double, lat double")
+    shapes = zones.zone_parts(zones.rings(df, ["g"]), ["g"])
+    found = {r["g"]: r for r in shapes.select("g", "parts", parts_area(F.col("parts")).alias("a"), parts_wkt(F.col("parts")).alias("w")).collect()}
+    assert sorted(len(p) for p in found["island"]["parts"]) == [1, 2] and [len(p) for p in found["two"]["parts"]] == [1, 1]
+    for g, p in places.items():
+        assert found[g]["a"] == pytest.approx(slab_area(p, R), rel=1e-6) and found[g]["w"].startswith("MULTIPOLYGON(((")
+    again = zones.zone_parts(zones.rings(df.orderBy(F.desc("lat")), ["g"]), ["g"]).select("g", parts_wkt(F.col("parts")).alias("w"))
+    assert {r["g"]: r["w"] for r in again.collect()} == {g: r["w"] for g, r in found.items()}
