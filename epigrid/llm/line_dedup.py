@@ -29,8 +29,8 @@ from epigrid.session import cut_lineage
 
 THRESHOLD = 2
 LEAST_CHARS = 20
-#: Letters whose counts, modulo 256, make the sketch.
-LETTERS = "etnai"
+#: Letters whose counts, modulo 128, make the sketch, with the count of all other bytes, modulo 256.
+LETTERS = "etnaiorh"
 #: So many line hashes are broadcast to fetch their texts; beyond that the texts are joined by a shuffle.
 BROADCAST_IDS = 500_000
 _TOP = 60  # bit of the band's last row
@@ -43,8 +43,9 @@ def _lines(docs: DataFrame, id_column: str, text_column: str, least_chars: int)
     return rows.where(F.char_length("line") >= least_chars).withColumn("line_id", F.xxhash64("line"))
 
 
-def _keys(threshold: int) -> tuple[Column, int]:
-    """Probe keys of `line`, hashes of (length, segment number, segment); the first threshold + 1 are its index keys."""
+def _keys(threshold: int) -> tuple[Column, int, int]:
+    """Probe keys of `line`, hashes of (length, segment number, segment); the number of those that are its index keys, which
+    come first, and of those for lines of its own length, which come before the others."""
     parts, line = threshold + 1, F.col("line")
     probes = [
         (shorter, i, shift)
@@ -52,7 +53,7 @@ def _keys(threshold: int) -> tuple[Column, int]:
         for i in range(parts)
         for shift in range(max(-i, shorter - (threshold - i)), min(i, shorter + threshold - i) + 1)
     ]
-    probes.sort(key=lambda p: (p[0], p[2]) != (0, 0))
+    probes.sort(key=lambda p: (p[0], p[2] != 0))
     specs = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip("lis", p))) for p in probes))
 
     def key(n: Column, spec: Column) -> Column:
@@ -62,34 +63,44 @@ def _keys(threshold: int) -> tuple[Column, int]:
         start, size = base * i + F.greatest(late, F.lit(0)), base + (late >= 0).cast("int")
         return F.xxhash64(length, i, F.substring(line, start + spec["s"] + 1, size))
 
-    return let(F.char_length(line), lambda n: F.transform(specs, lambda spec: key(n, spec))), parts
+    return let(F.char_length(line), lambda n: F.transform(specs, lambda spec: key(n, spec))), parts, sum(p[0] == 0 for p in probes)
 
 
 def _sketch() -> Column:
-    n, packed = F.char_length("line"), F.lit(0).cast("long")
+    size, rest = F.octet_length("line"), F.octet_length("line")
+    packed = F.lit(0).cast("long")
     for k, letter in enumerate(LETTERS):
-        count = n - F.char_length(F.replace(F.col("line"), F.lit(letter), F.lit("")))
-        packed = packed.bitwiseOR(F.shiftleft(count.bitwiseAND(255).cast("long"), 8 * k))
-    return packed
+        count = size - F.octet_length(F.replace(F.col("line"), F.lit(letter), F.lit("")))
+        rest = rest - count
+        packed = packed.bitwiseOR(F.shiftleft(count.bitwiseAND(127).cast("long"), 7 * k))
+    return packed.bitwiseOR(F.shiftleft(rest.bitwiseAND(255).cast("long"), 7 * len(LETTERS)))
 
 
-def _sketch_distance(a: Column, b: Column) -> Column:
-    total = F.lit(0).cast("long")
-    for k in range(len(LETTERS)):
-        gap = (F.shiftright(a, 8 * k).bitwiseAND(255) - F.shiftright(b, 8 * k).bitwiseAND(255)).bitwiseAND(255)
-        total = total + F.least(gap, 256 - gap)
-    return total
+def _sketch_gap(a: Column, b: Column) -> Column:
+    """What one line has at least more of than the other, in the direction where that is more. An edit adds one letter at most
+    and takes one at most; of the other bytes up to four, as a character may have so many."""
+    more, less = F.lit(0).cast("long"), F.lit(0).cast("long")
+    for k, values in enumerate([128] * len(LETTERS) + [256]):
+        x, y = (F.shiftrightunsigned(v, 7 * k).bitwiseAND(values - 1) for v in (a, b))
+        d = (x - y + values // 2).bitwiseAND(values - 1) - values // 2
+        part = F.lit(4 if values == 256 else 1)
+        more = more + F.ceil(F.greatest(d, F.lit(0)) / part)
+        less = less + F.ceil(F.greatest(F.negative(d), F.lit(0)) / part)
+    return F.greatest(more, less)
 
 
 def candidates(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(a, b): hashes of different lines that share a segment and agree in the sketch, a < b."""
-    keys, own = _keys(threshold)
+    keys, own, level = _keys(threshold)
     keyed = lines.select("line_id", _sketch().alias("sketch"), keys.alias("keys")).distinct()
     keyed = cut_lineage(keyed, "line-keys")  # equal lines are one from here on; their texts are not shuffled
     index = keyed.select(F.explode(F.slice("keys", 1, own)).alias("key"), "line_id", "sketch").alias("i")
-    offered = keyed.select(F.explode("keys").alias("key"), "line_id", "sketch").alias("p")
-    near = _sketch_distance(F.col("i.sketch"), F.col("p.sketch")) <= 2 * threshold
-    condition = (F.col("i.key") == F.col("p.key")) & (F.col("i.line_id") != F.col("p.line_id")) & near
+    offered = keyed.select(F.posexplode("keys").alias("probe", "key"), "line_id", "sketch")
+    offered = offered.withColumn("same", F.col("probe") < level).drop("probe").alias("p")
+    # lines of one length meet in one role, not in both
+    other = F.when(F.col("p.same"), F.col("i.line_id") < F.col("p.line_id")).otherwise(F.col("i.line_id") != F.col("p.line_id"))
+    near = _sketch_gap(F.col("i.sketch"), F.col("p.sketch")) <= threshold
+    condition = (F.col("i.key") == F.col("p.key")) & other & near
     a, b = F.col("i.line_id"), F.col("p.line_id")
     return index.join(offered.hint("merge"), condition).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
@@ -195,7 +206,8 @@ def classes(
     known = member.join(degree, "line_id")
     rows = lines.select("id", "mark", "at", "line_id").join(known, "line_id", "left")
     rows = rows.select("id", "mark", "at", F.coalesce("root", "line_id").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    first = rows.groupBy("root").agg(F.min(F.struct("id", "mark", "at")).alias("first"))
+    # stored, so that the join below has two shuffles of its own and can split a line that stands in very many documents
+    first = cut_lineage(rows.groupBy("root").agg(F.min(F.struct("id", "mark", "at")).alias("first")), "first-lines")
     return rows.join(first, "root").select(
         "id", "mark", "at", F.col("first.id").alias("class_id"), F.col("first.mark").alias("class_mark"),
         F.col("first.at").alias("class_at"), F.col("n_links").cast("long").alias("n_links"),
