@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame, functions as F
 from epigrid.llm.common import slices
 from epigrid.llm.features import Texts, buckets, labelled_sample
 
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 5000
+#: Characters that are turned into indicators at once while fitting, which bounds the driver's memory.
+FIT_CHARACTERS = 400_000
 BITS = 18
 SHARES = (0.0, 0.01, 0.03, 0.1, 0.3)
 
@@ -133,21 +135,26 @@ def fit(texts: list[str], labels: list[int], smoothing: float = 1.0, cost: float
         zero = np.zeros(1, np.float32)
         return Model(zero, zero, 0.0, 0.0, float((y > 0).mean()) if len(y) else 0.0)
     rows: list[np.ndarray] = []
-    for part in slices(texts):
+    p, q = np.zeros(WIDTH), np.zeros(WIDTH)  # texts of either class that hold an indicator
+    for part in slices(texts, FIT_CHARACTERS):
         row, held = indicators(part)
-        rows.extend(np.split(held, np.searchsorted(row, np.arange(1, len(part)))))
-    held, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    p = np.bincount(held, weights=y[owner] > 0, minlength=WIDTH)
-    q = np.bincount(held, weights=y[owner] < 0, minlength=WIDTH)
+        good = y[len(rows) : len(rows) + len(part)][row] > 0
+        p += np.bincount(held[good], minlength=WIDTH)
+        q += np.bincount(held[~good], minlength=WIDTH)
+        rows.extend(np.split(held.astype(np.int32), np.searchsorted(row, np.arange(1, len(part)))))
     ratio = np.log((p + smoothing) / (p + smoothing).sum()) - np.log((q + smoothing) / (q + smoothing).sum())
     ratio[p + q < 3] = 0  # an indicator of one or two texts says nothing about others
     norm = ratio**2
     # each example at length 1, with one more indicator for the intercept
-    scale = [np.sqrt(norm[r].sum()) for r in rows]
-    rows = [np.append(r[ratio[r] != 0], WIDTH) for r in rows]
-    extended = np.append(ratio, 0.0)
+    rows = [np.append(r[ratio[r] != 0], np.int32(WIDTH)) for r in rows]
+    scaled = np.append(ratio, 0.0)
+    own = []
+    for r in rows:
+        value = scaled[r]
+        value /= max(np.sqrt((value**2).sum()), 1e-9)
+        value[-1] = 1.0
+        own.append(value.astype(np.float32))
     balance = np.where(y > 0, cost * len(y) / (2 * (y > 0).sum()), cost * len(y) / (2 * (y < 0).sum()))
-    own = [np.append(extended[r[:-1]] / max(s, 1e-9), 1.0) for r, s in zip(rows, scale)]
     weights = dual_coordinate_descent(rows, own, y, balance, WIDTH + 1, rounds)
     margin = np.array([weights[r] @ v for r, v in zip(rows, own)])
     return Model((weights[:-1] * ratio).astype(np.float32), norm.astype(np.float32), float(weights[-1]), _steepness(margin, y))

@@ -23,6 +23,8 @@ from epigrid.llm.features import Texts, buckets, labelled_sample
 
 SAMPLE_ROWS = 4000
 BITS = 20
+#: Characters that are turned into features at once while fitting, which bounds the driver's memory.
+FIT_CHARACTERS = 400_000
 #: Word beginnings of these lengths in bytes count beside the whole word.
 BEGINNINGS = (4, 5, 6, 7, 8)
 _LETTER = np.zeros(256, bool)
@@ -91,39 +93,45 @@ def fit(texts: list[str], labels: list[int], steps: int = 60, rate: float = 0.15
         return Model(np.zeros(1 << BITS, np.float32), 0.0, float(y.mean()) if len(y) else 0.0)
     size = 1 << BITS
     held, toxic = np.zeros(size), np.zeros(size)  # bags that hold a feature, and toxic ones of them
-    parts, sentences, docs, seen, count = [], [], [], 0, 0
-    for part in slices(texts):
-        f, s, d, _ = bags(part)
-        once = np.unique(d[s] << BITS | f)
+    blocks, seen = [], 0
+    for part in slices(texts, FIT_CHARACTERS):
+        feature, sentence, doc, _ = bags(part)
+        once = np.unique(doc[sentence] << BITS | feature)
         held += np.bincount(once & (size - 1), minlength=size)
-        toxic += np.bincount(once & (size - 1), weights=y[seen + (once >> BITS)], minlength=size)
-        parts.append(f.astype(np.int32))
-        sentences.append((s + count).astype(np.int32))
-        docs.append(d + seen)
-        count, seen = count + len(d), seen + len(part)
+        truth = y[seen : seen + len(part)]
+        toxic += np.bincount(once & (size - 1), weights=truth[once >> BITS], minlength=size)
+        blocks.append((feature.astype(np.int32), sentence.astype(np.int32), doc, truth))
+        seen += len(part)
     ratio = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((held - toxic + 0.5) / (len(y) - y.sum() + 1))
-    known = held >= 3  # features of fewer bags say nothing about others
-    feature, sentence, doc = np.concatenate(parts), np.concatenate(sentences), np.concatenate(docs)
-    parts = sentences = None
-    kept = known[feature]
-    feature, sentence = feature[kept], sentence[kept]
+    known = np.flatnonzero(held >= 3)  # features of fewer bags say nothing about others
+    number = np.full(size, -1, np.int32)
+    number[known] = np.arange(len(known))
+    for k, (feature, sentence, doc, truth) in enumerate(blocks):
+        kept = number[feature] >= 0
+        blocks[k] = number[feature[kept]], sentence[kept], doc, truth
     # start from the log ratios, weighted by how many bags they rest on; only features over chance start above zero
-    weights = np.where(known, np.clip(ratio, 0, 4) * np.clip(toxic / 20, 0, 1) * 0.5, 0.0)
-    bias, m, v = -9.0, np.zeros(size + 1), np.zeros(size + 1)
+    weights = np.clip(ratio[known], 0, 4) * np.clip(toxic[known] / 20, 0, 1) * 0.5
+    n = len(known)
+    bias, m, v = -9.0, np.zeros(n + 1), np.zeros(n + 1)
     for step in range(1, steps + 1):
-        p = _sentences(feature, sentence, count, weights, bias)
-        none, any_ = _documents(p, doc, len(y))
-        pull = np.where(y == 1, -np.exp(none) / np.maximum(any_, 1e-9), 1.0)
-        slope = pull[doc] * p  # derivative by each sentence's logit
-        g = np.empty(size + 1)
-        g[:size] = np.bincount(feature, weights=slope[sentence], minlength=size) / len(y) + thrift
-        g[size] = slope.sum() / len(y)
+        g = np.zeros(n + 1)
+        for feature, sentence, doc, truth in blocks:
+            p = _sentences(feature, sentence, len(doc), weights, bias)
+            none, any_ = _documents(p, doc, len(truth))
+            pull = np.where(truth == 1, -np.exp(none) / np.maximum(any_, 1e-9), 1.0)
+            slope = pull[doc] * p  # derivative by each sentence's logit
+            g[:n] += np.bincount(feature, weights=slope[sentence], minlength=n)
+            g[n] += slope.sum()
+        g /= len(y)
+        g[:n] += thrift
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-5)
-        weights = np.where(known, np.maximum(weights - move[:size], 0), 0.0)
-        bias -= move[size]
-    return Model(weights.astype(np.float32), float(bias))
+        weights = np.maximum(weights - move[:n], 0)
+        bias -= move[n]
+    full = np.zeros(size, np.float32)
+    full[known] = weights
+    return Model(full, float(bias))
 
 
 def train(
