@@ -5,6 +5,7 @@ import time
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -28,6 +29,8 @@ def canonical(frame) -> list[tuple]:
 
 
 def _value(v):
+    if v is pd.NA:
+        return None
     if hasattr(v, "item"):
         v = v.item()
     if hasattr(v, "date") and callable(v.date):
