@@ -61,7 +61,8 @@ def op9_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
-    return warc.archive(table(spark, folder, "pages"), least_bytes=1000)
+    index = warc.archive(table(spark, folder, "pages"), least_bytes=1000)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -94,5 +95,58 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+NEAR_LINES = """
+WITH RECURSIVE occurrences AS (
+  SELECT doc_id, CAST(i AS INTEGER) AS line, lines[i + 1] AS t
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents) d, range(len(lines)) r(i)
+  WHERE length(lines[i + 1]) >= 20
+), lines AS (SELECT t, row_number() OVER () AS k, length(t) AS n FROM (SELECT DISTINCT t FROM occurrences)),
+near AS (
+  SELECT a.k AS a, b.k AS b FROM lines a JOIN lines b
+    ON a.n BETWEEN b.n - 2 AND b.n + 2 AND a.k <> b.k AND levenshtein(a.t, b.t) <= 2
+), reached(k, other) AS (
+  SELECT k, k FROM lines UNION SELECT r.k, n.b FROM reached r JOIN near n ON r.other = n.a
+), placed AS (SELECT o.doc_id, o.line, l.k FROM occurrences o JOIN lines l ON o.t = l.t),
+firsts AS (
+  SELECT r.k, min({'d': p.doc_id, 'l': p.line}) AS f FROM reached r JOIN placed p ON r.other = p.k GROUP BY r.k
+)
+SELECT p.doc_id, p.line, f.d AS class_doc_id, f.l AS class_line,
+  (SELECT count(*) FROM near n WHERE n.a = p.k) AS n_links, p.doc_id = f.d AND p.line = f.l AS kept
+FROM placed p JOIN firsts USING (k)
+"""
+
+REPEATED_WINDOWS = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i + 1:i + 35], ' ') AS t FROM w, range(len(words) - 34) r(i)
+), repeated AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY t) AS n FROM windows) WHERE n > 1
+), covered AS (SELECT DISTINCT doc_id, i + j AS i FROM repeated, range(35) r(j)),
+kept AS (
+  SELECT doc_id, string_agg(words[i + 1], ' ' ORDER BY i) AS t, count(*) AS n
+  FROM (SELECT doc_id, words, i FROM w, range(len(words)) r(i)) ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+REVISITS = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+r AS (SELECT page_id, body, strlen(body) AS n, max(page_id) OVER (PARTITION BY body) AS last FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_topk": EXACT_TOPK}
+    """SQL can't tokenize, train or hash as the other operators do; those are tested against brute force."""
+    return {
+        "op2_line_dedup": NEAR_LINES,
+        "op3_exact_topk": EXACT_TOPK,
+        "op4_substring_dedup": REPEATED_WINDOWS,
+        "op10_warc": REVISITS,
+    }
