@@ -66,7 +66,7 @@ def nearest_facility(
     facilities: DataFrame,
     facility_id: str = "id",
     case_id: str = "case_id",
-    cell_side: float = SEARCH_SIDE,
+    cell_side: float | None = None,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """The nearest facility of every case, as `facility_id` and `dist_deg`; ties go to the lower id.
@@ -74,27 +74,56 @@ def nearest_facility(
     Every case keeps its row, also one that repeats another: without coordinates, or outside +-180 and +-90 degrees, it has no
     facility. The columns of the facility named in `carry` come along.
 
-    `cell_side` changes the work, not the answer: about the spacing of the facilities where they are dense is best.
+    `cell_side` changes the work, not the answer; without it, `search_side` picks one for the densest places.
 
     No case is compared with all facilities. The search runs on occupied grid cells, whose number does not grow with
     the cases in them: every cell finds how far out the first facility lies (doubling the cell side), lists the facility
     cells and then the facilities that can be nearest to some point in its box, and only then do the cases meet those.
     """
-    side = F.lit(cell_side)
-    top = math.ceil(math.log2(WIDEST_CELL / cell_side))
-    cell = {"_gx": F.floor(F.col("lon") / side), "_gy": F.floor(F.col("lat") / side)}
     # The number of a row depends on the partition it is read in, so a recomputed task gives the same one.
     columns, every = cases.columns, cases.withColumn("_row", F.monotonically_increasing_id())
     on_globe = F.coalesce(F.col("lon").between(-180, 180) & F.col("lat").between(-90, 90), F.lit(False))
-    cases, facilities = every.filter(on_globe), facilities.filter(on_globe)
+    pairs = nearest_pairs(every.filter(on_globe), facilities.filter(on_globe), facility_id, case_id, cell_side, carry)
+    best = F.min_by("_carried", F.struct(dist_deg("lon", "lat", "f_lon", "f_lat"), "_fid")).alias("_best")
+    away = F.min(dist_deg("lon", "lat", "f_lon", "f_lat")).alias("dist_deg")
+    found = pairs.groupBy("_row", *columns).agg(best, away).select(*columns, "_best.*", "dist_deg")
+    return found.unionByName(every.filter(~on_globe).select(*columns), allowMissingColumns=True)
+
+
+def search_side(facilities: DataFrame, wanted: int = 4, finest: int = 12) -> float:
+    """The widest search cell in which an average facility has at most `wanted` in its own cell, itself included.
+
+    One pass over the facilities; the driver sees one row per level.
+    """
+    widths = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(SEARCH_SIDE / 2**k).alias("w")) for k in range(finest + 1)])
+    spread = facilities.select("lon", "lat", F.explode(widths).alias("_l"))
+    cells = spread.groupBy("_l.k", F.floor(F.col("lon") / F.col("_l.w")), F.floor(F.col("lat") / F.col("_l.w"))).count()
+    crowd = cells.groupBy("k").agg((F.sum(F.col("count") * F.col("count")) / F.sum("count")).alias("n"))
+    found = [r["k"] for r in crowd.filter(F.col("n") <= wanted).collect()]
+    return SEARCH_SIDE / 2 ** min(found, default=finest)
+
+
+def nearest_pairs(
+    cases: DataFrame, facilities: DataFrame, facility_id: str, case_id: str, cell_side: float | None, carry: tuple[str, ...]
+) -> DataFrame:
+    """The cases, all with coordinates, with the facilities that can be nearest to some point of their cell's box."""
+    # of several facilities at one place only the first can win
+    carried = F.struct(F.col(facility_id).alias("facility_id"), *carry)
+    facilities = facilities.groupBy("lon", "lat").agg(
+        F.min(facility_id).alias(facility_id), F.min_by(carried, facility_id).alias("_carried")
+    )
+    cell_side = cell_side or search_side(facilities)
+    side = F.lit(cell_side)
+    top = math.ceil(math.log2(WIDEST_CELL / cell_side))
+    cell = {"_gx": F.floor(F.col("lon") / side), "_gy": F.floor(F.col("lat") / side)}
     box = [
         F.min("lon").alias("x0"), F.min("lat").alias("y0"), F.max("lon").alias("x1"), F.max("lat").alias("y1"),
     ]
     case_cells = cases.withColumns(cell).groupBy("_gx", "_gy").agg(*box, F.count(F.lit(1)).alias("_n"))
     spots = facilities.select(
-        F.col(facility_id).alias("_fid"), F.col("lon").alias("f_lon"), F.col("lat").alias("f_lat"),
+        F.col("lon").alias("f_lon"), F.col("lat").alias("f_lat"),
         (F.floor(F.col("lon") / side)).alias("_hx"), (F.floor(F.col("lat") / side)).alias("_hy"),
-        F.struct(F.col(facility_id).alias("facility_id"), *carry).alias("_carried"),
+        F.col(facility_id).alias("_fid"), "_carried",
     )
     facility_cells = spots.groupBy("_hx", "_hy").agg(
         F.min("f_lon").alias("hx0"), F.min("f_lat").alias("hy0"), F.max("f_lon").alias("hx1"), F.max("f_lat").alias("hy1")
@@ -146,11 +175,7 @@ def nearest_facility(
         .select("_gx", "_gy", "_fid", "f_lon", "f_lat", "_carried")
     )
 
-    pairs = salted_join(cases.withColumns(cell), candidates, ["_gx", "_gy"], case_id, load=case_cells)
-    best = F.min_by("_carried", F.struct(dist_deg("lon", "lat", "f_lon", "f_lat"), "_fid")).alias("_best")
-    away = F.min(dist_deg("lon", "lat", "f_lon", "f_lat")).alias("dist_deg")
-    found = pairs.groupBy("_row", *columns).agg(best, away).select(*columns, "_best.*", "dist_deg")
-    return found.unionByName(every.filter(~on_globe).select(*columns), allowMissingColumns=True)
+    return salted_join(cases.withColumns(cell), candidates, ["_gx", "_gy"], case_id, load=case_cells)
 
 
 def _coarser(index: str, level: str):

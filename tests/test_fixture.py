@@ -2,6 +2,7 @@
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -211,3 +212,21 @@ def test_nearest_keeps_every_row(spark, small):
     assert [r[0] for r in rows(found.filter("facility_id IS NOT NULL"), "case_id")] == [1, 1, 1]
     assert found.filter("case_id = 1").select("facility_id").distinct().count() == 2
     assert [r[0] for r in rows(found.filter("name IS NULL"), "case_id")] == [2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("spread", [0.05, 3.0])
+def test_nearest_meets_few_facilities(spark, spread):
+    """Three thousand facilities and cases in one cell, and a dense city in a sparse country."""
+    def places(seed, n, name):
+        dense = spark.range(n).select(F.col("id").alias(name), (F.rand(seed) * 0.05 + 100).alias("lon"), (F.rand(seed + 1) * 0.05 + 13).alias("lat"))
+        if spread == 0.05:
+            return dense
+        wide = spark.range(n, n + n // 10).select(F.col("id").alias(name), (F.rand(seed) * spread + 99).alias("lon"), (F.rand(seed + 1) * spread + 12).alias("lat"))
+        return dense.unionAll(wide)
+
+    cases, facilities = places(1, 3000, "case_id"), places(5, 3000, "id")
+    pairs = proximity.nearest_pairs(cases, facilities, "id", "case_id", None, ())
+    assert pairs.count() < 100 * cases.count()
+    found = proximity.nearest_facility(cases, facilities)
+    other = proximity.nearest_facility(cases, facilities, cell_side=0.01)
+    assert rows(found, "case_id", "facility_id") == rows(other, "case_id", "facility_id")
