@@ -61,17 +61,26 @@ class WordBpe:
         self.words.update((w, out[a:b]) for w, a, b in zip(new, [0, *stop[:-1]], stop))
 
     def _learn(self, new: list[str]) -> None:
-        plain = [u for u in new if PLAIN.fullmatch(u)]
-        cut = [self.cut(u.lower()) for u in plain]
+        plain, rest = [], []
+        for u in new:
+            (plain if PLAIN.fullmatch(u) else rest).append(u)
+        cut = [self._words_of(u) for u in plain]
         if unknown := list(set().union(*cut).difference(self.words)):
             self._learn_words(unknown)
         get = self.words.__getitem__
         self.units.update((u, get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws))) for u, ws in zip(plain, cut))
-        if len(plain) < len(new):
-            rest = [u for u in new if not PLAIN.fullmatch(u)]
+        if rest:
             for u, e in zip(rest, self.library.encode_batch(rest, add_special_tokens=False)):
                 self.units[u] = np.array(e.ids, "<u4").tobytes()
 
+    def _words_of(self, unit: str) -> list[str]:
+        """What the file's pattern cuts a unit into; plain words, also with a sign at the end, need no pattern."""
+        if unit.isalpha():
+            return [unit.lower()]
+        if unit[-1] in ".,!?;:" and unit[:-1].isalpha():
+            return [unit[:-1].lower(), unit[-1]]
+        return self.cut(unit.lower())
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers; null counts as empty."""
         split = [t.replace("\n", " ").split(" ") if t else [""] for t in texts]
