@@ -6,6 +6,7 @@ import __spark_entry__ as contract
 from compare import connect, difference
 from conftest import rows
 from epigrid.operators.regions import region_cells
+from epigrid.plans import oracle
 from epigrid.sources import binding
 
 FOLDER = "/root/testdata/sf0.001"
@@ -72,3 +73,10 @@ def test_selective_filters_reach_the_scan(spark):
     # the cover of the one region is stored while the query is built; its plan has the filter in the scan
     one = binding.regions(spark, FOLDER).filter("region_name = 'FRANCE'")
     assert "EqualTo(n_name,FRANCE)" in region_cells(one)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merged_areas_by_slabs(spark, duck):
+    """All tiers against the slab form, which shares nothing with the operator; on larger tables it is too slow for SQL."""
+    sql = oracle._with(f"SELECT region_name, risk_tier, {oracle._round('area', 3)} AS area_sq_km FROM zones", *oracle._slab_areas())
+    ours = contract.queries()["q15_risk_zones"](spark, FOLDER).select("region_name", "risk_tier", "area_sq_km").toPandas()
+    assert difference(ours, duck.execute(sql).df()) is None
