@@ -56,11 +56,13 @@ def test_scans_read_only_what_they_need(spark):
 def test_shuffled_and_salted_paths_agree(spark, monkeypatch):
     """With nothing small enough to broadcast and every key hot, the answers stay the same."""
     from epigrid import constants
+    from epigrid.operators import regions
 
     names = ("q02_cases_near_schools", "q04_nearest_hospital", "region_assignment")
     before = {n: contract.queries()[n](spark, FOLDER) for n in names}
     before = {n: rows(df, *sorted(df.columns)) for n, df in before.items()}
     monkeypatch.setattr(constants, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(regions, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(constants, "HOT_ROWS", 3)
     for n in names:
         df = contract.queries()[n](spark, FOLDER)
