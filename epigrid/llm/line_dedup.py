@@ -14,7 +14,9 @@ form a class and its first line, by document and line number, stays. Equal lines
 
 A line is known by the 64-bit hash of its text while links are sought; distances are measured on the texts.
 
-Lines of fewer than `least_chars` characters take no part and always stay, so do null and empty texts. Null ids are kept. Rows
+Lines of fewer than `least_chars` characters are not compared by edits. With `short_equal` they form classes of equal lines, so that
+their later copies go too; without it they take no part and stay. Blank lines (white space only) take no part either way, unless they
+have `least_chars` characters. Null and empty texts stay. Null ids are kept. Rows
 that repeat id and text count as one document. Only the named columns are read; an empty table gives no rows. Lines of any
 length take part whole.
 """
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from epigrid.llm.common import let
+from epigrid.llm.common import WHITE, let
 from epigrid.llm.components import connected_components
 from epigrid.session import cut_lineage
 
@@ -37,10 +39,13 @@ _TOP = 60  # bit of the band's last row
 _ALL = (1 << _TOP + 1) - 1
 
 
-def _lines(docs: DataFrame, id_column: str, text_column: str, least_chars: int) -> DataFrame:
+def _lines(docs: DataFrame, id_column: str, text_column: str, least_chars: int, short_equal: bool = False) -> DataFrame:
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("mark"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-    return rows.where(F.char_length("line") >= least_chars).withColumn("line_id", F.xxhash64("line"))
+    taken = F.char_length("line") >= least_chars
+    if short_equal:
+        taken = taken | (F.translate("line", WHITE, "") != "")
+    return rows.where(taken).withColumn("line_id", F.xxhash64("line"))
 
 
 def _keys(threshold: int) -> tuple[Column, int, int]:
@@ -191,15 +196,16 @@ def links(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def classes(
-    docs: DataFrame, threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, id_column: str = "doc_id", text_column: str = "text",
+    short_equal: bool = False,
 ) -> DataFrame:
     """Every line that takes part: (id, mark, at, class_id, class_mark, class_at, n_links, kept).
 
     `mark` is the hash of the document's text, `at` the line number from 0; the class is named by its first line, which is kept.
     `n_links` counts the different lines within the threshold.
     """
-    lines = _lines(docs, id_column, text_column, least_chars)
-    linked = cut_lineage(links(lines, threshold), "line-links")
+    lines = _lines(docs, id_column, text_column, least_chars, short_equal)
+    linked = cut_lineage(links(lines.where(F.char_length("line") >= least_chars), threshold), "line-links")
     member = connected_components(linked).select(F.col("node").alias("line_id"), "root")
     both = linked.select(F.col("a").alias("line_id")).unionAll(linked.select("b"))
     degree = both.groupBy("line_id").agg(F.count(F.lit(1)).alias("n_links"))
@@ -216,10 +222,11 @@ def classes(
 
 
 def clean(
-    docs: DataFrame, threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, id_column: str = "doc_id", text_column: str = "text",
+    short_equal: bool = False,
 ) -> DataFrame:
     """The rows without the lines that repeat an earlier one; a text that loses none stays byte for byte."""
-    gone = classes(docs, threshold, least_chars, id_column, text_column).where(~F.col("kept"))
+    gone = classes(docs, threshold, least_chars, id_column, text_column, short_equal).where(~F.col("kept"))
     gone = gone.groupBy("id", "mark").agg(F.collect_set("at").alias("gone")).alias("g")
     rows = docs.withColumn("__mark", F.xxhash64(F.coalesce(F.col(text_column).cast("string"), F.lit("")))).alias("d")
     same = F.col(f"d.{id_column}").eqNullSafe(F.col("g.id")) & (F.col("d.__mark") == F.col("g.mark"))
