@@ -51,18 +51,21 @@ def _part_masks(segment: int) -> list[int]:
     return [_mask(x.tolist()) for x in np.array_split(np.array(rest), PARTS)]
 
 
+def word_shingles(text: str | None, width: int) -> list[bytes]:
+    words = (text or "").encode().translate(_FOLD).split()
+    if len(words) <= width:
+        return [b" ".join(words)] if words else []
+    line = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate([[0], ends[:-1]])
+    return [line[a:b] for a, b in zip(starts[: 1 - width].tolist(), (ends[width - 1 :] - 1).tolist())]
+
+
 def fingerprint(text: str | None, width: int = 4) -> int:
     """Bit k is set if it is set in over half of the hashes of the word shingles."""
-    words = (text or "").encode().translate(_FOLD).split()
-    if not words:
+    shingles = word_shingles(text, width)
+    if not shingles:
         return 0
-    if len(words) <= width:
-        shingles = [b" ".join(words)]
-    else:
-        line = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = np.concatenate([[0], ends[:-1]])
-        shingles = [line[a:b] for a, b in zip(starts[: 1 - width].tolist(), (ends[width - 1 :] - 1).tolist())]
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(s, SEED) for s in shingles], "<u8").view(np.uint8).reshape(-1, 8)
     counts = np.zeros(64, np.int64)
