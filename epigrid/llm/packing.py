@@ -26,12 +26,16 @@ PER_SHARD = 50_000
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, length: int, id_column: str = "doc_id", text_column: str = "text", ids: bool = False
+    docs: DataFrame, tokenizer: str, length: int, id_column: str = "doc_id", text_column: str = "text", ids: bool = False,
+    added_tokens: bool = False,
 ) -> DataFrame:
-    """Pieces of every document: (id, piece, start, length, ids_crc32), and the ids themselves if asked for."""
+    """Pieces of every document: (id, piece, start, length, ids_crc32), and the ids themselves if asked for.
+
+    Strings of the file's added tokens are ordinary text, or with `added_tokens` those tokens, as the library has it by default.
+    """
 
     def run(batches):
-        bpe, width = word_bpe(tokenizer), 4 * length
+        bpe, width = word_bpe(tokenizer, added_tokens), 4 * length
         for batch in batches:
             row, piece, start, size, crc, raw = [], [], [], [], [], []
             coded = (data for part in slices(batch.column(1).to_pylist()) for data in bpe.encode(part))
@@ -91,10 +95,10 @@ def places(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 def pack(
     docs: DataFrame, tokenizer: str, length: int = 2048, id_column: str = "doc_id", text_column: str = "text",
-    per_shard: int = PER_SHARD,
+    per_shard: int = PER_SHARD, added_tokens: bool = False,
 ) -> DataFrame:
     """Place of every piece: the columns of `pieces`, sequence_id and offset."""
-    cut = pieces(docs, tokenizer, length, id_column, text_column)
+    cut = pieces(docs, tokenizer, length, id_column, text_column, added_tokens=added_tokens)
     shards = shards_for(docs.count(), per_shard)
 
     def place(rows: pa.Table) -> pa.Table:

@@ -14,7 +14,7 @@ from epigrid.llm.common import learned_rows, table
 
 
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048)
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048, added_tokens=True)
 
 
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

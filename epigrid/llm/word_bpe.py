@@ -2,7 +2,8 @@
 
 A text is cut at spaces and line feeds, which such a tokenizer drops. Units of Latin letters, digits and signs are put in
 lower case and cut by the file's own pattern here; units with any other character go through the library. Strings of
-special tokens count as ordinary text.
+added (special) tokens count as ordinary text, or with `added_tokens` a text that holds one goes through the library whole, which
+gives the tokens' own ids.
 """
 
 from __future__ import annotations
@@ -22,11 +23,15 @@ PLAIN = regex.compile(r"[!-~¡-¬®-įıĲ-ɏ]*")
 
 
 class WordBpe:
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
+        self.default = Tokenizer.from_file(path)
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        if added_tokens and any(t["normalized"] for t in spec["added_tokens"]):
+            raise ValueError("only added tokens that stand in the text as they are, are supported")
+        self.added = [t["content"] for t in spec["added_tokens"]] if added_tokens else []
         steps = spec["normalizer"]["normalizers"] if spec["normalizer"] else []
         split, spelled = spec["pre_tokenizer"]["pretokenizers"]
         model = spec["model"]
@@ -83,6 +88,14 @@ class WordBpe:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers; null counts as empty."""
+        if self.added and (special := {k: t for k, t in enumerate(texts) if t and any(a in t for a in self.added)}):
+            out = self._encode([None if k in special else t for k, t in enumerate(texts)])
+            for k, e in zip(special, self.default.encode_batch([*special.values()], add_special_tokens=False)):
+                out[k] = np.array(e.ids, "<u4").tobytes()
+            return out
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") if t else [""] for t in texts]
         if len(self.units) > CACHED:
             self.units = {"": b""}
@@ -102,5 +115,5 @@ def _byte_letters() -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def word_bpe(path: str) -> WordBpe:
-    return WordBpe(path)
+def word_bpe(path: str, added_tokens: bool = False) -> WordBpe:
+    return WordBpe(path, added_tokens)
