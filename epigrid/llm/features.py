@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from epigrid.llm.common import learned_rows
 
+#: Characters of a sample's texts in all.
+SAMPLE_CHARACTERS = 64_000_000
 #: Odd multiplier of the polynomial hash, and its inverse modulo 2 ** 64.
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
@@ -74,9 +76,10 @@ class Texts:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, parts: int, left_out: int, rows: int, id_column: str, text_column: str
 ) -> DataFrame:
-    """At most `rows` texts with a label that may be learned, (text, label), picked by a hash of the id.
+    """At most `rows` texts with a label that may be learned, (label_id, text, label), picked by a hash of the id.
 
-    Only `rows` ids are broadcast. Null ids, null texts and null labels take no part; a repeated label counts once, 1 wins.
+    Only `rows` ids are broadcast. Of an id that several rows repeat the text with the smallest hash counts. The texts, always whole,
+    end before their characters go beyond SAMPLE_CHARACTERS in all; a first text that is longer by itself is left alone. Null ids, null texts and null labels take no part; a repeated label counts once, 1 wins.
     """
     allowed = (
         labels.where(learned_rows(id_column, parts, left_out) & F.col(label).isNotNull())
@@ -86,4 +89,8 @@ def labelled_sample(
         .limit(rows)
     )
     texts = docs.select(F.col(id_column).alias("label_id"), F.col(text_column).cast("string").alias("text"))
-    return texts.where(F.col("text").isNotNull()).join(F.broadcast(allowed), "label_id").select("label_id", "text", "label")
+    found = texts.where(F.col("text").isNotNull()).join(F.broadcast(allowed), "label_id")
+    once = found.groupBy("label_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("mark"), "text"))["text"].alias("text"))
+    in_turn = Window.orderBy(F.xxhash64("label_id"), "label_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sized = once.withColumn("so_far", F.sum(F.char_length("text").cast("long")).over(in_turn)).withColumn("turn", F.count(F.lit(1)).over(in_turn))
+    return sized.where((F.col("so_far") <= SAMPLE_CHARACTERS) | (F.col("turn") == 1)).select("label_id", "text", "label")
