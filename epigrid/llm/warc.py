@@ -9,7 +9,8 @@ that the ranges one after the other hold the capture histories in order.
 
 Null html counts as empty, null URLs have an empty key, a null id is written as none and is a response only where its equals
 have no id either. Rows that repeat id and payload with the largest id are all responses. An empty table writes no archive.
-Payloads of any length are written whole. Further columns are not read. Captures without a time column get one second per id.
+Payloads of any length are written whole. Further columns are not read. The column
+that `time_column` names is the capture time, in the record and in the order; a capture without one gets one second per id.
 """
 
 from __future__ import annotations
@@ -47,31 +48,36 @@ _DDL = (
 SORT = ("url_key", "captured", "page_id", "file", "offset")
 
 
-def decisions(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """(page_id, url, html, digest, refers_to): refers_to is null for a response."""
+def decisions(pages: DataFrame, least_bytes: int = LEAST_BYTES, time_column: str | None = None) -> DataFrame:
+    """(page_id, url, html, digest, refers_to, time): refers_to is null for a response, time is in microseconds or null."""
+    time = F.unix_micros(F.col(time_column).cast("timestamp")) if time_column else F.lit(None).cast("long")
     body = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), body.alias("html"),
         F.sha1(F.encode(body, "UTF-8")).alias("digest"), F.octet_length(body).alias("size"),
+        time.alias("time"),
     )
     long = rows.where(F.col("size") >= least_bytes).groupBy("digest", "size")
     equal = long.agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     joined = rows.join(equal.hint("merge"), ["digest", "size"], "left")
     stays = F.col("response").isNull() | F.col("page_id").eqNullSafe(F.col("response"))
-    return joined.select("page_id", "url", "html", "digest", F.when(~stays, F.col("response")).alias("refers_to"))
+    return joined.select("page_id", "url", "html", "digest", F.when(~stays, F.col("response")).alias("refers_to"), "time")
 
 
-def _record(page: int | None, url: str | None, html: str, digest: str, refers_to: int | None) -> bytes:
+def _record(page: int | None, url: str | None, html: str, digest: str, refers_to: int | None, time: int | None = None) -> bytes:
     payload = html.encode()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http + payload if refers_to is None else http
     sha = base64.b32encode(bytes.fromhex(digest)).decode()
-    when = EPOCH + timedelta(seconds=(page or 0) % 3_000_000_000)
+    if time is None:
+        when = EPOCH + timedelta(seconds=(page or 0) % 3_000_000_000)
+    else:
+        when = datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=time)
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: <urn:page:{'none' if page is None else page}>",
-        f"WARC-Date: {when:%Y-%m-%dT%H:%M:%SZ}",
+        f"WARC-Date: {when.replace(tzinfo=None).isoformat()}Z",
         f"WARC-Payload-Digest: sha1:{sha}",
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(block)}",
@@ -84,7 +90,9 @@ def _record(page: int | None, url: str | None, html: str, digest: str, refers_to
     return "\r\n".join([*head, "", ""]).encode() + block + b"\r\n\r\n"
 
 
-def write(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES, records: int = RECORDS_PER_FILE) -> DataFrame:
+def write(
+    pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES, records: int = RECORDS_PER_FILE, time_column: str | None = None
+) -> DataFrame:
     """Write the archives, one gzip member per record; the manifest (file, records) is stored too."""
 
     def run(batches):
@@ -110,7 +118,7 @@ def write(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES, records
         if out is not None:
             yield pa.RecordBatch.from_pydict({"file": [name], "records": [n]})
 
-    return cut_lineage(decisions(pages, least_bytes).mapInArrow(run, "file string, records long"), "manifest")
+    return cut_lineage(decisions(pages, least_bytes, time_column).mapInArrow(run, "file string, records long"), "manifest")
 
 
 def members(stream) -> Iterator[tuple[int, bytes]]:
@@ -256,7 +264,9 @@ def merge(runs: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, _DDL + ", part int, place long")
 
 
-def archive(pages: DataFrame, folder: str | None = None, least_bytes: int = LEAST_BYTES) -> DataFrame:
+def archive(
+    pages: DataFrame, folder: str | None = None, least_bytes: int = LEAST_BYTES, time_column: str | None = None
+) -> DataFrame:
     """Write the pages, read the archives back and merge their index."""
     folder = folder or f"{shared_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
-    return merge(read(write(pages, folder, least_bytes), folder))
+    return merge(read(write(pages, folder, least_bytes, time_column=time_column), folder))
