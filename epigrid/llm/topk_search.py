@@ -8,8 +8,8 @@ query the sum over the entries read, with the last value read (or the end of the
 bounds the score from above (below). The reading stops for a query when at most a few rows can still reach its k-th lower bound;
 those get their final scores in integers. The k best of each unit are merged per query.
 
-Null vectors, vectors with a null or non-finite component, empty vectors, and components that reach 2 ** 28 once quantised (scores would outgrow a long) take
-no part; a query meets only rows of its own length. Rows without an id take no part. A query's own row is left out by id; an id
+Null vectors, vectors with a null or non-finite component and empty vectors take no part. A finite component that reaches 2 ** 28 once quantised (scores would
+outgrow a long) stops the job with an error that names the row. A query meets only rows of its own length. Rows without an id take no part. A query's own row is left out by id; an id
 that several rows repeat is one query, asked with the smallest of its vectors, and its rows are candidates for other queries
 each for itself. Ties go to the smaller id. Only the named columns are read; an empty table gives no rows.
 """
@@ -33,12 +33,17 @@ FIRST_DEPTH, STEP_DEPTH = 0.20, 0.05
 def quantised(embeddings: DataFrame, scale: int = 256, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """(id, vector array<int>, width): floor(scale * x) of every component of the vectors that take part."""
 
-    def usable(x: Column) -> Column:
-        y = F.floor(x.cast("double") * scale)
-        return x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < LIMIT) & (F.abs(y) < LIMIT)
+    def finite(x: Column) -> Column:
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf"))
+
+    def small(x: Column) -> Column:
+        y = x.cast("double")
+        return (F.abs(y) < LIMIT) & (F.abs(F.floor(y * scale)) < LIMIT)
 
     vector = F.col(vector_column)
-    kept = embeddings.where(F.col(id_column).isNotNull() & (F.size(vector) > 0) & F.forall(vector, usable))
+    taken = F.coalesce(F.col(id_column).isNotNull() & (F.size(vector) > 0) & F.forall(vector, finite), F.lit(False))
+    said = F.concat(F.lit(f"a component of the vector of {id_column} "), F.col(id_column).cast("string"), F.lit(f" is too large: {LIMIT} or more times 1/{scale}"))
+    kept = embeddings.where(F.when(~taken, F.lit(False)).when(F.forall(vector, small), F.lit(True)).otherwise(F.raise_error(said).cast("boolean")))
     return kept.select(
         F.col(id_column).cast("long").alias("id"),
         F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("int")).alias("vector"),
