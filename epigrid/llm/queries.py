@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epigrid.llm import (
-    golay_simhash, line_dedup, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, topk_search, toxicity, warc,
+    centroid_clusters, collocations, golay_simhash, line_dedup, packing, quality_classifier, quality_rules, sentencepiece_codec,
+    substring_dedup, token_counts, topk_search, toxicity, warc,
 )
 from epigrid.llm.common import learned_rows, table
 
@@ -65,6 +66,18 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clusters.cluster(table(spark, folder, "embeddings"), k=40, rounds=5, width=64, seed="2")
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents"), least=30, percent=80, top=2000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -77,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_classifier": op8_quality_classifier,
         "op9_simhash_golay": op9_simhash_golay,
         "op10_warc": op10_warc,
+        "op11_centroid_clusters": op11_centroid_clusters,
+        "op12_token_counts": op12_token_counts,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -142,6 +158,75 @@ FROM r
 """
 
 
+def _rounds(rounds: int = 5, k: int = 40) -> str:
+    """Centroid clustering with one row per vector and component; the rounds are written out one after the other."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS (
+  SELECT v.rid, c.k, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{r} c USING (j) GROUP BY v.rid, c.k
+), a{r} AS (SELECT rid, min({{'d': d, 'k': k}}) AS best FROM d{r} GROUP BY rid)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (
+  SELECT a.best.k AS k, v.j, sum(v.x) AS s, count(*) AS n FROM a{r} a JOIN v USING (rid) GROUP BY a.best.k, v.j
+), c{r + 1} AS (
+  SELECT c.k, c.j, CASE WHEN s.n IS NULL THEN c.x ELSE CAST((s.s - ((s.s % s.n) + s.n) % s.n) // s.n AS BIGINT) END AS x
+  FROM c{r} c LEFT JOIN s{r} s USING (k, j)
+)""")
+    return f"""
+WITH e AS (
+  SELECT row_number() OVER () AS rid, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), v AS (SELECT rid, unnest(q) AS x, generate_subscripts(q, 1) AS j FROM e),
+f AS (
+  SELECT rid, row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)), q) - 1 AS k FROM e WHERE vec_id IS NOT NULL
+), c0 AS (SELECT f.k, v.j, v.x FROM f JOIN v USING (rid) WHERE f.k < {k}),
+{", ".join(steps)},
+h AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS mark FROM c{rounds} GROUP BY k)
+SELECT e.vec_id, CAST(a.best.k AS INTEGER) AS cluster, CAST(a.best.d AS BIGINT) AS distance,
+  CAST(sum(a.best.d) OVER (PARTITION BY a.best.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.best.d) OVER () AS BIGINT) AS inertia,
+  h.mark AS centroid_sha256
+FROM e JOIN a{rounds} a USING (rid) JOIN h ON h.k = a.best.k
+"""
+
+
+COLLOCATIONS = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts),
+worded AS (SELECT row_number() OVER () AS piece, lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+words AS MATERIALIZED (SELECT piece, lang, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM worded),
+led AS MATERIALIZED (
+  SELECT lang, a, lead(a) OVER x AS b, lead(a, 2) OVER x AS c, lead(a, 3) OVER x AS d FROM words
+  WINDOW x AS (PARTITION BY piece ORDER BY i)
+), counted AS (
+  SELECT lang, [a] AS p, count(*) AS f FROM led GROUP BY lang, a
+  UNION ALL SELECT lang, [a, b], count(*) FROM led WHERE b IS NOT NULL GROUP BY lang, a, b
+  UNION ALL SELECT lang, [a, b, c], count(*) FROM led WHERE c IS NOT NULL GROUP BY lang, a, b, c
+  UNION ALL SELECT lang, [a, b, c, d], count(*) FROM led WHERE d IS NOT NULL GROUP BY lang, a, b, c, d
+), often AS MATERIALIZED (SELECT * FROM counted WHERE f >= 30),
+found AS (SELECT lang, p, f AS a FROM often WHERE len(p) > 1),
+cuts AS (
+  SELECT c.lang, c.p, c.a, k, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS score
+  FROM found c JOIN (VALUES (1), (2), (3)) s(k) ON k < len(c.p)
+  JOIN often x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN often y ON y.lang = c.lang AND y.p = c.p[k + 1:len(c.p)]
+), best AS (SELECT lang, p, a, min({'score': score, 'k': k, 'l': l, 'r': r}) AS b FROM cuts GROUP BY ALL),
+inner_parts AS (
+  SELECT lang, p[i:i + m - 1] AS p, max(a) AS most
+  FROM found JOIN (VALUES (3, 2, 1), (3, 2, 2), (4, 2, 1), (4, 2, 2), (4, 2, 3), (4, 3, 1), (4, 3, 2)) s(n, m, i) ON len(p) = n GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN inner_parts i ON i.lang = b.lang AND i.p = b.p
+  WHERE i.most IS NULL OR CAST(100 AS HUGEINT) * i.most < CAST(80 AS HUGEINT) * b.a
+), ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, b.l AS l, b.r AS r, CAST(b.score AS BIGINT) AS score,
+    row_number() OVER (PARTITION BY lang ORDER BY b.score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM kept
+)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, CAST(n.n AS BIGINT) AS n, k.score
+FROM ranked k JOIN (SELECT lang, sum(len(w)) AS n FROM worded GROUP BY lang) n ON n.lang = k.lang WHERE k.rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL can't tokenize, train or hash as the other operators do; those are tested against brute force."""
     return {
@@ -149,4 +234,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_topk": EXACT_TOPK,
         "op4_substring_dedup": REPEATED_WINDOWS,
         "op10_warc": REVISITS,
+        "op11_centroid_clusters": _rounds(),
+        "op13_collocations": COLLOCATIONS,
     }
