@@ -19,7 +19,7 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = line_dedup.classes(table(spark, folder, "documents"), threshold=2, least_chars=20)
+    found = line_dedup.classes(table(spark, folder, "documents"), threshold=2, least_chars=20, short_equal=True)
     return found.select(
         F.col("id").alias("doc_id"), F.col("at").alias("line"), F.col("class_id").alias("class_doc_id"),
         F.col("class_at").alias("class_line"), "n_links", "kept",
@@ -115,11 +115,11 @@ NEAR_LINES = """
 WITH RECURSIVE occurrences AS (
   SELECT doc_id, CAST(i AS INTEGER) AS line, lines[i + 1] AS t
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents) d, range(len(lines)) r(i)
-  WHERE length(lines[i + 1]) >= 20
+  WHERE length(lines[i + 1]) >= 20 OR translate(lines[i + 1], chr(32) || chr(9) || chr(11) || chr(12) || chr(13), '') <> ''
 ), lines AS (SELECT t, row_number() OVER () AS k, length(t) AS n FROM (SELECT DISTINCT t FROM occurrences)),
 near AS (
   SELECT a.k AS a, b.k AS b FROM lines a JOIN lines b
-    ON a.n BETWEEN b.n - 2 AND b.n + 2 AND a.k <> b.k AND levenshtein(a.t, b.t) <= 2
+    ON a.n >= 20 AND b.n >= 20 AND a.n BETWEEN b.n - 2 AND b.n + 2 AND a.k <> b.k AND levenshtein(a.t, b.t) <= 2
 ), reached(k, other) AS (
   SELECT k, k FROM lines UNION SELECT r.k, n.b FROM reached r JOIN near n ON r.other = n.a
 ), placed AS (SELECT o.doc_id, o.line, l.k FROM occurrences o JOIN lines l ON o.t = l.t),
