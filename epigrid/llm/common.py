@@ -14,6 +14,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, or with underscores after it a name that no column of the table has, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` computed once per row, however often the body or a lambda inside it names it."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -34,12 +42,15 @@ def shards_for(rows: int, per_shard: int) -> int:
     return max(1, -(-rows // per_shard))
 
 
-def slices(texts: list[str | None], characters: int = 2_000_000) -> Iterator[list[str | None]]:
-    """The texts in turn, in lists of about so many characters, so that what is made of them stays small."""
+def slices(texts: list[str | None], characters: int = 2_000_000, each: int = 0) -> Iterator[list[str | None]]:
+    """The texts in turn, in lists of about so many characters, so that what is made of them stays small.
+
+    Every text counts `each` characters besides its own, which bounds the number of texts too.
+    """
     part, size = [], 0
     for t in texts:
         part.append(t)
-        size += len(t or "")
+        size += len(t or "") + each
         if size >= characters:
             yield part
             part, size = [], 0

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from epigrid.llm.common import WHITE, let
+from epigrid.llm.common import WHITE, fresh, let
 from epigrid.llm.components import connected_components
 from epigrid.session import cut_lineage
 
@@ -228,9 +228,10 @@ def clean(
     """The rows without the lines that repeat an earlier one; a text that loses none stays byte for byte."""
     gone = classes(docs, threshold, least_chars, id_column, text_column, short_equal).where(~F.col("kept"))
     gone = gone.groupBy("id", "mark").agg(F.collect_set("at").alias("gone")).alias("g")
-    rows = docs.withColumn("__mark", F.xxhash64(F.coalesce(F.col(text_column).cast("string"), F.lit("")))).alias("d")
-    same = F.col(f"d.{id_column}").eqNullSafe(F.col("g.id")) & (F.col("d.__mark") == F.col("g.mark"))
-    joined = rows.join(gone, same, "left").select("d.*", F.col("g.gone").alias("__gone"))
-    left = F.filter(F.split(text_column, "\n"), lambda line, i: ~F.array_contains("__gone", i))
-    text = F.when(F.col("__gone").isNull(), F.col(text_column)).otherwise(F.array_join(left, "\n"))
-    return joined.withColumn(text_column, text).drop("__mark", "__gone")
+    mark, lost = fresh(docs, "__mark"), fresh(docs, "__gone")
+    rows = docs.withColumn(mark, F.xxhash64(F.coalesce(F.col(text_column).cast("string"), F.lit("")))).alias("d")
+    same = F.col(f"d.{id_column}").eqNullSafe(F.col("g.id")) & (F.col(f"d.{mark}") == F.col("g.mark"))
+    joined = rows.join(gone, same, "left").select("d.*", F.col("g.gone").alias(lost))
+    left = F.filter(F.split(text_column, "\n"), lambda line, i: ~F.array_contains(lost, i))
+    text = F.when(F.col(lost).isNull(), F.col(text_column)).otherwise(F.array_join(left, "\n"))
+    return joined.withColumn(text_column, text).drop(mark, lost)

@@ -19,12 +19,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from epigrid.llm.common import slices
+from epigrid.llm.common import fresh, slices
 from epigrid.llm.features import Texts, buckets, labelled_sample
 
 SAMPLE_ROWS = 5000
-#: Characters that are turned into indicators at once while fitting, which bounds the driver's memory.
+#: Characters that are turned into indicators at once while fitting and while scoring, which bounds memory; the rates of a text take
+#: as much as so many characters, so short texts count for more.
 FIT_CHARACTERS = 400_000
+SCORE_CHARACTERS = 600_000
+TEXT_SHARE = 500
 BITS = 18
 SHARES = (0.0, 0.01, 0.03, 0.1, 0.3)
 
@@ -136,7 +139,7 @@ def fit(texts: list[str], labels: list[int], smoothing: float = 1.0, cost: float
         return Model(zero, zero, 0.0, 0.0, float((y > 0).mean()) if len(y) else 0.0)
     rows: list[np.ndarray] = []
     p, q = np.zeros(WIDTH), np.zeros(WIDTH)  # texts of either class that hold an indicator
-    for part in slices(texts, FIT_CHARACTERS):
+    for part in slices(texts, FIT_CHARACTERS, TEXT_SHARE):
         row, held = indicators(part)
         good = y[len(rows) : len(rows) + len(part)][row] > 0
         p += np.bincount(held[good], minlength=WIDTH)
@@ -192,13 +195,13 @@ def score(
         model = shared.value
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            chance = np.concatenate([model.score(part) for part in slices(texts)]) if texts else np.zeros(0)
+            chance = np.concatenate([model.score(part) for part in slices(texts, SCORE_CHARACTERS, TEXT_SHARE)]) if texts else np.zeros(0)
             new = [pa.array(chance), pa.array((chance >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], names=names)
 
     kept = [id_column, *keep]
     names = [*kept, f"{prefix}score", f"{prefix}predicted"]
-    picked = docs.select(F.col(text_column).cast("string").alias("__scored_text"), *kept)
+    picked = docs.select(F.col(text_column).cast("string").alias(fresh(docs, "__scored_text")), *kept)
     kinds = [*docs.select(*kept).dtypes, (names[-2], "double"), (names[-1], "int")]
     schema = ", ".join(f"`{n}` {t}" for n, t in kinds)
     return picked.mapInArrow(run, schema)

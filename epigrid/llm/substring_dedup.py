@@ -30,7 +30,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from epigrid.llm.common import shards_for
+from epigrid.llm.common import fresh, shards_for
 from epigrid.llm.features import Texts, mix
 from epigrid.session import cut_lineage
 
@@ -324,14 +324,16 @@ def _removed(words: int, ranges: list[dict] | None) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def _with_ranges(docs: DataFrame, window: int, id_column: str, text_column: str) -> DataFrame:
-    """The rows with `__blob`, the squeezed text, in place of the text, and `__ranges`, what repeated windows cover or null."""
+def _with_ranges(docs: DataFrame, window: int, id_column: str, text_column: str) -> tuple[DataFrame, str, str, str]:
+    """The rows without the text, and the names of three columns more: the squeezed text, whether the text is null, and what
+    repeated windows cover or null."""
     ranges = repeated_ranges(_named(docs, id_column, text_column), window).alias("c")
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    rows = docs.withColumns({"__mark": F.xxhash64(text), "__null": F.col(text_column).isNull(), "__blob": _squeezed(text)})
-    same = F.col(f"d.{id_column}").eqNullSafe(F.col("c.id")) & (F.col("d.__mark") == F.col("c.mark"))
+    mark, null, blob, covered = (fresh(docs, n) for n in ("__mark", "__null", "__blob", "__ranges"))
+    rows = docs.withColumns({mark: F.xxhash64(text), null: F.col(text_column).isNull(), blob: _squeezed(text)})
+    same = F.col(f"d.{id_column}").eqNullSafe(F.col("c.id")) & (F.col(f"d.{mark}") == F.col("c.mark"))
     joined = rows.drop(text_column).alias("d").join(ranges, same, "left")
-    return joined.select("d.*", F.col("c.ranges").alias("__ranges"))
+    return joined.select("d.*", F.col("c.ranges").alias(covered)), blob, null, covered
 
 
 def digests(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -351,8 +353,8 @@ def digests(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", te
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = [id_column, "n_words", "n_removed", "kept_sha256"]
-    rows = _with_ranges(docs.select(id_column, text_column), window, id_column, text_column)
-    rows = rows.select(id_column, "__blob", "__ranges")
+    rows, blob, _, covered = _with_ranges(docs.select(id_column, text_column), window, id_column, text_column)
+    rows = rows.select(id_column, blob, covered)
     kind = dict(rows.dtypes)[id_column]
     return rows.mapInArrow(run, f"`{id_column}` {kind}, n_words long, n_removed long, kept_sha256 string")
 
@@ -368,6 +370,6 @@ def clean(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text
             text = b" ".join(w for w, r in zip(words, _removed(len(words), ranges).tolist()) if not r)
         return text.decode()
 
-    rows = _with_ranges(docs, window, id_column, text_column)
-    cleaned = F.when(~F.col("__null"), without("__blob", "__ranges"))
+    rows, blob, null, covered = _with_ranges(docs, window, id_column, text_column)
+    cleaned = F.when(~F.col(null), without(blob, covered))
     return rows.withColumn(text_column, cleaned).select(*docs.columns)
