@@ -1,8 +1,8 @@
 """Corpus preparation in five stages, each on everything that its predecessor kept.
 
 quality classifier: documents that it rejects go; line deduplication: later copies of a line go from the texts; SimHash
-near-duplicates: one document of each group stays, linked by a similarity of 4/5 of their five-word shingles; substring
-deduplication: repeated passages go from the texts; best-fit packing: the remaining documents become sequences. All but the last
+near-duplicates: one document of each group stays, linked where the fingerprints of their four-word shingles differ in four bits or
+less; substring deduplication: repeated passages go from the texts; best-fit packing: the remaining documents become sequences. All but the last
 return the columns of documents, with `n_chars` brought up to date. Documents that lose all their lines stay as empty ones until
 the near-duplicate stage, which leaves one of them.
 """
@@ -14,7 +14,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from epigrid.llm import line_dedup, packing, quality_classifier, shingle_groups, substring_dedup
+from epigrid.llm import golay_simhash, line_dedup, packing, quality_classifier, substring_dedup
 from epigrid.session import cut_lineage
 
 
@@ -25,8 +25,11 @@ def _counted(docs: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), parts=3, left_out=1)
     rest = tuple(c for c in docs.columns if c != "doc_id")
-    scored = quality_classifier.score(docs, model, threshold=0.5, keep=rest, prefix="__")
-    return scored.where("__predicted = 1").select(*docs.columns)
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    scored = quality_classifier.score(docs, model, threshold=0.5, keep=rest, prefix=prefix)
+    return scored.where(F.col(f"{prefix}predicted") == 1).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +37,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shingle_groups.representatives(docs, width=5).select(*docs.columns)
+    return golay_simhash.representatives(docs, width=4).select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
