@@ -2,8 +2,9 @@
 
 Arrow batches are cut into runs of rows of about equal bytes, so a batch given to the library is small whatever the texts are. A
 text longer than a piece is split at safe boundaries, a single space between two ASCII letters, where no token and no rule of the
-tokenizer reaches across; the counts of its pieces add up to that of the whole text. Files for which that can't be told from their
-own description are encoded whole. `.json` files are for the `tokenizers` library, `.model` files for `sentencepiece`; strings of
+tokenizer reaches across; the counts of its pieces add up to that of the whole text. Pieces are split further at such boundaries (at every space
+and line end where the file drops white space) into units, and the library encodes every different unit of a run of rows once. Files
+for which safe boundaries can't be told from their own description are encoded whole. `.json` files are for the `tokenizers` library, `.model` files for `sentencepiece`; strings of
 special tokens inside a text count as the library has it by default; nothing is added, cut off or padded.
 
 Null texts count as empty: no bytes, no tokens. Null and repeated ids, repeated rows and further columns change nothing: only the
@@ -16,8 +17,10 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import count as count_from, islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,37 +30,64 @@ from pyspark.sql import DataFrame, functions as F
 #: Bytes of text given to the library at once, and characters of a piece of a long text.
 BATCH_BYTES = 256 << 10
 PIECE_CHARACTERS = 64 << 10
+#: Units whose counts a worker remembers.
+CACHED_UNITS = 200_000
 BOUNDARY = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+BEFORE_SPACE = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
 #: Normalisers that work character by character, or compose characters, and so never look across a space between letters.
 LOCAL_STEPS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase"}
 
 
 class Counter:
-    """Counts of a list of pieces, and whether long texts may be cut; `gap` characters of a cut are left out."""
+    """Counts tokens of texts by a library.
 
-    def __init__(self, count: Callable[[list[str]], list[int]], cuttable: bool, gap: int):
-        self.count, self.cuttable, self.gap = count, cuttable, gap
+    `units` splits a piece of text where no token reaches across; without it texts are counted whole. `gap` characters of a cut between
+    pieces are left out.
+    """
+
+    def __init__(self, count: Callable[[list[str]], list[int]], units: Callable[[str], list[str]] | None, gap: int):
+        self.count, self.units, self.gap = count, units, gap
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict(count_from().__next__)
+        self.sizes = np.zeros(0, np.int64)
 
     def pieces(self, text: str, size: int = PIECE_CHARACTERS) -> Iterator[str]:
+        """A long text in pieces that end at a safe boundary."""
         start = 0
-        while self.cuttable and len(text) - start > size and (found := BOUNDARY.search(text, start + size)):
+        while self.units and len(text) - start > size and (found := BOUNDARY.search(text, start + size)):
             yield text[start : found.start()]
             start = found.start() + self.gap
         yield text[start:]
 
+    def _in_batches(self, parts: Iterable[str], batch_bytes: int) -> list[int]:
+        """Tokens of every part; the library gets about `batch_bytes` at once."""
+        out, batch, held = [], [], 0
+        for part in parts:
+            batch.append(part)
+            held += len(part)
+            if held >= batch_bytes:
+                out += self.count(batch)
+                batch, held = [], 0
+        return out + self.count(batch) if batch else out
+
     def lengths(self, texts: list[str | None], batch_bytes: int = BATCH_BYTES) -> np.ndarray:
-        """Tokens of every text; the library gets batches of pieces of about `batch_bytes`."""
-        out, row, part, held = np.zeros(len(texts), np.int64), [], [], 0
+        """Tokens of every text. A unit that stands in several places is encoded once; a bounded number of units is remembered."""
+        if not self.units:
+            return np.array(self._in_batches((t or "" for t in texts), batch_bytes), np.int64)
+        if len(self.number) > CACHED_UNITS:
+            self._forget()
+        row, codes = [], []
         for i, text in enumerate(texts):
             for piece in self.pieces(text) if text else ():
+                units = self.units(piece)
                 row.append(i)
-                part.append(piece)
-                held += len(piece)
-                if held >= batch_bytes:
-                    np.add.at(out, row, self.count(part))
-                    row, part, held = [], [], 0
-        if part:
-            np.add.at(out, row, self.count(part))
+                codes.append(np.fromiter(map(self.number.__getitem__, units), np.int32, len(units)))
+        new = self._in_batches(islice(self.number, len(self.sizes), None), batch_bytes)
+        self.sizes = np.concatenate([self.sizes, np.array(new, np.int64)])
+        out = np.zeros(len(texts), np.int64)
+        np.add.at(out, np.array(row, np.int64), np.array([self.sizes[c].sum() for c in codes], np.int64))
         return out
 
 
@@ -90,8 +120,10 @@ def _from_json(path: str) -> Counter:
     )
     by_bytes = spelled and len(split) == 1 and split[0]["use_regex"]
     plain = all(not re.search(r"\s", t["content"]) for t in spec["added_tokens"])
-    cuttable = local and plain and bool(dropped or by_bytes) and not spec["model"].get("dropout")
-    return Counter(lambda part: [len(e) for e in library.encode_batch_fast(part, add_special_tokens=False)], cuttable, 0)
+    safe = local and plain and not spec["model"].get("dropout")
+    words = lambda text: text.replace("\n", " ").split(" ")
+    units = words if safe and dropped else BEFORE_SPACE.split if safe and by_bytes else None
+    return Counter(lambda part: [len(e) for e in library.encode_batch_fast(part, add_special_tokens=False)], units, 0)
 
 
 def _from_model(path: str) -> Counter:
@@ -109,7 +141,8 @@ def _from_model(path: str) -> Counter:
         and normal.add_dummy_prefix and not trained.treat_whitespace_as_suffix
     )
     # the library puts a space before every piece, so the one at the cut is left out
-    return Counter(lambda part: [len(ids) for ids in library.encode(part, num_threads=1)], cuttable, 1)
+    units = BOUNDARY.split if cuttable else None
+    return Counter(lambda part: [len(ids) for ids in library.encode(part, num_threads=1)], units, 1)
 
 
 @lru_cache(maxsize=1)

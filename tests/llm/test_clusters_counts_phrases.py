@@ -13,7 +13,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from epigrid.llm import centroid_clusters, collocations, token_counts
-from llm.conftest import frame
+from llm.conftest import frame, sentence
 
 FILES = ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model")
 
@@ -106,7 +106,7 @@ def library(name):
 def test_split_texts_count_as_whole_ones(name):
     rng, whole_count = random.Random(5), library(name)
     counter = token_counts.counter(public_tokenizers.path(name))
-    assert counter.cuttable
+    assert counter.units
     for k in range(400):
         text = "".join(rng.choice("abTHE't  's12\n\tingé́😀<|>!.½²ĲįİΣς\x85\xa0\x1c a b c▁") for _ in range(rng.randint(1, 200)))
         text = text if k % 7 else text[:50] + "a <|endoftext|> b <s> c" + text[50:]
@@ -127,6 +127,18 @@ def test_token_counts(spark, edge_rows, name, monkeypatch):
     assert token_counts.counts(frame(spark, []), public_tokenizers.path(name)).count() == 0
 
 
+def test_units_and_forgetting(monkeypatch):
+    monkeypatch.setattr(token_counts, "CACHED_UNITS", 50)
+    rng = random.Random(9)
+    for name in FILES:
+        counter, whole_count = token_counts._from_model(p) if (p := public_tokenizers.path(name)).endswith("model") else token_counts._from_json(p), library(name)
+        for _ in range(5):
+            texts = [sentence(rng, 80).replace("a", rng.choice([" ", "\n", "'s", ". "])) for _ in range(20)]
+            assert counter.lengths(texts, 100).tolist() == [whole_count(t) for t in texts]
+        counter.units = None
+        assert counter.lengths([*texts, None]).tolist() == [*[whole_count(t) for t in texts], 0]
+
+
 def test_balanced_runs():
     sizes = np.array([0, 5, 9, 1, 100, 1, 1, 0])
     runs = list(token_counts.balanced(sizes, 10))
