@@ -21,11 +21,18 @@ def region_cells(regions: DataFrame, side: float = REGION_SIDE) -> DataFrame:
     and whether its lower left corner `_cx`, `_cy` is inside; `inside_cell` decides by them alone. The work follows the edges:
     each is dealt to the cells that it passes, and the corners' insides come from running counts of the crossings along each
     row of cells. So it grows with the border's length and spreads over tasks, whatever the shape or the number of rings.
+
+    Every row of `regions` counts for itself, also one that repeats another, or that has another's attributes and a shape of its own:
+    rows are numbered, equal shapes share the cover of the first one, and the cover is dealt back to all rows of the shape.
     """
     s, key = F.lit(side), ["_region", "_gy"]
-    numbered = regions.withColumn("_region", F.xxhash64(*[c for c in regions.columns if c not in _SHAPE], *_BOX))
+    # stored, so that the numbers are fixed
+    rows = cut_lineage(regions.withColumn("_row", F.monotonically_increasing_id()), "region-rows")
+    geometry = [c for c in _SHAPE if c in regions.columns]
+    same_shape = F.min("_row").over(Window.partitionBy(*geometry))
+    numbered = rows.withColumn("_region", same_shape)
     shape = parts_edges(F.col("parts")) if "parts" in regions.columns else ring_edges(F.col("ring"))
-    edges = numbered.select("_region", F.explode(shape).alias("_e"))
+    edges = numbered.filter("_region = _row").select("_region", F.explode(shape).alias("_e"))
     ax, ay, bx, by = (F.col(f"_e.{end}.{axis}") for end in "ab" for axis in "xy")
     # A margin far above rounding: an edge on a cell's side belongs to both cells.
     pad = F.lit(side * 1e-6)
@@ -65,8 +72,7 @@ def region_cells(regions: DataFrame, side: float = REGION_SIDE) -> DataFrame:
     cells = cornered.withColumn("whole", F.lit(False)).unionByName(
         between.withColumn("whole", F.lit(True)), allowMissingColumns=True
     )
-    named = numbered.drop(*(c for c in _SHAPE if c in regions.columns))
-    return cells.join(named, "_region").drop("_region")
+    return cells.join(numbered.drop(*geometry, "_row"), "_region").drop("_region")
 
 
 def inside_cell(x: Column, y: Column) -> Column:
@@ -96,8 +102,8 @@ def inside_cell(x: Column, y: Column) -> Column:
 def assign_region(points: DataFrame, regions: DataFrame, point_id: str = "case_id") -> DataFrame:
     """Join every point with all regions that contain it (closed: a border belongs to both sides).
 
-    A point in two overlapping regions gives two rows; a point in none gives no row. Adds the region's columns apart
-    from its geometry.
+    A point in two overlapping regions gives two rows, also if they are the same region listed twice; a point in none gives no
+    row. Adds the region's columns apart from its geometry.
     """
     s = F.lit(REGION_SIDE)
     cells = cut_lineage(region_cells(regions), "region-cells")
