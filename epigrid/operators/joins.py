@@ -10,7 +10,9 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
-def cell_join(many: DataFrame, few: DataFrame, keys: list[str], spread_on: str, few_is_small: bool) -> DataFrame:
+def cell_join(
+    many: DataFrame, few: DataFrame, keys: list[str], spread_on: str, few_is_small: bool, load: DataFrame | None = None
+) -> DataFrame:
     """Inner equi-join of a large table with a table of cells.
 
     With a small (counted) cell table the large side is streamed past a broadcast and never moves. Otherwise both sides
@@ -18,7 +20,7 @@ def cell_join(many: DataFrame, few: DataFrame, keys: list[str], spread_on: str,
     """
     if few_is_small:
         return many.join(F.broadcast(few), keys)
-    return salted_join(many, few, keys, spread_on)
+    return salted_join(many, few, keys, spread_on, load)
 
 
 def salted_join(

@@ -230,3 +230,33 @@ def test_nearest_meets_few_facilities(spark, spread):
     found = proximity.nearest_facility(cases, facilities)
     other = proximity.nearest_facility(cases, facilities, cell_side=0.01)
     assert rows(found, "case_id", "facility_id") == rows(other, "case_id", "facility_id")
+
+
+@pytest.mark.parametrize("far", [2.0, 40.0])
+def test_far_cases_meet_few_facilities(spark, far):
+    """Four thousand cases far away from four thousand facilities: each meets the near rim only, and the answers are those of a plain
+    comparison with all facilities."""
+    def places(seed, n, name, x):
+        return spark.range(n).select(F.col("id").alias(name), (F.rand(seed) * 2 + x).alias("lon"), (F.rand(seed + 1) * 2 + 13).alias("lat"))
+
+    cases, facilities = places(11, 4000, "case_id", 100.0 + far + 2.0), places(15, 4000, "id", 100.0)
+    pairs = proximity.nearest_pairs(cases, facilities, "id", "case_id", None, ())
+    assert pairs.count() < 100 * cases.count()
+    some = cases.filter("case_id % 40 = 0")
+    facts = [tuple(r) for r in facilities.collect()]
+    wanted = sorted(
+        (c, min((((x - fx) ** 2 + (y - fy) ** 2) ** 0.5, f) for f, fx, fy in facts)[1]) for c, x, y in map(tuple, some.collect())
+    )
+    found = proximity.nearest_facility(cases, facilities).filter("case_id % 40 = 0")
+    assert rows(found, "case_id", "facility_id") == wanted
+
+
+def test_cells_with_very_many_candidates(spark, small, monkeypatch):
+    """Candidates as pairs and as lists give the same rows."""
+    cases = small["cases"].select("case_id", "lon", "lat")
+    usual = rows(proximity.nearest_facility(cases, small["schools"], carry=("name",)), "case_id", "facility_id", "name", "dist_deg")
+    monkeypatch.setattr(proximity, "LISTED", 1)
+    assert rows(proximity.nearest_facility(cases, small["schools"], carry=("name",)), "case_id", "facility_id", "name", "dist_deg") == usual
+    nobody = small["schools"].limit(0)
+    alone = proximity.nearest_facility(cases, nobody, carry=("name",))
+    assert alone.count() == cases.count() and alone.filter("facility_id IS NOT NULL").count() == 0
