@@ -15,14 +15,13 @@ No group is collected and no interval list is sorted. Dense places are thinned o
 import math
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from epigrid.constants import APOTHEM, HALF_SIDE, NORMALS, RISK_TIERS, SIDES, SQKM_PER_SQDEG, UNIT_AREA, VERTICES
 from epigrid.functions.geo import round_half_up, to_degrees
-from epigrid.functions.rings import RING_TYPE, buffer_ring, let, ring_contains, ring_wkt
+from epigrid.functions.rings import RING_TYPE, buffer_ring, let, ring_wkt
 from epigrid.operators.joins import neighbours, offset_array
 from epigrid.session import cut_lineage
-from epigrid.sources.ingest import with_box
 
 ALL_EDGES = (1 << SIDES) - 1
 # Cell side of the first thinning step in radii, the factor between steps, and how far a cell looks for cover.
@@ -35,6 +34,8 @@ MOVE_SIDE, MOVE_REACH = 0.125, 9
 TOUCH = 1e-9
 # Ends of pieces closer than half of this many radii are one point.
 NEAR = 1e-6
+# Side of the cells that rays from holes pass, in radii: about as long as the longest piece.
+RAY_SIDE = 0.2
 
 
 def tiers_of(df: DataFrame, tiers=RISK_TIERS) -> DataFrame:
@@ -379,7 +380,7 @@ def zone_parts(vertices: DataFrame, group: list[str]) -> DataFrame:
     into a row here; the vertex rows of `rings` have no such bound.
 
     Rings start at their lowest vertex from the left, so the same zone always has the same text. A hole belongs to the smallest
-    outer ring around it.
+    outer ring around it, which `hole_owners` finds without pairing holes with rings.
     """
     zone = [*group, "radius_meters"]
     corner = F.struct(F.col("seq"), F.col("x"), F.col("y"))
@@ -392,24 +393,79 @@ def zone_parts(vertices: DataFrame, group: list[str]) -> DataFrame:
         return F.concat(around, F.slice(around, 1, 1))
 
     closed = ordered.select(*zone, "ring", let(points, turned).alias("_ring"))
-    areas = ring_summary(vertices, group).select(*zone, "ring", "area_deg2")
-    sized = closed.join(areas, [*zone, "ring"])
-    outer = sized.filter("area_deg2 > 0").withColumn("ring", F.col("_ring"))
-    outer = with_box(outer).select(*zone, F.col("_ring").alias("_outer"), F.col("area_deg2").alias("_size"), "x0", "y0", "x1", "y1")
-    holes = sized.filter("area_deg2 < 0").select(*zone, F.col("ring").alias("_hole_id"), F.col("_ring").alias("_hole"))
-    at = F.element_at("_hole", 1)
-    in_box = at["x"].between(F.col("x0"), F.col("x1")) & at["y"].between(F.col("y0"), F.col("y1"))
-    around = holes.join(outer, zone).filter(in_box).filter(ring_contains(F.col("_outer"), at["x"], at["y"]))
-    owned = around.groupBy(*zone, "_hole_id").agg(
-        F.min_by("_outer", "_size").alias("_outer"), F.first("_hole").alias("_hole")
-    )
-    held = owned.groupBy(*zone, "_outer").agg(F.sort_array(F.collect_list("_hole")).alias("_holes"))
-    parts = outer.join(held, [*zone, "_outer"], "left").withColumn(
-        "_part", F.concat(F.array("_outer"), F.coalesce("_holes", F.array().cast(f"array<{RING_TYPE}>")))
+    owners = hole_owners(vertices, group)
+    owned = closed.join(owners.withColumnRenamed("hole", "ring"), [*zone, "ring"])
+    held = owned.groupBy(*zone, F.col("outer").alias("ring")).agg(F.sort_array(F.collect_list("_ring")).alias("_holes"))
+    outer = closed.join(owners.select(*zone, F.col("hole").alias("ring")), [*zone, "ring"], "left_anti")
+    parts = outer.join(held, [*zone, "ring"], "left").withColumn(
+        "_part", F.concat(F.array("_ring"), F.coalesce("_holes", F.array().cast(f"array<{RING_TYPE}>")))
     )
     return parts.groupBy(*zone).agg(F.sort_array(F.collect_list("_part")).alias("parts"))
 
 
+def hole_owners(vertices: DataFrame, group: list[str]) -> DataFrame:
+    """(zone, `hole`, `outer`): the outer ring that each hole lies in.
+
+    From the leftmost vertex of a hole a ray runs to the left; the first outline piece on its way belongs to the outer ring, or to
+    another hole of the same outer ring, which then answers. Pieces lie in the cells of a grid; the next occupied cell to the left is a
+    running maximum along a row of cells, and only the pieces in it are looked at. A ray that crosses none of them there goes on from the next
+    cell, one round for all rays. Pointers from hole to hole are followed by doubling. Work grows with holes and pieces, not with
+    their product, and a zone spreads over its rows of cells.
+    """
+    zone = [*group, "radius_meters"]
+    side = to_degrees(F.col("radius_meters")) * F.lit(RAY_SIDE)
+
+    def cell(value: Column) -> Column:
+        return F.floor(value / side)
+
+    sizes = ring_summary(vertices, group)
+    holes = sizes.filter("area_deg2 < 0").select(*zone, "ring")
+    x, y, to_x, to_y = (F.col(c) for c in ("x", "y", "to_x", "to_y"))
+    spread = [
+        (name, F.explode(F.sequence(cell(F.least(a, b)), cell(F.greatest(a, b))))) for name, a, b in (("_cx", x, to_x), ("_gy", y, to_y))
+    ]
+    pieces = vertices.select(*zone, "ring", "x", "y", "to_x", "to_y")
+    for name, made in spread:
+        pieces = pieces.withColumn(name, made)
+    pieces = cut_lineage(pieces, "ray-pieces")
+    first = vertices.join(holes, [*zone, "ring"]).groupBy(*zone, F.col("ring").alias("hole")).agg(F.min(F.struct("x", "y")).alias("_p"))
+    ray = first.select(*zone, "hole", F.col("_p.x").alias("_px"), F.col("_p.y").alias("_py"))
+    waiting = cut_lineage(ray.withColumns({"_cx": cell(F.col("_px")), "_gy": cell(F.col("_py"))}), "rays")
+    occupied = pieces.select(*zone, "_cx", "_gy").distinct()
+    along = Window.partitionBy(*zone, "_gy").orderBy("_cx", F.col("hole").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    # where the piece meets the height of the ray; the lower end of a piece counts as on it
+    at = x + (F.col("_py") - y) * (to_x - x) / F.nullif(to_y - y, F.lit(0.0))
+    at = F.least(F.greatest(at, F.least(x, to_x)), F.greatest(x, to_x))
+    crossed = ((y <= F.col("_py")) != (to_y <= F.col("_py"))) & (F.col("_x") < F.col("_px")) & (cell(F.col("_x")) == F.col("_cx"))
+    hits = []
+    while not waiting.isEmpty():
+        marked = occupied.unionByName(waiting, allowMissingColumns=True)
+        next_cell = F.max(F.when(F.col("hole").isNull(), F.col("_cx"))).over(along)
+        looked = cut_lineage(marked.withColumn("_cx", next_cell).filter("hole IS NOT NULL"), "rays")
+        lost = looked.filter("_cx IS NULL").select(*zone, "_px", "_py").first()
+        if lost:
+            raise ValueError(f"no ring is around the hole at {tuple(lost)}")
+        met = looked.join(pieces, [*zone, "_cx", "_gy"]).withColumn("_x", at).filter(crossed)
+        nearest = met.groupBy(*zone, "hole").agg(F.max(F.struct("_x", "ring")).alias("_hit")).select(*zone, "hole", F.col("_hit.ring").alias("outer"))
+        hits.append(cut_lineage(nearest, "ray-hits"))
+        rest = looked.join(hits[-1], [*zone, "hole"], "left_anti")
+        waiting = cut_lineage(rest.withColumn("_cx", F.col("_cx") - 1), "rays")
+    if not hits:
+        return ray.select(*zone, "hole", F.col("hole").alias("outer")).limit(0)
+    found = hits[0]
+    for more in hits[1:]:
+        found = found.unionByName(more)
+    inner = holes.select(*zone, F.col("ring").alias("outer"), F.lit(True).alias("_on"))
+    found = cut_lineage(found.join(inner, [*zone, "outer"], "left").withColumn("_on", F.coalesce("_on", F.lit(False))), "owners")
+    while not found.filter("_on").isEmpty():
+        ahead = found.select(*zone, F.col("hole").alias("outer"), F.col("outer").alias("_far"), F.col("_on").alias("_further"))
+        joined = found.join(ahead, [*zone, "outer"], "left")
+        found = cut_lineage(
+            joined.select(*zone, "hole", F.coalesce("_far", "outer").alias("outer"), F.coalesce("_further", F.lit(False)).alias("_on")), "owners"
+        )
+    return found.select(*zone, "hole", "outer")
+
+
 def _piece_ends(free: DataFrame, columns: list[str]) -> DataFrame:
     nx, ny = edge_normal()
     reach = F.col("_r") * F.lit(APOTHEM)
@@ -445,14 +501,19 @@ def buffer_area(radius_deg: Column) -> Column:
     return radius_deg * radius_deg * F.lit(UNIT_AREA)
 
 
-def risk_zones(located: DataFrame, region: str = "region_name") -> DataFrame:
+def ring_areas(vertices: DataFrame, group: list[str]) -> DataFrame:
+    """Area in square degrees of each zone from its rings, as `union_area` gives it from the cases."""
+    return ring_summary(vertices, group).groupBy(*group, "radius_meters").agg(F.sum("area_deg2").alias("area_deg2"))
+
+
+def risk_zones(located: DataFrame, region: str = "region_name", merged: DataFrame | None = None) -> DataFrame:
     """Per region and tier: distinct cases, naive and merged area in sq km, and the share saved by merging.
 
-    `located` are cases with their region (one row per region that holds the case).
+    `located` are cases with their region (one row per region that holds the case); `merged` are the zones' areas if they are known.
     """
-    tiers = tiers_of(located.select(region, "lon", "lat").distinct())
     radius = to_degrees(F.col("radius_meters"))
-    merged = union_area(tiers, [region])
+    if merged is None:
+        merged = union_area(tiers_of(located.select(region, "lon", "lat").distinct()), [region])
     counts = tiers_of(
         located.groupBy(region).agg(F.countDistinct("case_id").alias("case_count"), F.count(F.lit(1)).alias("_buffers"))
     )

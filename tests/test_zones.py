@@ -3,6 +3,7 @@
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +189,38 @@ def test_zone_geometry(spark):
         assert found[g]["a"] == pytest.approx(slab_area(p, R), rel=1e-6) and found[g]["w"].startswith("MULTIPOLYGON(((")
     again = zones.zone_parts(zones.rings(df.orderBy(F.desc("lat")), ["g"]), ["g"]).select("g", parts_wkt(F.col("parts")).alias("w"))
     assert {r["g"]: r["w"] for r in again.collect()} == {g: r["w"] for g, r in found.items()}
+
+
+def test_a_hundred_thousand_holes(spark):
+    """A square with a lattice of holes, each touching none, and islands with a hole of their own in some of them: every hole finds its
+    ring, in a number of rounds that does not grow with the holes and without pairing them with rings."""
+    r = 1000 / 111000.0
+    n, step = 316, 0.5 * r
+    unit = 0.1 * r
+    width = (n + 1) * step
+
+    def square(x, y, size, hole):
+        corners = [(x, y), (x + size, y), (x + size, y + size), (x, y + size)]
+        corners = corners[::-1] if hole else corners
+        return list(zip(corners, corners[1:] + corners[:1]))
+
+    pieces = []
+    cuts = int(width / (0.15 * r)) + 1
+    for (ax, ay), (bx, by) in square(100.0, 13.0, width, False):
+        pieces += [(0, ax + (bx - ax) * k / cuts, ay + (by - ay) * k / cuts, ax + (bx - ax) * (k + 1) / cuts, ay + (by - ay) * (k + 1) / cuts) for k in range(cuts)]
+    ring = 0
+    wanted = {}
+    for i in range(n):
+        for j in range(n):
+            ring += 1
+            x, y = 100.0 + (i + 0.6) * step, 13.0 + (j + 0.6) * step
+            wanted[ring] = 0
+            pieces += [(ring, *a, *b) for a, b in square(x, y, 2 * unit, True)]
+            if (i * n + j) % 97 == 0:  # an island and its hole
+                pieces += [(ring + 1_000_000, *a, *b) for a, b in square(x + 0.5 * unit, y + 0.5 * unit, unit, False)]
+                pieces += [(ring + 2_000_000, *a, *b) for a, b in square(x + 0.7 * unit, y + 0.7 * unit, 0.4 * unit, True)]
+                wanted[ring + 2_000_000] = ring + 1_000_000
+    frame = pd.DataFrame(pieces, columns=["ring", "x", "y", "to_x", "to_y"]).assign(g="z", radius_meters=1000, seq=0)
+    vertices = spark.createDataFrame(frame)
+    owners = zones.hole_owners(vertices, ["g"])
+    assert {r["hole"]: r["outer"] for r in owners.collect()} == wanted and len(wanted) > 100_000
