@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from epigrid.constants import RADIUS_STYLES, TIER_STYLES, UNKNOWN_STYLE
 from epigrid.functions.colours import ramp_colour
 from epigrid.functions.rings import number_text, ring_centroid
-from epigrid.sources.ingest import parts_from_wkt
+from epigrid.sources.ingest import parts_from_wkt, with_box
 
 
 def point_features(df: DataFrame, lon: str = "lon", lat: str = "lat", popup_cols: list[str] | None = None) -> DataFrame:
@@ -19,17 +19,18 @@ def point_features(df: DataFrame, lon: str = "lon", lat: str = "lat", popup_cols
     ).filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
 
 
-def polygon_features(df: DataFrame, wkt: str = "wkt", shown: int = 5) -> DataFrame:
-    """Polygons and multipolygons from text: their `parts` and a tooltip of the first columns.
-
-    Rows without a text are left out; a text that is no polygon stops the query, naming the text.
-    """
+def polygon_layer(df: DataFrame, wkt: str = "wkt", shown: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Polygons and multipolygons from text: their `parts` and a tooltip of the first columns; and the rows that make no feature,
+    those without a text or with one that is no polygon, as they came."""
     names = [c for c in df.columns if c != wkt]
-    parsed = df.filter(F.col(wkt).isNotNull()).withColumns(
-        {"parts": parts_from_wkt(F.col(wkt)), "tooltip": fields_text(names[:shown])}
-    )
-    refused = F.raise_error(F.concat(F.lit("not a polygon: "), F.substring(wkt, 1, 200)))
-    return parsed.withColumn("parts", F.coalesce("parts", refused)).drop(wkt)
+    parsed = df.withColumns({"parts": parts_from_wkt(F.col(wkt)), "tooltip": fields_text(names[:shown])})
+    good = F.col("parts").isNotNull()
+    return parsed.filter(good).drop(wkt), parsed.filter(~good).drop("parts", "tooltip")
+
+
+def polygon_features(df: DataFrame, wkt: str = "wkt", shown: int = 5) -> DataFrame:
+    """The features of `polygon_layer`; rows that make none are skipped."""
+    return polygon_layer(df, wkt, shown)[0]
 
 
 def zone_features(df: DataFrame, unknown: tuple[str, float] = UNKNOWN_STYLE, shown: int = 6) -> DataFrame:
@@ -81,6 +82,14 @@ def ring_extent(df: DataFrame) -> DataFrame:
     return extent(centred, F.col("c.x"), F.col("c.y"))
 
 
+def parts_extent(df: DataFrame) -> DataFrame:
+    """Extent of all corners of the `parts` column; each row gives its own box first."""
+    boxed = with_box(df.select("parts"))
+    return boxed.agg(
+        F.min("y0").alias("min_lat"), F.min("x0").alias("min_lon"), F.max("y1").alias("max_lat"), F.max("x1").alias("max_lon")
+    )
+
+
 def geojson(df: DataFrame, geometry: Column, properties: list[str]) -> DataFrame:
     """One GeoJSON feature per row, in the column `value`."""
     feature = F.struct(

@@ -7,20 +7,23 @@ from epigrid.functions.geo import round_half_up, to_degrees
 from epigrid.functions.rings import parts_wkt
 from epigrid.operators import heatmap, regions, zones
 from epigrid.session import cut_lineage
-from epigrid.sources.tables import write_table
+from epigrid.sources.tables import replace_partitions, write_table
 
 
 def build_tables(cases: DataFrame, boundaries: DataFrame) -> dict[str, DataFrame]:
     """Write the risk zones, the monthly cell report and their overlay as tables of the current namespace.
 
-    The risk zones carry their merged geometry as text. Every write replaces its table, so a second run gives the same tables.
-    The cases are assigned to their regions once.
+    The risk zones carry their merged geometry as text. Every write puts a whole new table in the place of the old one, so a second run
+    gives the same tables and a failed one leaves the old ones. The cases are assigned to their regions once.
     """
     located = cut_lineage(regions.assign_region(cases, boundaries).drop("ring", "parts"), "located")
     places = zones.tiers_of(located.select("region_name", "lon", "lat").distinct())
-    shapes = zones.zone_parts(zones.rings(places, ["region_name"]), ["region_name"])
+    # one dissolve for geometry and areas
+    outline = cut_lineage(zones.rings(places, ["region_name"]), "rings")
+    shapes = zones.zone_parts(outline, ["region_name"])
     texts = shapes.select("region_name", "radius_meters", parts_wkt(F.col("parts")).alias("wkt"))
-    measured = zones.risk_zones(located).join(texts, ["region_name", "radius_meters"], "left")
+    areas = zones.ring_areas(outline, ["region_name"])
+    measured = zones.risk_zones(located, merged=areas).join(texts, ["region_name", "radius_meters"], "left")
     risk = write_table(measured, "risk_zones")
     report = write_table(heatmap.cell_report(cases), "cell_report", partition_by="report_month")
     touched = heatmap.touched_cells(located, to_degrees(F.lit(500.0)), ["region_name"])
@@ -29,6 +32,14 @@ def build_tables(cases: DataFrame, boundaries: DataFrame) -> dict[str, DataFrame
     return {"risk_zones": risk, "cell_report": report, "cells_in_red_zones": write_table(overlay, "cells_in_red_zones")}
 
 
+def refresh_months(cases: DataFrame, first: str, last: str) -> DataFrame:
+    """Report the months from the one that holds `first` to the one that holds `last` anew; all other months of the stored cell report
+    keep their files. A case's month prunes what is read of the cases."""
+    begin, end = (F.trunc(F.lit(day).cast("date"), "MM") for day in (first, last))
+    wanted = (F.col("infection_date") >= begin) & (F.col("infection_date") < F.add_months(end, 1))
+    return replace_partitions(heatmap.cell_report(cases.filter(wanted)), "cell_report", "report_month")
+
+
 def red_zone_overlay(report: DataFrame, touched: DataFrame, red: DataFrame) -> DataFrame:
     """Report rows of the cells that a zone meets, with the zone's area and the cases per 100 sq km of it."""
     density = F.lit(100.0) * F.col("case_count") / F.nullif(F.col("area_sq_km"), F.lit(0.0))

@@ -1,5 +1,8 @@
 """Namespaces, declared tables and table writers."""
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -34,9 +37,75 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Replace a table with the result of a query; running it again gives the same table."""
-    writer = df.write.mode("overwrite").format("parquet")
+    """Replace a table with the result of a query; running it again gives the same table.
+
+    The result is written beside the table and takes its place only when it is whole: a write that fails leaves the table as it
+    was. The query may read the table that it replaces.
+    """
+    spark = df.sparkSession
+    staged, old = (f"{name}__{state}_{uuid.uuid4().hex[:8]}" for state in ("staged", "old"))
+    writer = df.write.format("parquet")
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    try:
+        writer.saveAsTable(staged)
+        replaced = spark.catalog.tableExists(name)
+        if replaced:
+            _rename(spark, name, old)
+        try:
+            _rename(spark, staged, name)
+        except BaseException:
+            if replaced:
+                _rename(spark, old, name)
+            raise
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    if replaced:
+        spark.sql(f"DROP TABLE {old}")
+    return spark.table(name)
+
+
+def _rename(spark: SparkSession, name: str, new: str) -> None:
+    """Rename a table with its files. A catalog that moves the folder but not what it knows of the partitions is told where they are; a
+    partition costs one entry in the catalog."""
+    spark.sql(f"ALTER TABLE {name} RENAME TO {new}")
+    columns = [c.name for c in spark.catalog.listColumns(new) if c.isPartition]
+    if not columns:
+        return
+    location = spark.sql(f"DESCRIBE FORMATTED {new}").filter("col_name = 'Location'").first()["data_type"]
+    for row in spark.sql(f"SHOW PARTITIONS {new}").collect():
+        values = [part.split("=", 1)[1] for part in row["partition"].split("/")]
+        spec = ", ".join(f"`{c}` = {_literal(unquote(v))}" for c, v in zip(columns, values))
+        spark.sql(f"ALTER TABLE {new} PARTITION ({spec}) SET LOCATION {_literal(location + '/' + row['partition'])}")
+    spark.catalog.refreshTable(new)
+
+
+def _literal(text: str) -> str:
+    if text == "__HIVE_DEFAULT_PARTITION__":
+        return "NULL"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def replace_partitions(df: DataFrame, name: str, partition_by: str) -> DataFrame:
+    """Replace only those partitions of a table that the rows of `df` belong to; the files of all others stay as they are.
+
+    Without such a table it is written whole. Partitions of which `df` has no row are not touched, so an emptied one has to be
+    dropped by name.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        return write_table(df, name, partition_by)
+    columns = spark.table(name).columns
+    if sorted(columns) != sorted(df.columns):
+        raise ValueError(f"{name} has the columns {columns}, the rows have {df.columns}")
+    rows = df.select(*columns).repartition(partition_by)
+    # the writer's own option does not reach an insert into a catalog table
+    mode, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)

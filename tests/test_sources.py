@@ -13,7 +13,7 @@ from conftest import rows
 from epigrid.functions import geohash, rings
 from epigrid.functions.colours import ramp_colour
 from epigrid.operators import features, heatmap, regions, zones
-from epigrid.plans.batch import build_tables
+from epigrid.plans.batch import build_tables, refresh_months
 from epigrid.sources import ingest, schemas, tables
 
 
@@ -136,8 +136,8 @@ def test_polygons_of_several_rings(spark):
     features_of = features.geojson(features.polygon_features(df.filter("region_name < 2")), features.parts_geometry(), ["region_name"])
     shapes = [json.loads(r["value"])["geometry"] for r in features_of.collect()]
     assert [len(g["coordinates"]) for g in shapes] == [1, 2] and [len(g["coordinates"][0]) for g in shapes] == [2, 2]
-    with pytest.raises(Exception, match="not a polygon"):
-        features.polygon_features(df).collect()
+    # texts that are no polygon make no feature; `polygon_layer` hands them back
+    assert features.polygon_features(df).count() == 2
 
 
 def test_a_fault_is_no_missing_source(spark, tmp_path):
@@ -224,3 +224,47 @@ def test_empty_inputs(spark, small):
     located = regions.assign_region(none, small["regions"])
     assert zones.risk_zones(located).count() == 0
     assert heatmap.cell_report(none).count() == 0
+
+
+def test_a_failed_write_leaves_the_table(spark):
+    tables.use_namespace(spark, "writes_test")
+    try:
+        tables.write_table(spark.range(5), "kept")
+        broken = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("killed")).cast("long")).alias("id"))
+        with pytest.raises(Exception, match="killed"):
+            tables.write_table(broken, "kept")
+        assert rows(spark.table("kept"), "id") == [(i,) for i in range(5)]
+        # the query may read what it replaces, and nothing is left behind
+        assert tables.write_table(spark.table("kept").filter("id > 2"), "kept").count() == 2
+        assert [t.name for t in spark.catalog.listTables()] == ["kept"]
+    finally:
+        spark.sql("DROP DATABASE writes_test CASCADE")
+        spark.catalog.setCurrentDatabase("default")
+
+
+def test_one_month_is_replaced_alone(spark, small):
+    tables.use_namespace(spark, "months_test")
+    try:
+        tables.write_table(heatmap.cell_report(small["cases"]), "cell_report", partition_by="report_month")
+        files = lambda: {r[0]: r[1] for r in spark.table("cell_report").select("report_month", F.input_file_name()).distinct().collect()}
+        before, months = files(), sorted(r[0] for r in spark.table("cell_report").select("report_month").distinct().collect())
+        later = small["cases"].unionAll(small["cases"].filter(F.trunc("infection_date", "MM") == months[1]))
+        refresh_months(later, str(months[1]), str(months[1]))
+        after = files()
+        assert {m for m in months if after[m] != before[m]} == {months[1]}
+        wanted = heatmap.cell_report(later)
+        assert rows(spark.table("cell_report"), *sorted(wanted.columns)) == rows(wanted, *sorted(wanted.columns))
+        with pytest.raises(ValueError):
+            tables.replace_partitions(wanted.drop("wkt"), "cell_report", "report_month")
+    finally:
+        spark.sql("DROP DATABASE months_test CASCADE")
+        spark.catalog.setCurrentDatabase("default")
+
+
+def test_bad_polygon_texts_are_skipped(spark):
+    data = [(1, "POLYGON((0 0, 1 0, 1 1, 0 0))"), (2, "POLYGON((0 0, 1 0"), (3, None), (4, ""), (5, "MULTIPOLYGON(((0 0, 1 0, 1 1, 0 0)), ((5 5, 6 5, 6 6, 5 5)))")]
+    df = spark.createDataFrame(data, "id int, wkt string")
+    layer, rejects = features.polygon_layer(df)
+    assert rows(layer, "id", "tooltip") == [(1, "id: 1"), (5, "id: 5")] and sorted(map(tuple, rejects.collect())) == [(2, "POLYGON((0 0, 1 0"), (3, None), (4, "")]
+    assert rows(features.polygon_features(df), "id") == [(1,), (5,)]
+    assert tuple(features.parts_extent(layer).first()) == (0.0, 0.0, 6.0, 6.0)
