@@ -15,7 +15,7 @@ RISK_TIERS = (("RED", 500), ("ORANGE", 1000), ("YELLOW", 2000))
 
 # Tier styles (colour, fill opacity), the style of an unknown tier and the heat ramp.
 TIER_STYLES = {"RED": ("#e74c3c", 0.45), "ORANGE": ("#e67e22", 0.30), "YELLOW": ("#f1c40f", 0.18)}
-RADIUS_STYLES = {500: ("#e74c3c", 0.45), 1000: ("#e67e22", 0.30), 2000: ("#f1c40f", 0.18)}
+RADIUS_STYLES = {radius: TIER_STYLES[tier] for tier, radius in RISK_TIERS}
 UNKNOWN_STYLE = ("#999999", 0.3)
 HEAT_RAMP = ((0.0, "#ffffb2"), (0.25, "#fecc5c"), (0.50, "#fd8d3c"), (0.75, "#f03b20"), (1.0, "#bd0026"))
 

@@ -43,8 +43,11 @@ def with_key(cases: DataFrame, precision: int, keep: bool = False) -> DataFrame:
     ix, iy = cell_index(F.col("lon"), F.col("lat"), precision)
     # Two projections: the indexes are computed once and then read bit by bit.
     indexed = located.withColumns({"_ix": ix, "_iy": iy})
-    known = F.col("lon").isNotNull() & F.col("lat").isNotNull()
-    return indexed.withColumn("_cell", F.when(known, index_key(F.col("_ix"), F.col("_iy"), precision))).drop("_ix", "_iy")
+    key = index_key(F.col("_ix"), F.col("_iy"), precision)
+    if keep:
+        # Only here: a key that may be NULL would make a join on it test its whole expression below both projections.
+        key = F.when(F.col("lon").isNotNull() & F.col("lat").isNotNull(), key)
+    return indexed.withColumn("_cell", key).drop("_ix", "_iy")
 
 
 def cell_rings(df: DataFrame, precision: int) -> DataFrame:

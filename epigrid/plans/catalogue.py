@@ -8,18 +8,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epigrid.functions.geo import dist_deg, round_half_up, to_degrees, to_metres
 from epigrid.functions.geohash import cell_text
+from epigrid.functions.hexgrid import hex_ring, hex_text
+from epigrid.functions.projection import LON_LAT, UTM_NORTH, from_utm, reproject_parts, to_utm
 from epigrid.functions.rings import (
     number_text, parts_area, parts_centroid, parts_wkt, point_wkt, ring_area, ring_wkt,
 )
-from epigrid.operators import features, heatmap, proximity, regions, scoring, zones
+from epigrid.operators import features, heatmap, hexmap, proximity, regions, scoring, zones
 from epigrid.plans import batch
-from epigrid.session import tune
+from epigrid.session import cut_lineage, tune
 from epigrid.sources import binding, ingest, tables
 
 # The reference points of the distance and nearest-to-point questions.
 CITY_POINT = (100.4856, 13.7590)
-ONE_CASE, ONE_REGION = 42, "FRANCE"
+ONE_CASE, ONE_REGION = 42, "NATION_17"
 CLUSTER_POINTS = ((100.554, 13.723), (100.55, 13.72))
+# The UTM zone of the country's capital; a plane of metres for distances and areas across zones.
+HOME_ZONE = 47
 
 
 @dataclass
@@ -45,6 +49,15 @@ class Inputs:
     def regions(self) -> DataFrame:
         return binding.regions(self.spark, self.folder)
 
+    @cached_property
+    def areas(self) -> DataFrame:
+        return binding.areas(self.spark, self.folder)
+
+    @cached_property
+    def in_areas(self) -> DataFrame:
+        """Cases with every row of the areas that holds them."""
+        return regions.assign_region(self.cases, self.areas).drop("parts")
+
     @cached_property
     def located(self) -> DataFrame:
         """Cases with every region that holds them."""
@@ -226,8 +239,10 @@ def report_readback(t: Inputs) -> DataFrame:
 
 
 def cells_in_red_zones(t: Inputs) -> DataFrame:
-    touched = heatmap.touched_cells(t.located, to_degrees(F.lit(500.0)), ["region_name"])
-    return batch.red_zone_overlay(heatmap.monthly_cells(t.cases, polygons=False), touched, batch.red_zones(t.located))
+    # read twice below
+    located = cut_lineage(t.located.select("region_name", "lon", "lat").distinct(), "located")
+    touched = heatmap.touched_cells(located, to_degrees(F.lit(500.0)), ["region_name"])
+    return batch.red_zone_overlay(heatmap.monthly_cells(t.cases, polygons=False), touched, batch.red_zones(located))
 
 
 def region_resolutions(t: Inputs) -> DataFrame:
@@ -412,6 +427,109 @@ def region_assignment(t: Inputs) -> DataFrame:
     return t.located.select("case_id", "region_name")
 
 
+def area_assignment(t: Inputs) -> DataFrame:
+    return t.in_areas.select("case_id", "region_name")
+
+
+def area_resolutions(t: Inputs) -> DataFrame:
+    return heatmap.compare_resolutions(t.in_areas, by=("region_name",))
+
+
+def area_heatmap(t: Inputs) -> DataFrame:
+    cells = heatmap.cell_heatmap(t.in_areas, polygons=True, by=("region_name",))
+    return cells.select("region_name", "cell_id", "case_count", F.col("cell_polygon_wkt").alias("wkt"))
+
+
+def utm_cases(t: Inputs) -> DataFrame:
+    """Every case in metres of its own zone, to the centimetre."""
+    metres = [round_half_up(F.col(c), 2).alias(c) for c in ("easting", "northing")]
+    return to_utm(t.cases).select("case_id", "utm_zone", "utm_north", *metres)
+
+
+def utm_round_trip(t: Inputs) -> DataFrame:
+    """Per zone: its cases, and how many come back from metres to less than a millimetre."""
+    back = from_utm(to_utm(t.cases), "lon2", "lat2")
+    off = F.greatest(F.abs(F.col("lon2") - F.col("lon")), F.abs(F.col("lat2") - F.col("lat"))) * F.lit(111_320.0)
+    return back.groupBy("utm_zone").agg(F.count(F.lit(1)).alias("cases"), scoring.count_if(off < 0.001).alias("within_1_mm"))
+
+
+def utm_distance_to_city(t: Inputs) -> DataFrame:
+    """Distance of every school to the city in metres of one zone, beside the planar estimate."""
+    city = t.schools.limit(1).select(F.lit(CITY_POINT[0]).alias("lon"), F.lit(CITY_POINT[1]).alias("lat"))
+    city = to_utm(city, zone=HOME_ZONE).select(F.col("easting").alias("_e"), F.col("northing").alias("_n"))
+    # one row against every school
+    east, north = (F.col(c) - city.select(f).scalar() for c, f in (("easting", "_e"), ("northing", "_n")))
+    estimate = to_metres(dist_deg("lon", "lat", *CITY_POINT))
+    return to_utm(t.schools, zone=HOME_ZONE).select(
+        "id", round_half_up(F.sqrt(east * east + north * north), 2).alias("utm_meters"), round_half_up(estimate).alias("approx_meters")
+    )
+
+
+def utm_area_sizes(t: Inputs) -> DataFrame:
+    """Area of every area's geometry in square kilometres of one zone, holes left out."""
+    parts = reproject_parts(F.col("parts"), LON_LAT, UTM_NORTH + HOME_ZONE)
+    return t.areas.select("region_name", round_half_up(parts_area(parts) / 1e6, 3).alias("area_sq_km"))
+
+
+def hex_heatmap(t: Inputs) -> DataFrame:
+    cells = hexmap.hex_heatmap(t.cases)
+    return cells.select("hex_id", "case_count", "severe_count", ring_wkt(F.col("ring")).alias("wkt"))
+
+
+def hex_rollup(t: Inputs) -> DataFrame:
+    rolled = hexmap.hex_rollup(hexmap.hex_counts(t.cases), factor=3)
+    ring = hex_ring(F.col("_hex"), 3 * hexmap.HEX_SIZE)
+    return rolled.select(hex_text(F.col("_hex")).alias("hex_id"), "cells", "case_count", "severe_count", ring_wkt(ring).alias("wkt"))
+
+
+def hex_neighbourhood(t: Inputs) -> DataFrame:
+    around = hexmap.hex_neighbourhood(hexmap.hex_counts(t.cases), reach=2)
+    return around.select(hex_text(F.col("_hex")).alias("hex_id"), "case_count", "nearby_count")
+
+
+def hex_regions(t: Inputs) -> DataFrame:
+    """Hexagons of every region, with a cell's share of the region's cases in per mille."""
+    cells = hexmap.hex_counts(t.located, by=("region_name",))
+    whole = cells.groupBy("region_name").agg(F.sum("case_count").alias("_all"))
+    share = round_half_up(F.lit(1000.0) * F.col("case_count") / F.col("_all"), 3)
+    return cells.join(whole, "region_name").select("region_name", hex_text(F.col("_hex")).alias("hex_id"), "case_count", share.alias("per_mille"))
+
+
+def _red_zone_layer(t: Inputs) -> DataFrame:
+    """The merged RED zones as map features: geometry `parts`, cases, style."""
+    located = cut_lineage(t.located.select("region_name", "case_id", "lon", "lat"), "located")
+    red = zones.tiers_of(located.select("region_name", "lon", "lat").distinct(), zones.RISK_TIERS[:1])
+    shapes = zones.zone_parts(zones.rings(red, ["region_name"]), ["region_name"])
+    counts = located.groupBy("region_name").agg(F.countDistinct("case_id").alias("case_count"))
+    named = shapes.join(counts, "region_name").withColumn("risk_tier", F.lit("RED"))
+    return features.zone_features(named.select("region_name", "risk_tier", "radius_meters", "case_count", "parts"))
+
+
+def zone_layer(t: Inputs) -> DataFrame:
+    """The zone layer with geometry: its style, the vertices of all rings and the area less its holes."""
+    corners = F.aggregate(F.flatten("parts"), F.lit(0).cast("bigint"), lambda n, r: n + F.size(r) - 1)
+    return _red_zone_layer(t).select(
+        "region_name", "colour", "opacity", "draw_order", "tooltip", corners.alias("vertices"),
+        round_half_up(parts_area(F.col("parts")) * F.lit(zones.SQKM_PER_SQDEG), 3).alias("area_sq_km"),
+    )
+
+
+def zone_extent(t: Inputs) -> DataFrame:
+    """The smallest box around the zone layer."""
+    box = features.parts_extent(_red_zone_layer(t))
+    return box.select(*[round_half_up(F.col(c), 5).alias(c) for c in box.columns])
+
+
+def polygon_layer(t: Inputs) -> DataFrame:
+    """Polygon features from texts good and bad: accepted ones with parts and tooltip, the others as rejects."""
+    key = F.col("region_code").cast("int")
+    text = F.when(key % 3 == 0, F.lit("POLYGON((1 2, oops))")).when(key % 3 == 1, ring_wkt(F.col("ring")))
+    layer, rejects = features.polygon_layer(t.regions.select("region_code", "region_name", text.alias("wkt")))
+    shown = layer.select("region_code", F.lit(True).alias("accepted"), "tooltip", F.size("parts").alias("parts"))
+    refused = rejects.select("region_code", F.lit(False).alias("accepted"), F.lit(0).alias("parts"))
+    return shown.unionByName(refused, allowMissingColumns=True)
+
+
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "q01_row_counts": row_counts,
     "q02_cases_near_schools": cases_near_schools,
@@ -471,6 +589,20 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "wkt_rejects": wkt_rejects,
     "repeated_names": repeated_names,
     "region_assignment": region_assignment,
+    "area_assignment": area_assignment,
+    "q25_area_resolutions": area_resolutions,
+    "q26_area_heatmap": area_heatmap,
+    "utm_cases": utm_cases,
+    "utm_round_trip": utm_round_trip,
+    "utm_distance_to_city": utm_distance_to_city,
+    "utm_area_sizes": utm_area_sizes,
+    "hex_heatmap": hex_heatmap,
+    "hex_rollup": hex_rollup,
+    "hex_neighbourhood": hex_neighbourhood,
+    "hex_regions": hex_regions,
+    "q34_zone_layer": zone_layer,
+    "q34_zone_extent": zone_extent,
+    "q34_polygon_layer": polygon_layer,
 }
 
 

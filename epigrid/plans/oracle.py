@@ -2,7 +2,11 @@
 
 from epigrid.constants import APOTHEM, HALF_SIDE, HEAT_RAMP, NORMALS, SIDES, UNIT_AREA, VERTICES
 from epigrid.functions.geohash import ALPHABET
-from epigrid.plans.catalogue import CITY_POINT, CLUSTER_POINTS, ONE_CASE, ONE_REGION
+from epigrid.functions.projection import (
+    ALPHA, ECCENTRICITY, FALSE_EASTING, FALSE_NORTHING, RECTIFYING, SCALE,
+)
+from epigrid.plans.catalogue import CITY_POINT, CLUSTER_POINTS, HOME_ZONE, ONE_CASE, ONE_REGION
+from epigrid.sources.binding import AREA_SECOND, AREA_SHAPE, AREA_SHAPES, AREA_TWICE
 
 
 def _place(axis: str, cluster: str, jitter: str) -> str:
@@ -299,6 +303,90 @@ _MIXED = f"""SELECT region_code, m < 3 AS accepted,
 FROM (SELECT region_code, CAST(x0 AS INTEGER) AS x, CAST(y0 AS INTEGER) AS y, CAST(region_code AS INTEGER) % 4 AS m FROM regions)"""
 
 
+def _areas_sql() -> list[str]:
+    """The areas as numbered rows and their edges, and the cases in them by casting a ray over all edges; a case on an edge is in."""
+    edges = ", ".join(
+        f"({n}, {p}, {r}, {_d(ax)}, {_d(ay)}, {_d(bx)}, {_d(by)})"
+        for n, shape in enumerate(AREA_SHAPES)
+        for p, part in enumerate(shape)
+        for r, ring in enumerate(part)
+        for (ax, ay), (bx, by) in zip(ring, (*ring[1:], ring[0]))
+    )
+    key = "n_nationkey"
+    return [
+        f"offsets(shape, part, ring, ax, ay, ex, ey) AS (VALUES {edges})",
+        f"""listed AS (
+  SELECT n_nationkey, {AREA_SHAPE.format(key=key)} AS shape FROM nation
+  UNION ALL SELECT n_nationkey, 2 FROM nation WHERE {AREA_SECOND.format(key=key)}
+  UNION ALL SELECT n_nationkey, {AREA_SHAPE.format(key=key)} FROM nation WHERE {AREA_TWICE.format(key=key)})""",
+        """area_rows AS (
+  SELECT row_number() OVER () AS row, shape, 'AREA_' || (n_nationkey % 20) AS region_name,
+    CAST(98 + n_nationkey % 5 AS DOUBLE) AS x, CAST(13 + n_nationkey // 5 AS DOUBLE) AS y FROM listed)""",
+        """area_edges AS (
+  SELECT row, region_name, part, ring, x + ax AS ax, y + ay AS ay, x + ex AS ex, y + ey AS ey FROM area_rows JOIN offsets USING (shape))""",
+        """tested AS (
+  SELECT c.case_id, e.row, e.region_name,
+    bool_or((ex - ax) * (lat - ay) - (ey - ay) * (lon - ax) = 0 AND lon BETWEEN least(ax, ex) AND greatest(ax, ex)
+      AND lat BETWEEN least(ay, ey) AND greatest(ay, ey)) AS touches,
+    count(*) FILTER (WHERE (ay > lat) <> (ey > lat) AND lon < ax + (lat - ay) * (ex - ax) / nullif(ey - ay, 0)) AS crossings
+  FROM cases c, area_edges e GROUP BY ALL)""",
+        """in_areas AS (
+  SELECT c.*, t.region_name FROM cases c JOIN tested t ON c.case_id = t.case_id WHERE t.touches OR t.crossings % 2 = 1)""",
+    ]
+
+
+def _utm_sql(source: str, name: str, zone: str | None = None) -> list[str]:
+    """UTM metres of `lon` and `lat`: the conformal latitude by its tangent, the series as written."""
+    own = "CAST(least(60, floor((lon + 180) / 6) + 1) AS INTEGER)" if zone is None else zone
+    e, k = _d(ECCENTRICITY), _d(SCALE * RECTIFYING)
+    along = " + ".join(f"{_d(a)} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(ALPHA, 1))
+    up = " + ".join(f"{_d(a)} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(ALPHA, 1))
+    south = f"CASE WHEN lat < 0 THEN {_d(FALSE_NORTHING)} ELSE 0 END" if zone is None else "0"
+    return [
+        f"""{name}_zoned AS (
+  SELECT *, tan(radians(lat)) AS tau, {own} AS utm_zone FROM {source})""",
+        f"""{name}_turned AS (
+  SELECT *, radians(lon - (utm_zone * 6 - 183)) AS turn, sinh({e} * atanh({e} * tau / sqrt(1 + tau * tau))) AS sigma FROM {name}_zoned)""",
+        f"""{name}_conformal AS (
+  SELECT *, tau * sqrt(1 + sigma * sigma) - sigma * sqrt(1 + tau * tau) AS t FROM {name}_turned)""",
+        f"""{name}_sphere AS (
+  SELECT *, atan2(t, cos(turn)) AS xi, asinh(sin(turn) / sqrt(t * t + cos(turn) * cos(turn))) AS eta FROM {name}_conformal)""",
+        f"""{name} AS (
+  SELECT *, lat >= 0 AS utm_north, {_d(FALSE_EASTING)} + {k} * (eta + {along}) AS easting,
+    {south} + {k} * (xi + {up}) AS northing FROM {name}_sphere)""",
+    ]
+
+
+_ROOT3 = "sqrt(CAST(3 AS DOUBLE))"
+
+
+def _hexed(source: str, name: str, size: float = 0.01) -> list[str]:
+    """Rows with the axial coordinates of their hexagon: that of the centres around whose is nearest."""
+    s = _d(size)
+    return [
+        f"""{name}_near AS (
+  SELECT p.*, q + i AS q, r + j AS r FROM (
+    SELECT *, CAST(floor((lon * {_ROOT3} / 3 - lat / 3) / {s}) AS BIGINT) AS q, CAST(floor(lat * 2 / 3 / {s}) AS BIGINT) AS r FROM {source}) p,
+    range(-1, 3) a(i), range(-1, 3) b(j))""".replace("SELECT p.*, q + i AS q, r + j AS r", "SELECT p.* EXCLUDE (q, r), q + i AS q, r + j AS r"),
+        f"""{name} AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY
+    pow(lon - {_ROOT3} * {s} * (q + r / 2), 2) + pow(lat - 1.5 * {s} * r, 2)) AS turn FROM {name}_near) WHERE turn = 1)""",
+    ]
+
+
+def _hex_id(q: str = "q", r: str = "r") -> str:
+    return f"printf('%08x%08x', {q} + 2147483648, {r} + 2147483648)"
+
+
+def _hex_wkt(size: float, q: str = "any_value(q)", r: str = "any_value(r)") -> str:
+    corners = ((1, -1), (1, 1), (0, 2), (-1, 1), (-1, -1), (0, -2), (1, -1))
+    points = " || ', ' || ".join(
+        _text(f"CAST(2 * {q} + {r} + {a} AS DOUBLE) * ({_ROOT3} / 2 * {_d(size)})") + " || ' ' || " + _text(f"CAST(3 * {r} + {u} AS DOUBLE) * ({_d(size)} / 2)")
+        for a, u in corners
+    )
+    return f"'POLYGON((' || {points} || '))'"
+
+
 def oracle_sql() -> dict[str, str]:
     month = "CAST(date_trunc('month', infection_date) AS DATE)"
     age = _round("avg(patient_age)", 1)
@@ -583,4 +671,93 @@ FROM hashed WHERE region_name = '{ONE_REGION}' GROUP BY {h6}""",
             "SELECT district, count(*) AS row_count FROM schools GROUP BY district HAVING count(*) > 1"
         ),
         "region_assignment": _with("SELECT case_id, region_name FROM located"),
+        "area_assignment": _with("SELECT case_id, region_name FROM in_areas", *_areas_sql()),
+        "q25_area_resolutions": _with(
+            " UNION ALL ".join(
+                f"""SELECT region_name, {p} AS grid_precision, count(DISTINCT substr(h7, 1, {p})) AS cell_count,
+  count(*) AS total_cases, {_round(f"count(*)::DOUBLE / count(DISTINCT substr(h7, 1, {p}))", 1)} AS avg_per_cell
+FROM hashed GROUP BY region_name"""
+                for p in (5, 6, 7)
+            ),
+            *_areas_sql(),
+            _hash("in_areas"),
+        ),
+        "q26_area_heatmap": _with(
+            f"""SELECT region_name, {h6} AS cell_id, count(*) AS case_count, {_rect_wkt(6)} AS wkt
+FROM hashed GROUP BY region_name, {h6}""",
+            *_areas_sql(),
+            _hash("in_areas"),
+        ),
+        "utm_cases": _with(
+            f"SELECT case_id, utm_zone, utm_north, {_round('easting', 2)} AS easting, {_round('northing', 2)} AS northing FROM metres",
+            *_utm_sql("cases", "metres"),
+        ),
+        "utm_round_trip": _with(
+            """SELECT CAST(least(60, floor((lon + 180) / 6) + 1) AS INTEGER) AS utm_zone, count(*) AS cases, count(*) AS within_1_mm
+FROM cases GROUP BY 1"""
+        ),
+        "utm_distance_to_city": _with(
+            f"""SELECT s.id, {_round("sqrt((s.easting - c.easting) ** 2 + (s.northing - c.northing) ** 2)", 2)} AS utm_meters,
+  {_round(f"{city.replace('lon', 's.lon').replace('lat', 's.lat')} * {_METRES}")} AS approx_meters FROM plane s, centre c""",
+            f"city AS (SELECT {_d(CITY_POINT[0])} AS lon, {_d(CITY_POINT[1])} AS lat)",
+            *_utm_sql("schools", "plane", str(HOME_ZONE)),
+            *_utm_sql("city", "centre", str(HOME_ZONE)),
+        ),
+        "utm_area_sizes": _with(
+            f"""SELECT any_value(region_name) AS region_name, {_round("sum(CASE WHEN ring = 0 THEN size ELSE -size END) / 1e6::DOUBLE", 3)} AS area_sq_km
+FROM (
+  SELECT row, any_value(region_name) AS region_name, part, ring, abs(sum((a.easting - 5e5) * (b.northing - 15e5) - (b.easting - 5e5) * (a.northing - 15e5))) / 2 AS size
+  FROM plane_a a JOIN plane_b b USING (row, region_name, part, ring, k) GROUP BY row, part, ring) GROUP BY row""",
+            *_areas_sql(),
+            "ends AS (SELECT *, row_number() OVER () AS k FROM area_edges)",
+            "ends_a AS (SELECT row, region_name, part, ring, k, ax AS lon, ay AS lat FROM ends)",
+            "ends_b AS (SELECT row, region_name, part, ring, k, ex AS lon, ey AS lat FROM ends)",
+            *_utm_sql("ends_a", "plane_a", str(HOME_ZONE)),
+            *_utm_sql("ends_b", "plane_b", str(HOME_ZONE)),
+        ),
+        "hex_heatmap": _with(
+            f"SELECT {_hex_id()} AS hex_id, count(*) AS case_count, {_count(_SEVERE)} AS severe_count, {_hex_wkt(0.01)} AS wkt FROM hexed GROUP BY q, r",
+            *_hexed("cases", "hexed"),
+        ),
+        "hex_rollup": _with(
+            f"""SELECT {_hex_id()} AS hex_id, count(*) AS cells, CAST(sum(n) AS BIGINT) AS case_count, CAST(sum(s) AS BIGINT) AS severe_count,
+  {_hex_wkt(0.03)} AS wkt FROM rolled GROUP BY q, r""",
+            *_hexed("cases", "hexed"),
+            f"fine AS (SELECT q, r, -q - r AS s3, count(*) AS n, {_count(_SEVERE)} AS s FROM hexed GROUP BY q, r)",
+            # the largest of the three remainders is dropped
+            """thirds AS (
+  SELECT *, CAST(floor((2 * q + 3) / 6) AS BIGINT) AS a, CAST(floor((2 * r + 3) / 6) AS BIGINT) AS b, CAST(floor((2 * s3 + 3) / 6) AS BIGINT) AS c FROM fine)""",
+            """rolled AS (
+  SELECT n, s, CASE WHEN abs(q - 3 * a) > greatest(abs(r - 3 * b), abs(s3 - 3 * c)) THEN -b - c ELSE a END AS q,
+    CASE WHEN abs(q - 3 * a) > greatest(abs(r - 3 * b), abs(s3 - 3 * c)) OR abs(r - 3 * b) < abs(s3 - 3 * c) THEN b ELSE -a - c END AS r FROM thirds)""",
+        ),
+        "hex_neighbourhood": _with(
+            f"""SELECT {_hex_id("a.q", "a.r")} AS hex_id, a.n AS case_count, CAST(sum(b.n) AS BIGINT) AS nearby_count
+FROM counted a JOIN counted b ON greatest(abs(a.q - b.q), abs(a.r - b.r), abs(a.q + a.r - b.q - b.r)) <= 2 GROUP BY a.q, a.r, a.n""",
+            *_hexed("cases", "hexed"),
+            "counted AS (SELECT q, r, count(*) AS n FROM hexed GROUP BY q, r)",
+        ),
+        "hex_regions": _with(
+            f"""SELECT region_name, {_hex_id()} AS hex_id, n AS case_count, {_round("1000::DOUBLE * n / sum(n) OVER (PARTITION BY region_name)", 3)} AS per_mille
+FROM (SELECT l.region_name, h.q, h.r, count(*) AS n FROM located l JOIN hexed h ON l.case_id = h.case_id GROUP BY ALL)""",
+            *_hexed("cases", "hexed"),
+        ),
+        "q34_zone_layer": _with(
+            f"""SELECT z.region_name, '#e74c3c' AS colour, CAST(0.45 AS DOUBLE) AS opacity, -500 AS draw_order,
+  'region_name: ' || z.region_name || '<br>risk_tier: RED<br>radius_meters: 500<br>case_count: ' || case_count AS tooltip,
+  p.vertices, {_round("area", 3)} AS area_sq_km
+FROM (SELECT region_name, count(*) AS vertices FROM pieces GROUP BY region_name) p JOIN zones z ON p.region_name = z.region_name""",
+            *_outline(red),
+            *_slab_areas(red),
+        ),
+        "q34_zone_extent": _with(
+            f"""SELECT {_round("min(y)", 5)} AS min_lat, {_round("min(x)", 5)} AS min_lon, {_round("max(y)", 5)} AS max_lat, {_round("max(x)", 5)} AS max_lon
+FROM (SELECT lon + r * ({_RHO} * nx - t0 * ny) AS x, lat + r * ({_RHO} * ny + t0 * nx) AS y FROM pieces)""",
+            *_outline(red),
+        ),
+        "q34_polygon_layer": _with(
+            """SELECT region_code, CAST(region_code AS INTEGER) % 3 = 1 AS accepted,
+  CASE WHEN CAST(region_code AS INTEGER) % 3 = 1 THEN 'region_code: ' || region_code || '<br>region_name: ' || region_name END AS tooltip,
+  CASE WHEN CAST(region_code AS INTEGER) % 3 = 1 THEN 1 ELSE 0 END AS parts FROM regions"""
+        ),
     }
