@@ -10,9 +10,7 @@ some segment has no error, or all have one or two and two of them exactly one.
   so one side looks up the pair of its own codewords and the other side offers up to 6 x 6 pairs.
 
 Candidates are verified on the fingerprints inside the join, and only under the first key that they must share, so each link
-leaves the join once. Equal fingerprints are one node before that, whatever their number; there is no cap on buckets. For the
-components no pairs inside a group of near copies are needed: every fingerprint is tied to the smallest one of its buckets first, and
-only fingerprints of different parts are compared after that.
+leaves the join once. Equal fingerprints are one node before that, whatever their number; there is no cap on buckets.
 
 Null and empty texts have fingerprint zero and are linked like any other. Null ids are kept and never become a component's id
 unless it has no other. Repeated rows belong to the same component. Only the named columns are read; an empty table gives no rows.
@@ -28,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from epigrid.llm.common import fresh, shards_for
+from epigrid.llm.common import fresh, giving_back, shards_for
 from epigrid.llm.components import connected_components
 from epigrid.session import cut_lineage
 
@@ -88,7 +86,7 @@ def fingerprints(docs: DataFrame, width: int = 4, id_column: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits)], names=[id_column, "bits"])
 
     picked = docs.select(F.col(id_column), F.col(text_column).cast("string"))
-    return picked.mapInArrow(run, f"`{id_column}` {dict(picked.dtypes)[id_column]}, bits long")
+    return picked.mapInArrow(giving_back(run), f"`{id_column}` {dict(picked.dtypes)[id_column]}, bits long")
 
 
 @lru_cache(maxsize=1)
@@ -139,23 +137,18 @@ def _offered_keys(bits: np.ndarray):
 
 
 def _keyed(nodes: DataFrame, make) -> DataFrame:
-    """(kind, key, bits, part): the keys of every fingerprint, with the part that it belongs to already."""
-
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bits, part = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            bits = batch.column(0).to_numpy().view(np.uint64)
             for kind, key, row in make(bits):
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(key), kind, np.int32)), pa.array(key.view(np.int64)), pa.array(bits[row].view(np.int64)),
-                        pa.array(part[row]),
-                    ],
-                    names=["kind", "key", "bits", "part"],
-                )
+                    [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.view(np.int64)), pa.array(bits[row].view(np.int64))],
+                    names=["kind", "key", "bits"],
+                )
 
-    return nodes.select("bits", "part").mapInArrow(run, "kind int, key long, bits long, part long")
+    return nodes.select("bits").mapInArrow(run, "kind int, key long, bits long")
 
 
 def _signed(mask: int) -> Column:
@@ -178,47 +171,13 @@ def _first_kind(x: Column) -> Column:
 
 def links(nodes: DataFrame) -> DataFrame:
     """(a, b) for all different fingerprints of `nodes.bits` with at most four differing bits, a < b, each once."""
-    own, offered = (_keyed(nodes.withColumn("part", F.col("bits")), make) for make in (_own_keys, _offered_keys))
-    return _pairs(own, offered).select("a", "b")
-
-
-def _pairs(own: DataFrame, offered: DataFrame) -> DataFrame:
-    """(a, b, part_a, part_b): linked fingerprints of different parts, each pair once."""
-    o, f = own.alias("o"), offered.alias("f")
+    own, offered = _keyed(nodes, _own_keys).alias("o"), _keyed(nodes, _offered_keys).alias("f")
     x = F.col("o.bits").bitwiseXOR(F.col("f.bits"))
     condition = (
-        (F.col("o.kind") == F.col("f.kind")) & (F.col("o.key") == F.col("f.key")) & (F.col("o.part") != F.col("f.part"))
-        & (F.col("o.bits") < F.col("f.bits")) & (F.bit_count(x) <= DISTANCE) & (F.col("o.kind") == _first_kind(x))
+        (F.col("o.kind") == F.col("f.kind")) & (F.col("o.key") == F.col("f.key")) & (F.col("o.bits") < F.col("f.bits"))
+        & (F.bit_count(x) <= DISTANCE) & (F.col("o.kind") == _first_kind(x))
     )
-    return o.join(f.hint("merge"), condition).select(
-        F.col("o.bits").alias("a"), F.col("f.bits").alias("b"), F.col("o.part").alias("part_a"), F.col("f.part").alias("part_b")
-    )
-
-
-def _stars(nodes: DataFrame) -> DataFrame:
-    """(a, b): every fingerprint with the smallest one of each of its buckets of equal keys, where they link."""
-    keyed = _keyed(nodes.withColumn("part", F.col("bits")), _equal_keys).select("kind", "key", "bits")
-    least = keyed.groupBy("kind", "key").agg(F.min("bits").alias("a"))
-    near = (F.col("a") != F.col("bits")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("bits"))) <= DISTANCE)
-    return keyed.join(least, ["kind", "key"]).where(near).select("a", F.col("bits").alias("b"))
-
-
-def parts(nodes: DataFrame) -> DataFrame:
-    """(bits, root) of all fingerprints: which component of the links each belongs to.
-
-    Stars come first: a group of near copies becomes one part with a link or two for each member. Then only pairs of different parts
-    are sought, in buckets that hold more than one part, so that a group with very many fingerprints is not paired with itself.
-    """
-    first = connected_components(_stars(nodes)).withColumnsRenamed({"node": "bits", "root": "part"})
-    joined = nodes.select("bits").join(first, "bits", "left").withColumn("part", F.coalesce("part", "bits"))
-    grouped = cut_lineage(joined, "fingerprint-parts")
-    dealt = grouped.repartition(shards_for(grouped.count(), PER_TASK), "bits")  # a fingerprint becomes about a hundred keys
-    own, offered = _keyed(dealt, _own_keys), _keyed(dealt, _offered_keys)
-    seen = own.unionAll(offered).groupBy("kind", "key").agg(F.min("part").alias("least"), F.max("part").alias("most"))
-    mixed = cut_lineage(seen.where("least <> most").select("kind", "key"), "mixed-buckets")
-    found = _pairs(*(side.join(mixed, ["kind", "key"]) for side in (own, offered)))
-    second = connected_components(found.select(F.col("part_a").alias("a"), F.col("part_b").alias("b"))).withColumnRenamed("node", "part")
-    return grouped.join(second, "part", "left").select("bits", F.coalesce("root", "part").alias("root"))
+    return own.join(offered.hint("merge"), condition).select(F.col("o.bits").alias("a"), F.col("f.bits").alias("b"))
 
 
 def near_duplicates(
@@ -227,7 +186,10 @@ def near_duplicates(
     """(id, fingerprint as 16 hex digits, component_id) of every row; the component's smallest id names it."""
     marked = cut_lineage(fingerprints(docs, width, id_column, text_column), "fingerprints")
     nodes = marked.groupBy("bits").agg(F.min(id_column).alias("least"))
-    rooted = nodes.join(parts(nodes), "bits")
+    nodes = cut_lineage(nodes, "fingerprint-nodes")
+    dealt = nodes.repartition(shards_for(nodes.count(), PER_TASK), "bits")  # a fingerprint becomes about a hundred keys
+    member = connected_components(links(dealt)).withColumnRenamed("node", "bits")
+    rooted = nodes.join(member, "bits", "left").withColumn("root", F.coalesce("root", "bits"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_bits = rooted.join(named, "root").select("bits", "component_id")
     digits = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
