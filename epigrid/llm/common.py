@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: ASCII white space: a word is a longest run of other characters.
@@ -56,3 +59,20 @@ def slices(texts: list[str | None], characters: int = 2_000_000, each: int = 0)
             part, size = [], 0
     if part:
         yield part
+
+
+def giving_back(run: Callable) -> Callable:
+    """The same function over Arrow batches, after whose last batch the worker gives freed memory back to the system.
+
+    Workers are used again by later stages; without this each keeps what its largest task needed.
+    """
+
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):  # glibc
+            libc.malloc_trim(0)
+
+    return wrapped

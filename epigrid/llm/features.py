@@ -16,15 +16,18 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _VALUE = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: dict[int, np.ndarray] = {}
+KEPT_POWERS = 1 << 21
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; only the longest table so far is kept."""
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; the longest table so far is kept, unless it is very long."""
     known = _powers.get(base)
     if known is None or len(known) < n:
         factors = np.full(n, base, np.uint64)
         factors[0] = 1
-        known = _powers[base] = np.cumprod(factors)
+        known = np.cumprod(factors)
+        if n <= KEPT_POWERS:
+            _powers[base] = known
     return known[:n]
 
 

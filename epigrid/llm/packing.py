@@ -18,8 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from epigrid.llm.common import shards_for, slices
-from epigrid.llm.word_bpe import word_bpe
+from epigrid.llm.common import giving_back, shards_for, slices
+from epigrid.llm.word_bpe import CACHED, word_bpe
 
 SEPARATOR = (0).to_bytes(4, "little")
 PER_SHARD = 50_000
@@ -27,15 +27,16 @@ PER_SHARD = 50_000
 
 def pieces(
     docs: DataFrame, tokenizer: str, length: int, id_column: str = "doc_id", text_column: str = "text", ids: bool = False,
-    added_tokens: bool = False,
+    added_tokens: bool = False, remember: int = CACHED,
 ) -> DataFrame:
     """Pieces of every document: (id, piece, start, length, ids_crc32), and the ids themselves if asked for.
 
     Strings of the file's added tokens are ordinary text, or with `added_tokens` those tokens, as the library has it by default.
+    `remember` bounds the units and words that a worker keeps between batches.
     """
 
     def run(batches):
-        bpe, width = word_bpe(tokenizer, added_tokens), 4 * length
+        bpe, width = word_bpe(tokenizer, added_tokens, remember), 4 * length
         for batch in batches:
             row, piece, start, size, crc, raw = [], [], [], [], [], []
             coded = (data for part in slices(batch.column(1).to_pylist()) for data in bpe.encode(part))
@@ -62,7 +63,7 @@ def pieces(
     picked = docs.select(F.col(id_column), F.col(text_column).cast("string"))
     kind = dict(picked.dtypes)[id_column]
     schema = f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(giving_back(run), schema)
 
 
 def places(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,10 +96,10 @@ def places(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 def pack(
     docs: DataFrame, tokenizer: str, length: int = 2048, id_column: str = "doc_id", text_column: str = "text",
-    per_shard: int = PER_SHARD, added_tokens: bool = False,
+    per_shard: int = PER_SHARD, added_tokens: bool = False, remember: int = CACHED,
 ) -> DataFrame:
     """Place of every piece: the columns of `pieces`, sequence_id and offset."""
-    cut = pieces(docs, tokenizer, length, id_column, text_column, added_tokens=added_tokens)
+    cut = pieces(docs, tokenizer, length, id_column, text_column, added_tokens=added_tokens, remember=remember)
     shards = shards_for(docs.count(), per_shard)
 
     def place(rows: pa.Table) -> pa.Table:

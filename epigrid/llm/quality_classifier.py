@@ -19,14 +19,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from epigrid.llm.common import fresh, slices
+from epigrid.llm.common import fresh, giving_back, slices
 from epigrid.llm.features import Texts, buckets, labelled_sample
 
 SAMPLE_ROWS = 5000
 #: Characters that are turned into indicators at once while fitting and while scoring, which bounds memory; the rates of a text take
 #: as much as so many characters, so short texts count for more.
 FIT_CHARACTERS = 400_000
-SCORE_CHARACTERS = 600_000
+SCORE_CHARACTERS = 300_000
 TEXT_SHARE = 500
 BITS = 18
 SHARES = (0.0, 0.01, 0.03, 0.1, 0.3)
@@ -204,4 +204,4 @@ def score(
     picked = docs.select(F.col(text_column).cast("string").alias(fresh(docs, "__scored_text")), *kept)
     kinds = [*docs.select(*kept).dtypes, (names[-2], "double"), (names[-1], "int")]
     schema = ", ".join(f"`{n}` {t}" for n, t in kinds)
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(giving_back(run), schema)

@@ -30,7 +30,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from epigrid.llm.common import fresh, shards_for
+from epigrid.llm.common import fresh, giving_back, shards_for
 from epigrid.llm.features import Texts, mix
 from epigrid.session import cut_lineage
 
@@ -198,7 +198,7 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
                     names=["id", "mark", "anchor", "n"],
                 )
 
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, mark long, anchor long, n long")
+    return rows.mapInArrow(giving_back(run), f"id {dict(rows.dtypes)['id']}, mark long, anchor long, n long")
 
 
 def _cut(rows: DataFrame, window: int) -> DataFrame:
@@ -224,7 +224,7 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
                     names=["id", "mark", "start", "windows", "anchor", "segment"],
                 )
 
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, mark long, start long, windows long, anchor long, segment string")
+    return rows.mapInArrow(giving_back(run), f"id {dict(rows.dtypes)['id']}, mark long, start long, windows long, anchor long, segment string")
 
 
 def _among(owner, anchor, wanted_owner, wanted_anchor) -> np.ndarray:
@@ -276,7 +276,7 @@ def _crowded_windows(rows: DataFrame, window: int) -> DataFrame:
                     names=["anchor", "digest", "at", "hash", "n"],
                 )
 
-    return rows.select("anchor", "digest", "segment", "n").mapInArrow(run, "anchor long, digest long, at long, hash binary, n long")
+    return rows.select("anchor", "digest", "segment", "n").mapInArrow(giving_back(run), "anchor long, digest long, at long, hash binary, n long")
 
 
 def repeated_ranges(rows: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -23,7 +23,8 @@ PLAIN = regex.compile(r"[!-~¡-¬®-įıĲ-ɏ]*")
 
 
 class WordBpe:
-    def __init__(self, path: str, added_tokens: bool = False):
+    def __init__(self, path: str, added_tokens: bool = False, remember: int = CACHED):
+        self.remember = remember
         self.default = Tokenizer.from_file(path)
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
@@ -97,9 +98,9 @@ class WordBpe:
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") if t else [""] for t in texts]
-        if len(self.units) > CACHED:
+        if len(self.units) > self.remember:
             self.units = {"": b""}
-        if len(self.words) > CACHED:
+        if len(self.words) > self.remember:
             self.words = {}
         if new := list(set().union(*split).difference(self.units)):
             self._learn(new)
@@ -114,6 +115,7 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in seen else chr(0x100 + hidden.index(b)) for b in range(256)]
 
 
-@lru_cache(maxsize=2)
-def word_bpe(path: str, added_tokens: bool = False) -> WordBpe:
-    return WordBpe(path, added_tokens)
+@lru_cache(maxsize=1)
+def word_bpe(path: str, added_tokens: bool = False, remember: int = CACHED) -> WordBpe:
+    """The encoder of a file; a worker keeps the last one, with about `remember` units and words."""
+    return WordBpe(path, added_tokens, remember)
