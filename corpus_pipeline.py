@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epigrid.llm import golay_simhash, line_dedup, packing, quality_classifier, substring_dedup
-from epigrid.session import cut_lineage
+from epigrid.session import cut_lineage, small_batches
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -23,6 +23,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), parts=3, left_out=1)
     rest = tuple(c for c in docs.columns if c != "doc_id")
     prefix = "__"
@@ -37,15 +38,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return golay_simhash.representatives(docs, width=4).select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return _counted(substring_dedup.clean(docs, window=35)).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), length=2048, added_tokens=True)
+    small_batches(spark)
+    # the workers also serve the other stages, so they remember fewer units than the query of this operator alone
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), length=2048, added_tokens=True, remember=50_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -45,6 +45,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession, size: str = "8m") -> SparkSession:
+    """Bound the bytes of an Arrow batch, which stands in the executor's memory and in the Python worker's at once; a value that the
+    session already has is kept."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, size)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that `spark.checkpoint.dir` names: executors and driver share it.
 
