@@ -8,6 +8,9 @@ from epigrid.session import cut_lineage
 
 # Side of a region cell in degrees.
 REGION_SIDE = 0.05
+# Where in a cell its reference point lies, in sides: off any lattice that borders and points are likely to lie on, so that no edge
+# passes through it and rounding can't decide.
+REFERENCE = (0.3819660112501051, 0.4142135623730950)
 # A cover is broadcast if its measured size is at most this.
 BROADCAST_BYTES = 64 << 20
 _BOX = ("x0", "y0", "x1", "y1")
@@ -18,8 +21,8 @@ def region_cells(regions: DataFrame, side: float = REGION_SIDE) -> DataFrame:
     """Grid cover of the regions: one row per region and cell that it meets.
 
     `whole` marks cells that lie inside the region, where no point needs a test. A border cell carries the edges that touch it
-    and whether its lower left corner `_cx`, `_cy` is inside; `inside_cell` decides by them alone. The work follows the edges:
-    each is dealt to the cells that it passes, and the corners' insides come from running counts of the crossings along each
+    and whether its reference point `_cx`, `_cy` is inside; `inside_cell` decides by them alone. The work follows the edges:
+    each is dealt to the cells that it passes, and the reference points' insides come from running counts of the crossings along each
     row of cells. So it grows with the border's length and spreads over tasks, whatever the shape or the number of rings.
 
     Every row of `regions` counts for itself, also one that repeats another, or that has another's attributes and a shape of its own:
@@ -54,20 +57,23 @@ def region_cells(regions: DataFrame, side: float = REGION_SIDE) -> DataFrame:
         rowed.withColumn("_gx", F.explode(passed))
         .groupBy(*key, "_gx")
         .agg(F.collect_list("_e").alias("_edges"))
-        .withColumns({"_cx": F.col("_gx") * s, "_cy": F.col("_gy") * s})
+        .withColumns({"_cx": (F.col("_gx") + REFERENCE[0]) * s, "_cy": (F.col("_gy") + REFERENCE[1]) * s})
     )
-    # where edges cross the lower side of a row of cells; an edge on the line counts as below it
-    line = F.col("_gy") * s
+    # where edges cross the height of the reference points of a row of cells
+    line = (F.col("_gy") + REFERENCE[1]) * s
     crossings = rowed.filter((ay > line) != (by > line)).select(*key, x_at(line).alias("_x"))
-    events = border.select(*key, F.col("_cx").alias("_x"), F.lit(0).alias("_odd"), "_gx").unionByName(
-        crossings.withColumns({"_odd": F.lit(1), "_gx": F.lit(None).cast("bigint")})
-    )
+    # asked for are the reference points of the border cells, and of the cells to their left
+    asked = [
+        border.select(*key, place.alias("_x"), F.lit(0).alias("_odd"), "_gx", F.lit(left).alias("_left"))
+        for place, left in ((F.col("_cx"), False), ((F.col("_gx") - 1 + REFERENCE[0]) * s, True))
+    ]
+    events = asked[0].unionByName(asked[1]).unionByName(crossings.withColumn("_odd", F.lit(1)), allowMissingColumns=True)
     along = Window.partitionBy(*key).orderBy("_x", F.desc("_odd")).rowsBetween(Window.unboundedPreceding, 0)
-    corners = events.withColumn("_inside", F.sum("_odd").over(along) % 2 == 1).filter(F.col("_gx").isNotNull()).drop("_x", "_odd")
-    cornered = border.join(corners, [*key, "_gx"])
-    # the cells between two border cells of a row are whole if the right one's corner is inside
+    placed = events.withColumn("_inside", F.sum("_odd").over(along) % 2 == 1).filter(F.col("_gx").isNotNull()).drop("_x", "_odd")
+    cornered = border.join(placed.filter(~F.col("_left")).drop("_left"), [*key, "_gx"])
+    # the cells between two border cells of a row are whole if the one left of the right border cell is inside
     before = F.lag("_gx").over(Window.partitionBy(*key).orderBy("_gx"))
-    gaps = corners.withColumn("_before", before).filter(F.col("_inside") & (F.col("_gx") - F.col("_before") > 1))
+    gaps = placed.filter("_left").withColumn("_before", before).filter(F.col("_inside") & (F.col("_gx") - F.col("_before") > 1))
     between = gaps.select(*key, F.explode(F.sequence(F.col("_before") + 1, F.col("_gx") - 1)).alias("_gx"))
     cells = cornered.withColumn("whole", F.lit(False)).unionByName(
         between.withColumn("whole", F.lit(True)), allowMissingColumns=True
@@ -76,8 +82,8 @@ def region_cells(regions: DataFrame, side: float = REGION_SIDE) -> DataFrame:
 
 
 def inside_cell(x: Column, y: Column) -> Column:
-    """Closed test of a point in a border cell: up from the cell's corner to the point's height, then right to the point, and
-    the inside changes at every edge crossed."""
+    """Closed test of a point in a border cell: from the cell's reference point up or down to the point's height, then left or right to
+    the point, and the inside changes at every edge crossed."""
 
     def on_edge(e):
         a, b = e["a"], e["b"]
@@ -91,8 +97,8 @@ def inside_cell(x: Column, y: Column) -> Column:
         a, b = e["a"], e["b"]
         y_at = a["y"] + (cx - a["x"]) * (b["y"] - a["y"]) / F.nullif(b["x"] - a["x"], F.lit(0.0))
         x_at = a["x"] + (y - a["y"]) * (b["x"] - a["x"]) / F.nullif(b["y"] - a["y"], F.lit(0.0))
-        upwards = ((a["x"] > cx) != (b["x"] > cx)) & (y_at > cy) & (y_at <= y)
-        sideways = ((a["y"] > y) != (b["y"] > y)) & (x_at > cx) & (x_at <= x)
+        upwards = ((a["x"] > cx) != (b["x"] > cx)) & (y_at > F.least(cy, y)) & (y_at <= F.greatest(cy, y))
+        sideways = ((a["y"] > y) != (b["y"] > y)) & (x_at > F.least(cx, x)) & (x_at <= F.greatest(cx, x))
         return F.coalesce(upwards, F.lit(False)).cast("int") + F.coalesce(sideways, F.lit(False)).cast("int")
 
     changes = F.aggregate("_edges", F.lit(0), lambda n, e: n + crossed(e))

@@ -132,6 +132,21 @@ def test_repeated_regions_keep_their_points(spark):
     assert assign_region(cases, ringed).count() == 3 * assign_region(cases, ringed.limit(1)).count() > 0
 
 
+def test_borders_through_the_corners_of_cells(spark):
+    """Edges through corners of the cover's cells and vertices on them: rounding decides nothing."""
+    shapes = [
+        ("slanted", [[[(101.1, 17.0), (101.9, 17.2), (101.7, 18.0), (101.1, 17.8), (101.1, 17.0)]]]),
+        ("lattice", [[[(100.0, 17.0), (100.5, 17.25), (100.25, 17.75), (99.75, 17.5), (100.0, 17.0)], [(100.05, 17.2), (100.2, 17.35), (100.05, 17.5), (100.05, 17.2)]]]),
+    ]
+    regs = ingest.with_box(spark.createDataFrame(shapes, f"region_name string, parts {rings.PARTS_TYPE}"))
+    rng = random.Random(8)
+    data = [(i, round(rng.uniform(99.7, 102.0), 4), round(rng.uniform(16.9, 18.1), 4)) for i in range(6000)]
+    data += [(10_000 + i, 99.7 + 0.05 * (i % 47), 16.95 + 0.05 * (i // 47)) for i in range(47 * 23)]
+    cases = spark.createDataFrame(data, "case_id int, lon double, lat double")
+    plain = cases.crossJoin(regs).filter(rings.inside_edges(rings.parts_edges(F.col("parts")), F.col("lon"), F.col("lat")))
+    assert rows(assign_region(cases, regs), "case_id", "region_name") == rows(plain, "case_id", "region_name")
+
+
 def test_scoring_by_hexagon_of_metres(spark, small):
     """Hexagons of five hundred metres on reprojected cases hold every case once."""
     metres = projection.to_utm(small["cases"], zone=47)
