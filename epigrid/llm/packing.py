@@ -63,7 +63,8 @@ def pieces(
     picked = docs.select(F.col(id_column), F.col(text_column).cast("string"))
     kind = dict(picked.dtypes)[id_column]
     schema = f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids
-    return picked.mapInArrow(giving_back(run), schema)
+    # a worker that is to remember much keeps it
+    return picked.mapInArrow(run if remember >= CACHED else giving_back(run), schema)
 
 
 def places(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
