@@ -1,10 +1,11 @@
 """Quality rules by weak supervision, in DataFrame functions only.
 
-Every rule looks at one measure of a text and votes bad, good, or abstains. The votes of a corpus are counted by pattern (at
-most 3 ** rules rows, however large the corpus), and expectation-maximisation over these counts estimates the share of good
-texts and, for each rule, how often it votes what on good and on bad texts. A text is kept if the posterior probability that
-it is good reaches the threshold. The counts of all texts are used; nothing is sampled. Pseudo-counts that say "good texts
-rarely get a bad vote, bad texts get good votes from the rules that do not see their fault" keep the two classes from swapping and a clean corpus from being split.
+Every rule looks at one measure of a text and votes bad, good, or abstains. The votes of all texts that pass the base test are
+counted by pattern (at most 3 ** rules rows, however large the corpus), and expectation-maximisation over these counts estimates
+the share of good texts and, for each rule, how often it votes what on good and on bad texts. It starts from the majority of each
+pattern's votes. A text is kept if the posterior probability that it is good reaches the threshold, so a rule that is often wrong
+is overruled where the others disagree with it. Nothing is sampled. The pseudo-counts are a few votes a rule, whatever the size
+of the corpus; they only name the classes. A corpus without bad texts still gets two classes, the second being its oddest texts.
 
 Null and empty texts have no words: all measures are 0 and the base test rejects them. Null ids are kept, repeated rows are
 judged each for itself, an empty table gives no rows, and only the named columns are read. Long texts are read whole.
@@ -23,9 +24,10 @@ from epigrid.session import cut_lineage
 SYMBOLS = "#*$%&|<>"
 SIGNS = SYMBOLS + "!?.,;:()[]{}+=~^_/@"
 BAD, ABSTAIN, GOOD = -1, 0, 1
-ROUNDS = 100
-#: Pseudo-counts of a rule's votes (bad, abstain, good), as a share of the number of texts: on good texts and on bad ones.
-PRIOR = {GOOD: (0.0005, 0.02, 0.08), BAD: (0.04, 0.02, 0.14)}
+ROUNDS = 300
+#: Pseudo-counts of a rule's votes (bad, abstain, good) on good texts and on bad ones, and of good and bad texts.
+PRIOR = {GOOD: (1.0, 1.0, 8.0), BAD: (4.0, 1.0, 5.0)}
+PRIOR_TEXTS = (9.0, 1.0)
 
 
 @dataclass(frozen=True)
@@ -38,16 +40,16 @@ class Rule:
     good: float
 
 
-#: Measures per word or per line, so that they do not depend on the length of a text.
+#: Measures per word or per line, so that they do not depend on the length of a text; but for the last, which is a weak rule about length.
 RULES = (
     Rule("symbols", "n_symbols / n_words", 0.10, 0.02),
-    Rule("repeated_words", "n_repeat_words / n_words", 0.30, 0.15),
-    Rule("repeated_lines", "n_dup_lines / n_lines", 0.50, 0.34),
-    Rule("symbols_over_stops", "n_symbols / greatest(n_symbols + n_stops, 1)", 0.50, 0.20),
-    Rule("signs", "n_signs / greatest(word_chars, 1)", 0.15, 0.12),
+    Rule("signs", "n_signs / greatest(word_chars, 1)", 0.15, 0.08),
+    Rule("repeated_words", "n_repeat_words / n_words", 0.15, 0.05),
+    Rule("repeated_lines", "n_dup_lines / n_lines", 0.20, 0.10),
     Rule("shouting", "n_marks / n_words", 0.30, 0.05),
-    Rule("word_length", "abs(word_chars / n_words - 6.5)", 4.5, 3.0),
+    Rule("word_length", "abs(word_chars / n_words - 5)", 1.0, 0.5),
     Rule("no_sentences", "1 - least(1.0, n_stops * 60 / n_words)", 0.7, 0.2),
+    Rule("short", "80 / n_words", 1.0, 0.5),
 )
 
 
@@ -146,17 +148,17 @@ class LabelModel:
 
 def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> LabelModel:
     """Expectation-maximisation over vote patterns and their counts."""
-    total = sum(n for _, n in patterns) or 1
+    total = sum(n for _, n in patterns)
     width = len(patterns[0][0]) if patterns else len(RULES)
-    belief = [0.02 if BAD in pattern else 0.98 for pattern, _ in patterns]
+    belief = [(p.count(GOOD) + 0.5) / (p.count(GOOD) + p.count(BAD) + 1) for p, _ in patterns]
     for _ in range(rounds):
-        share = (sum(b * n for b, (_, n) in zip(belief, patterns)) + 0.09 * total) / (total * 1.1)
+        share = (sum(b * n for b, (_, n) in zip(belief, patterns)) + PRIOR_TEXTS[0]) / (total + sum(PRIOR_TEXTS))
         chance = {}
         for side in (GOOD, BAD):
             weight = [(b if side == GOOD else 1 - b) * n for b, (_, n) in zip(belief, patterns)]
             chance[side] = []
             for k in range(width):
-                counts = [total * p for p in PRIOR[side]]
+                counts = list(PRIOR[side])
                 for w, (pattern, _) in zip(weight, patterns):
                     counts[pattern[k] + 1] += w
                 chance[side].append(tuple(c / sum(counts) for c in counts))
@@ -166,7 +168,7 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> La
             odds = math.log(share / (1 - share))
             for k, v in enumerate(pattern):
                 odds += math.log(chance[GOOD][k][v + 1] / chance[BAD][k][v + 1])
-            belief.append(1 / (1 + math.exp(-odds)))
+            belief.append(1 / (1 + math.exp(-max(odds, -700.0))))
         if all(abs(a - b) < 1e-9 for a, b in zip(belief, before)):
             break
     return model
@@ -180,9 +182,9 @@ def judge(
     that `spark.checkpoint.dir` names, because the vote counts and the verdicts both need them."""
     voted = votes(cut_lineage(measures(docs, id_column, text_column), "measures"), rules)
     names = [f"vote_{r.name}" for r in rules]
-    seen = [(tuple(r[n] for n in names), r["count"]) for r in voted.groupBy(*names).count().collect()]
-    model = fit(sorted(seen))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    seen = [(tuple(r[n] for n in names), r["count"]) for r in voted.where(~base).groupBy(*names).count().collect()]
+    model = fit(sorted(seen))
     return voted.withColumns({"base_failed": base, "good_probability": model.posterior(rules)}).withColumn(
         "kept", ~F.col("base_failed") & (F.col("good_probability") >= threshold)
     )
