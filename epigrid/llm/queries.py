@@ -37,7 +37,7 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.train(docs, table(spark, folder, "labels"), parts=4, left_out=2)
-    return toxicity.score(docs, model, threshold=0.3).withColumn("held_out", ~learned_rows("doc_id", 4, 2))
+    return toxicity.score(docs, model, threshold=0.3, spans=True).withColumn("held_out", ~learned_rows("doc_id", 4, 2))
 
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

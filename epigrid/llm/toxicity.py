@@ -7,7 +7,8 @@ that the sentence probabilities afterwards also say where the offence lies.
 
 The model is fitted on a bounded sample (`SAMPLE_ROWS` labelled rows, picked by a hash of the id); every text is scored
 whole. Null and empty texts have one empty sentence and get its probability. Repeated rows are scored alike, null ids are
-kept, further columns are not read, an empty table gives no rows, and without labels of both kinds the score is the share of 1.
+kept, further columns are not read, an empty table gives no rows, and without labels of both kinds the score
+is the share of 1 and no sentence is named. An empty sentence is never named.
 """
 
 from __future__ import annotations
@@ -67,19 +68,35 @@ class Model:
     constant: float | None = None
 
     def score(self, texts: list[str | None]) -> np.ndarray:
+        return self.judge(texts)[0]
+
+    def judge(self, texts: list[str | None], threshold: float | None = None) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
+        """Score of every text, and with a threshold the spans of its offending sentences, from one pass.
+
+        A span is the first byte of a sentence in its text, the byte after it, and the sentence's probability. Offending are the
+        sentences whose own probability reaches the threshold, and the worst one of a text that reaches it by many small ones.
+        """
         if self.constant is not None:
-            return np.full(len(texts), self.constant)
-        feature, sentence, doc, _ = bags(texts)
-        return _documents(_sentences(feature, sentence, len(doc), self.weights, self.bias), doc, len(texts))[1]
+            return np.full(len(texts), self.constant), [[] for _ in texts]
+        feature, sentence, doc, block = bags(texts)
+        p = _sentences(feature, sentence, len(doc), self.weights, self.bias)
+        score = _documents(p, doc, len(texts))[1]
+        spans: list[list[tuple[int, int, float]]] = [[] for _ in texts]
+        if threshold is not None and len(texts):
+            stops = np.flatnonzero(_STOP[block.data])
+            starts = np.concatenate([[0], stops[:-1] + 1])
+            worst = np.maximum.reduceat(p, np.searchsorted(doc, np.arange(len(texts))))
+            bar = np.where(score >= threshold, np.minimum(worst, threshold), threshold)
+            for i in np.flatnonzero(p >= bar[doc]):
+                begin, size = block.starts[doc[i]], block.sizes[doc[i]] - 1
+                span = int(starts[i] - begin), int(min(stops[i] + 1 - begin, size)), float(p[i])
+                if span[0] < span[1]:
+                    spans[doc[i]].append(span)
+        return score, spans
 
     def locate(self, text: str | None, threshold: float = 0.3) -> list[tuple[int, int, float]]:
-        """Byte spans of the sentences whose own probability reaches the threshold, and that probability."""
-        feature, sentence, doc, block = bags([text])
-        p = _sentences(feature, sentence, len(doc), self.weights, self.bias)
-        stops = np.flatnonzero(_STOP[block.data])
-        starts = np.concatenate([[0], stops[:-1] + 1])
-        size = len(block.data) - 1
-        return [(int(a), int(min(b + 1, size)), float(q)) for a, b, q in zip(starts, stops, p) if q >= threshold]
+        """Byte spans of the offending sentences of one text."""
+        return self.judge([text], threshold)[1][0]
 
 
 def fit(texts: list[str], labels: list[int], steps: int = 60, rate: float = 0.15, thrift: float = 1e-4) -> Model:
@@ -155,12 +172,11 @@ def score(
         model = shared.value
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            chance = np.concatenate([model.score(part) for part in slices(texts)]) if texts else np.zeros(0)
+            judged = [model.judge(part, threshold if spans else None) for part in slices(texts)]
+            chance = np.concatenate([part[0] for part in judged]) if texts else np.zeros(0)
             columns = [batch.column(0), pa.array(chance), pa.array((chance >= threshold).astype(np.int32))]
             if spans:
-                found = [
-                    [dict(zip(("start", "end", "probability"), s)) for s in model.locate(t, threshold)] for t in texts
-                ]
+                found = [[dict(zip(("start", "end", "probability"), s)) for s in each] for part in judged for each in part[1]]
                 columns.append(pa.array(found, span_type))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 

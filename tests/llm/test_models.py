@@ -63,6 +63,16 @@ def test_offending_sentences(spark):
     docs = frame(spark, [(1, texts[0]), (2, None)])
     spans = dict(rows(toxicity.score(docs, model, spans=True), "doc_id", "sentences"))
     assert len(spans[1]) == 1 and spans[2] == []
+    one_by_one = [model.locate(t) for t in [*texts[:40], None, "", "é zzfoul!"]]
+    assert model.judge([*texts[:40], None, "", "é zzfoul!"], 0.3)[1] == one_by_one and one_by_one[-1][0][:2] == (0, 10)
+
+
+def test_spans_of_the_query(spark):
+    """Texts that are predicted toxic name a sentence, others none, and the spans lie in the text."""
+    got = op5_toxicity(spark, FOLDER).join(table(spark, FOLDER, "documents").select("doc_id", "text"), "doc_id").collect()
+    for row in got:
+        assert bool(row["sentences"]) == bool(row["predicted"])
+        assert all(0 <= s["start"] < s["end"] <= len(row["text"].encode()) for s in row["sentences"])
 
 
 def test_dual_coordinate_descent_is_optimal():
