@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from epigrid.constants import RISK_TIERS, SEVERE
 from epigrid.functions.geo import is_severe, round_half_up, to_degrees, to_metres
+from epigrid.operators.counting import ring_counts
 from epigrid.operators.proximity import within_distance
 
 # Tier labels, tier points, and the severity scores with the radius in metres up to which they count.
@@ -19,11 +20,11 @@ def case_load(
 
     Facilities without a case do not appear. Rows are grouped on `by`; pass the id to keep namesakes apart.
     """
-    pairs = within_distance(facilities, cases, metres)
-    return pairs.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("case_count"),
-        count_if(is_severe("severity", severe)).alias("severe_count"),
-        round_half_up(to_metres(F.min("dist_deg"))).alias("nearest_case_meters"),
+    near = ring_counts(facilities, cases, [metres], by=("severity",))
+    return near.groupBy(*by).agg(
+        F.sum("_n").alias("case_count"),
+        _total_if(is_severe("severity", severe)).alias("severe_count"),
+        round_half_up(to_metres(F.min("_near"))).alias("nearest_case_meters"),
     )
 
 
@@ -44,31 +45,29 @@ def tiered_pairs(facilities: DataFrame, cases: DataFrame) -> DataFrame:
 
 
 def cumulative_tiers(facilities: DataFrame, cases: DataFrame, by: tuple[str, ...] = ("name",)) -> DataFrame:
-    """Cases up to each tier's radius; a case counts in its own tier and in every wider one. One join serves all."""
-    pairs = within_distance(facilities, cases, RISK_TIERS[-1][1])
-    counts = [
-        count_if(F.col("dist_deg") <= to_degrees(float(radius))).alias(f"{tier.lower()}_cases")
-        for tier, radius in RISK_TIERS
-    ]
-    return pairs.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("threatening_cases"),
+    """Cases up to each tier's radius; a case counts in its own tier and in every wider one. One search serves all."""
+    near = ring_counts(facilities, cases, [radius for _, radius in RISK_TIERS])
+    counts = [_total_if(F.col("_ring") <= k).alias(f"{tier.lower()}_cases") for k, (tier, _) in enumerate(RISK_TIERS)]
+    return near.groupBy(*by).agg(
+        F.sum("_n").alias("threatening_cases"),
         *counts,
-        round_half_up(to_metres(F.min("dist_deg"))).alias("nearest_case_m"),
+        round_half_up(to_metres(F.min("_near"))).alias("nearest_case_m"),
     )
 
 
 def severity_score(facilities: DataFrame, cases: DataFrame, by: tuple[str, ...] = ("name",)) -> DataFrame:
     """Score of every facility, zero included: each severity counts up to its own radius."""
-    near = within_distance(facilities, cases, max(radius for _, radius, _ in SEVERITY_SCORES))
+    radii = sorted({radius for _, radius, _ in SEVERITY_SCORES})
+    near = ring_counts(facilities, cases, radii, by=("severity",), nearest=False)
     counted = [
-        (severity, points, (F.col("severity") == severity) & (F.col("dist_deg") <= to_degrees(float(radius))))
+        (severity, points, (F.col("severity") == severity) & (F.col("_ring") <= radii.index(radius)))
         for severity, radius, points in SEVERITY_SCORES
     ]
     score = sum((F.when(cond, points).otherwise(0) for _, points, cond in counted), F.lit(0))
     # Aggregated before the outer join, so that only one row per facility meets the preserved side.
     scores = near.groupBy("id").agg(
-        F.sum(score).cast("bigint").alias("total_risk_score"),
-        *[count_if(cond).alias(f"{severity.lower()}_cases") for severity, _, cond in counted],
+        F.sum(score * F.col("_n")).cast("bigint").alias("total_risk_score"),
+        *[_total_if(cond).alias(f"{severity.lower()}_cases") for severity, _, cond in counted],
     )
     measures = [c for c in scores.columns if c != "id"]
     joined = facilities.join(scores, "id", "left")
@@ -77,14 +76,13 @@ def severity_score(facilities: DataFrame, cases: DataFrame, by: tuple[str, ...]
 
 def fogging_score(facilities: DataFrame, cases: DataFrame, by: tuple[str, ...] = ("name", "district")) -> DataFrame:
     """Fogging priority: tier points of every case within 2 km, doubled for severe cases."""
-    pairs = within_distance(facilities, cases, RISK_TIERS[-1][1])
-    points = _first_tier(F.col("dist_deg"), {tier: F.lit(TIER_POINTS[tier]) for tier, _ in RISK_TIERS})
+    near = ring_counts(facilities, cases, [radius for _, radius in RISK_TIERS], by=("severity",), nearest=False)
+    points = F.element_at(F.array(*[F.lit(TIER_POINTS[tier]) for tier, _ in RISK_TIERS]), F.col("_ring") + 1)
     weight = F.when(is_severe("severity", SEVERE), 2).otherwise(1)
-    in_red = F.col("dist_deg") <= to_degrees(float(RISK_TIERS[0][1]))
-    return pairs.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("case_count"),
-        F.sum(points * weight).cast("bigint").alias("risk_score"),
-        count_if(in_red).alias("red_cases"),
+    return near.groupBy(*by).agg(
+        F.sum("_n").alias("case_count"),
+        F.sum(points * weight * F.col("_n")).cast("bigint").alias("risk_score"),
+        _total_if(F.col("_ring") == 0).alias("red_cases"),
     )
 
 
@@ -101,6 +99,11 @@ def count_if(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
+def _total_if(condition: Column) -> Column:
+    """Cases of the rows of `ring_counts` that meet a condition."""
+    return F.sum(F.when(condition, F.col("_n")).otherwise(F.lit(0).cast("bigint")))
+
+
 def _first_tier(dist: Column, values: dict[str, Column]) -> Column:
     result = None
     for tier, radius in RISK_TIERS:

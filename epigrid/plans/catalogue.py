@@ -6,14 +6,15 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from epigrid.functions.geo import dist_deg, round_half_up, to_degrees, to_metres
+from epigrid.constants import SEVERE
+from epigrid.functions.geo import dist_deg, is_severe, round_half_up, to_degrees, to_metres
 from epigrid.functions.geohash import cell_text
 from epigrid.functions.hexgrid import hex_ring, hex_text
 from epigrid.functions.projection import LON_LAT, UTM_NORTH, from_utm, reproject_parts, to_utm
 from epigrid.functions.rings import (
     number_text, parts_area, parts_centroid, parts_wkt, point_wkt, ring_area, ring_wkt,
 )
-from epigrid.operators import features, heatmap, hexmap, proximity, regions, scoring, zones
+from epigrid.operators import counting, features, heatmap, hexmap, proximity, regions, scoring, zones
 from epigrid.plans import batch
 from epigrid.session import cut_lineage, tune
 from epigrid.sources import binding, ingest, tables
@@ -21,6 +22,7 @@ from epigrid.sources import binding, ingest, tables
 # The reference points of the distance and nearest-to-point questions.
 CITY_POINT = (100.4856, 13.7590)
 ONE_CASE, ONE_REGION = 42, "NATION_17"
+REGIONAL_METRES = (25_000, 50_000, 100_000)
 CLUSTER_POINTS = ((100.554, 13.723), (100.55, 13.72))
 # The UTM zone of the country's capital; a plane of metres for distances and areas across zones.
 HOME_ZONE = 47
@@ -103,11 +105,24 @@ def hospital_case_load(t: Inputs) -> DataFrame:
 
 
 def hospital_case_load_all(t: Inputs) -> DataFrame:
-    load = proximity.within_distance(t.hospitals, t.cases, 5000).groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
+    near = counting.ring_counts(t.hospitals, t.cases, [5000], nearest=False)
+    load = near.groupBy("id").agg(F.sum("_n").alias("_n"))
     counted = t.hospitals.select("id", "name", "province").join(load, "id", "left")
     return counted.groupBy("name", "province").agg(F.sum(F.coalesce("_n", F.lit(0))).alias("case_count"))
 
 
+def regional_case_load(t: Inputs) -> DataFrame:
+    """Cases within 25, 50 and 100 km of every hospital, those that are severe, and the nearest."""
+    near = counting.ring_counts(t.hospitals, t.cases, list(REGIONAL_METRES), by=("severity",))
+    within = [
+        F.sum(F.when(F.col("_ring") <= k, F.col("_n")).otherwise(0)).alias(f"cases_{metres // 1000}_km")
+        for k, metres in enumerate(REGIONAL_METRES)
+    ]
+    severe = F.sum(F.when(is_severe("severity", SEVERE), F.col("_n")).otherwise(0)).alias("severe_cases")
+    nearest = round_half_up(to_metres(F.min("_near"))).alias("nearest_case_meters")
+    return near.groupBy("id", "name").agg(*within, severe, nearest)
+
+
 def hospitals_nearest_points(t: Inputs) -> DataFrame:
     found = None
     for number, (lon, lat) in enumerate(CLUSTER_POINTS, 1):
@@ -538,6 +553,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "q04_nearest_hospital": nearest_hospital,
     "q05_hospital_case_load": hospital_case_load,
     "q05_hospital_case_load_all": hospital_case_load_all,
+    "q05_regional_case_load": regional_case_load,
     "q06_hospitals_nearest_points": hospitals_nearest_points,
     "q07_case_buffer": case_buffer,
     "q08_tier_buffers": tier_buffers,

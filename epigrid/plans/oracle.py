@@ -450,6 +450,12 @@ FROM (SELECT c.case_id, c.patient_age, c.severity, h.name, {_dist("c", "h")} AS
             f"""SELECT h.name, h.province, count(c.case_id) AS case_count FROM hospitals h
 LEFT JOIN cases c ON {_dist("h", "c")} <= {_deg(5000)} GROUP BY h.name, h.province"""
         ),
+        "q05_regional_case_load": _with(
+            f"""SELECT id, name, {_count(f"d <= {_deg(25_000)}")} AS cases_25_km, {_count(f"d <= {_deg(50_000)}")} AS cases_50_km,
+  count(*) AS cases_100_km, {_count(_SEVERE)} AS severe_cases, {_round(f"min(d) * {_METRES}")} AS nearest_case_meters
+FROM pairs GROUP BY id, name""",
+            _pairs("hospitals", 100_000),
+        ),
         "q06_hospitals_nearest_points": _with(nearest_points),
         "q07_case_buffer": _with(f"SELECT case_id, severity, {_buffer_wkt(_deg(500))} AS buffer_500m_wkt FROM cases"),
         "q08_tier_buffers": _with(
