@@ -59,25 +59,25 @@ def _keys(threshold: int) -> tuple[Column, int, int]:
         for shift in range(max(-i, shorter - (threshold - i)), min(i, shorter + threshold - i) + 1)
     ]
     probes.sort(key=lambda p: (p[0], p[2] != 0))
-    specs = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip("lis", p))) for p in probes))
 
-    def key(n: Column, spec: Column) -> Column:
-        length, i = n - spec["l"], spec["i"]
+    def key(shorter: int, i: int, shift: int) -> Column:
+        length = F.char_length(line) - shorter
         extra = length % parts  # the segments are even; the longer ones come last
         base, late = ((length - extra) / parts).cast("int"), extra - (parts - i)
         start, size = base * i + F.greatest(late, F.lit(0)), base + (late >= 0).cast("int")
-        return F.xxhash64(length, i, F.substring(line, start + spec["s"] + 1, size))
+        return F.xxhash64(length, F.lit(i), F.substring(line, start + shift + 1, size))
 
-    return let(F.char_length(line), lambda n: F.transform(specs, lambda spec: key(n, spec))), parts, sum(p[0] == 0 for p in probes)
+    # spelled out, not as a function over an array of probes: only so the keys are in generated code
+    return F.array(*(key(*p) for p in probes)), parts, sum(p[0] == 0 for p in probes)
 
 
 def _sketch() -> Column:
-    size, rest = F.octet_length("line"), F.octet_length("line")
+    left, rest = F.col("line"), F.octet_length("line")
     packed = F.lit(0).cast("long")
     for k, letter in enumerate(LETTERS):
-        count = size - F.octet_length(F.replace(F.col("line"), F.lit(letter), F.lit("")))
-        rest = rest - count
-        packed = packed.bitwiseOR(F.shiftleft(count.bitwiseAND(127).cast("long"), 7 * k))
+        left, before = F.replace(left, F.lit(letter), F.lit("")), rest  # each letter from what the ones before left over
+        rest = F.octet_length(left)
+        packed = packed.bitwiseOR(F.shiftleft((before - rest).bitwiseAND(127).cast("long"), 7 * k))
     return packed.bitwiseOR(F.shiftleft(rest.bitwiseAND(255).cast("long"), 7 * len(LETTERS)))
 
 
