@@ -289,7 +289,10 @@ def rings(cases: DataFrame, group: list[str]) -> DataFrame:
     free = free_edges(distinct_centres(cases, group), group)
     numbered = free.withColumn("_piece", F.col("_id") * F.lit(SIDES) + F.col("k"))
     pieces = cut_lineage(_piece_ends(numbered, [*zone, "_r", "_piece", "k"]), "pieces")
-    chain = _followers(pieces, zone).select(
+    # A piece ends where its follower starts, to the last bit: a ray can't slip through, nor an end stand out.
+    closed = pieces.drop("_r", "k", "to_x", "to_y").join(_followers(pieces, zone), "_piece")
+    closed = cut_lineage(closed, "closed-pieces")
+    chain = closed.select(
         "_piece", "_jump", F.col("_piece").alias("_first"), F.lit(0).cast("bigint").alias("_steps"), F.lit(True).alias("_moved")
     )
     chain, span = cut_lineage(chain, "chain"), 1
@@ -317,7 +320,7 @@ def rings(cases: DataFrame, group: list[str]) -> DataFrame:
         )
         span *= 2
     # A piece that is n steps before the first one stands n places before the end.
-    return pieces.join(chain, "_piece").select(
+    return closed.drop("_jump").join(chain, "_piece").select(
         *zone,
         F.col("_first").alias("ring"),
         F.when(F.col("_steps") == 0, F.lit(None)).otherwise(-F.col("_steps")).alias("seq"),
@@ -329,7 +332,7 @@ def rings(cases: DataFrame, group: list[str]) -> DataFrame:
 
 
 def _followers(pieces: DataFrame, zone: list[str]) -> DataFrame:
-    """(_piece, _jump): the piece that follows each. Ends and starts meet on a grid far finer than any piece, and far coarser
+    """(_piece, _jump, to_x, to_y): the piece that follows each, and where that one starts. Ends and starts meet on a grid far finer than any piece, and far coarser
     than rounding; starts are copied to the cells that are half a cell away."""
     fine = F.col("_r") * F.lit(NEAR)
 
@@ -347,7 +350,8 @@ def _followers(pieces: DataFrame, zone: list[str]) -> DataFrame:
     # turn from where a piece came from, clockwise, in sides
     turn = (F.col("k") + F.lit(SIDES // 2 + SIDES - 1) - F.col("_k")) % SIDES
     met = ends.join(starts, [*zone, "_sx", "_sy"]).filter(close)
-    return met.groupBy("_piece").agg(F.min_by("_jump", F.struct(turn, "_jump")).alias("_jump"))
+    follower = F.struct("_jump", F.col("_x").alias("to_x"), F.col("_y").alias("to_y"))
+    return met.groupBy("_piece").agg(F.min_by(follower, F.struct(turn, "_jump")).alias("_f")).select("_piece", "_f.*")
 
 
 def ring_summary(vertices: DataFrame, group: list[str]) -> DataFrame:
@@ -409,7 +413,8 @@ def hole_owners(vertices: DataFrame, group: list[str]) -> DataFrame:
     From the leftmost vertex of a hole a ray runs to the left; the first outline piece on its way belongs to the outer ring, or to
     another hole of the same outer ring, which then answers. Pieces lie in the cells of a grid; the next occupied cell to the left is a
     running maximum along a row of cells, and only the pieces in it are looked at. A ray that crosses none of them there goes on from the next
-    cell, one round for all rays. Pointers from hole to hole are followed by doubling. Work grows with holes and pieces, not with
+    cell, one round for all rays. Pointers from hole to hole are followed by doubling. They can't run in a circle: a ray starts at the smallest x
+    of all ends of its hole's pieces, and what it meets is smaller, so each ring reaches further left than the one before. Work grows with holes and pieces, not with
     their product, and a zone spreads over its rows of cells.
     """
     zone = [*group, "radius_meters"]
@@ -428,7 +433,8 @@ def hole_owners(vertices: DataFrame, group: list[str]) -> DataFrame:
     for name, made in spread:
         pieces = pieces.withColumn(name, made)
     pieces = cut_lineage(pieces, "ray-pieces")
-    first = vertices.join(holes, [*zone, "ring"]).groupBy(*zone, F.col("ring").alias("hole")).agg(F.min(F.struct("x", "y")).alias("_p"))
+    ends = (F.struct(a.alias("x"), b.alias("y")) for a, b in ((x, y), (to_x, to_y)))
+    first = vertices.join(holes, [*zone, "ring"]).groupBy(*zone, F.col("ring").alias("hole")).agg(F.min(F.least(*ends)).alias("_p"))
     ray = first.select(*zone, "hole", F.col("_p.x").alias("_px"), F.col("_p.y").alias("_py"))
     waiting = cut_lineage(ray.withColumns({"_cx": cell(F.col("_px")), "_gy": cell(F.col("_py"))}), "rays")
     occupied = pieces.select(*zone, "_cx", "_gy").distinct()

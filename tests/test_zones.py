@@ -224,3 +224,24 @@ def test_a_hundred_thousand_holes(spark):
     vertices = spark.createDataFrame(frame)
     owners = zones.hole_owners(vertices, ["g"])
     assert {r["hole"]: r["outer"] for r in owners.collect()} == wanted and len(wanted) > 100_000
+
+
+def test_a_hole_does_not_own_itself(spark):
+    """The end of a piece may lie a rounding error left of where the next one starts; following owners used to go round for ever."""
+    outer = [(100.0, 13.0), (101.0, 13.0), (101.0, 14.0), (100.0, 14.0)]
+    hole = [(100.5, 13.5), (100.6, 13.6), (100.6, 13.4)]
+    pieces = [(n, *a, *b) for n, p in ((0, outer), (1, hole)) for a, b in zip(p, p[1:] + p[:1])]
+    # the piece into the hole's leftmost vertex comes from above and ends too far left
+    reversed_hole = [(1, 100.5, 13.5, 100.6, 13.6), (1, 100.6, 13.6, 100.6, 13.4), (1, 100.6, 13.4, math.nextafter(100.5, 0), math.nextafter(13.5, 14))]
+    pieces = [p for p in pieces if p[0] == 0] + reversed_hole
+    frame = pd.DataFrame(pieces, columns=["ring", "x", "y", "to_x", "to_y"]).assign(g="z", radius_meters=100_000, seq=0)
+    owners = zones.hole_owners(spark.createDataFrame(frame), ["g"])
+    assert [(r["hole"], r["outer"]) for r in owners.collect()] == [(1, 0)]
+
+
+def test_pieces_end_where_the_next_one_starts(spark):
+    places = [(100 + 0.3 * R * i, 13 + 0.7 * R * j) for i in range(5) for j in range(4)]
+    df = spark.createDataFrame([("g", 1000, x, y) for x, y in places], "g string, radius_meters int, lon double, lat double")
+    vertices = zones.rings(df, ["g"]).collect()
+    starts = {(r["x"], r["y"]) for r in vertices}
+    assert vertices and {(r["to_x"], r["to_y"]) for r in vertices} == starts
