@@ -33,3 +33,5 @@ UNIT_AREA = 0.5 * SIDES * math.sin(2 * math.pi / SIDES)
 BROADCAST_ROWS = 200_000
 # A join key with more rows than this on the large side is split into several tasks.
 HOT_ROWS = 1_000_000
+# Rows of the large side per task of a distance join; at some hundred facilities in reach a task makes some million pairs.
+PAIR_ROWS = 20_000

@@ -11,7 +11,7 @@ def at_most(df: DataFrame, rows: int) -> bool:
 
 
 def cell_join(
-    many: DataFrame, few: DataFrame, keys: list[str], spread_on: str, few_is_small: bool, load: DataFrame | None = None
+    many: DataFrame, few: DataFrame, keys: list[str], spread_on: str, few_is_small: bool, load: DataFrame | None = None, tasks: int | None = None
 ) -> DataFrame:
     """Inner equi-join of a large table with a table of cells.
 
@@ -20,16 +20,18 @@ def cell_join(
     """
     if few_is_small:
         return many.join(F.broadcast(few), keys)
-    return salted_join(many, few, keys, spread_on, load)
+    return salted_join(many, few, keys, spread_on, load, tasks)
 
 
 def salted_join(
-    many: DataFrame, few: DataFrame, keys: list[str], spread_on: str, load: DataFrame | None = None
+    many: DataFrame, few: DataFrame, keys: list[str], spread_on: str, load: DataFrame | None = None, tasks: int | None = None
 ) -> DataFrame:
     """Inner equi-join that splits keys with more than HOT_ROWS rows on the large side.
 
     The list of hot keys has at most rows / HOT_ROWS entries, so it is broadcast. The salt is a hash of a row's own
     key and not a random number: a recomputed task must put every row where it was before.
+
+    `tasks` fixes the number of join tasks, for joins whose work is their pairs: by the bytes of their input they would be put into few.
     """
     hot_rows = constants.HOT_ROWS
     if load is None:
@@ -44,7 +46,11 @@ def salted_join(
     copies = few.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), parts - F.lit(1)))
     )
-    return salted.drop("_parts").join(copies.drop("_parts"), [*keys, "_salt"]).drop("_salt")
+    left, right = salted.drop("_parts"), copies.drop("_parts")
+    if tasks:
+        left, right = (side.repartition(tasks, *keys, "_salt") for side in (left, right))
+    # A merge join spills. Without the hint a broadcast could be chosen from a size estimate that ignores the copies of a row.
+    return left.hint("merge").join(right, [*keys, "_salt"]).drop("_salt")
 
 
 def neighbours(reach: int = 1) -> list[tuple[int, int]]:

@@ -44,9 +44,11 @@ def within_distance(
     located = cases.withColumnsRenamed({"lon": "case_lon", "lat": "case_lat"}).withColumns(
         {"_gx": F.floor(F.col("case_lon") / side), "_gy": F.floor(F.col("case_lat") / side)}
     )
-    small = at_most(facilities, constants.BROADCAST_ROWS)
+    # what would be broadcast are the copies
+    small = at_most(facilities, constants.BROADCAST_ROWS // len(neighbours()))
+    tasks = None if small else math.ceil(cases.count() / constants.PAIR_ROWS)
     pairs = (
-        cell_join(located, around, ["_gx", "_gy"], case_id, small)
+        cell_join(located, around, ["_gx", "_gy"], case_id, small, tasks=tasks)
         .withColumn("dist_deg", dist_deg("lon", "lat", "case_lon", "case_lat"))
         .filter(F.col("dist_deg") <= F.lit(radius))
         .drop("_gx", "_gy")

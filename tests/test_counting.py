@@ -103,3 +103,20 @@ def test_thin_cases_are_joined_as_pairs(small):
         assert counting.ring_counts(small["schools"].filter("false"), small["cases"], [1000], depth=depth).count() == 0
     with pytest.raises(ValueError):
         counting.ring_counts(small["schools"], small["cases"], [1000, 500])
+
+
+def test_large_facilities_are_not_broadcast(spark, monkeypatch):
+    """Facilities are copied ninefold, which a size estimate does not see: copies beyond the bound are joined by shuffle, in tasks for their pairs."""
+    from epigrid import constants
+    from epigrid.operators.proximity import within_distance
+
+    facilities = spark.createDataFrame([(i, 100 + 0.001 * i, 13.0) for i in range(20)], "id long, lon double, lat double")
+    cases = spark.createDataFrame([(i, 100 + 0.0005 * i, 13.001) for i in range(50)], "case_id long, lon double, lat double")
+    near = within_distance(facilities, cases, 500)
+    wanted = sorted((r["id"], r["case_id"]) for r in near.collect())
+    monkeypatch.setattr(constants, "BROADCAST_ROWS", 100)  # 20 facilities, 180 copies
+    monkeypatch.setattr(constants, "PAIR_ROWS", 10)
+    near = within_distance(facilities, cases, 500)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("REPARTITION_BY_NUM") == 2
+    assert wanted and sorted((r["id"], r["case_id"]) for r in near.collect()) == wanted
