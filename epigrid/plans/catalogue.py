@@ -11,6 +11,7 @@ from epigrid.functions.geo import dist_deg, is_severe, round_half_up, to_degrees
 from epigrid.functions.geohash import cell_text
 from epigrid.functions.hexgrid import hex_ring, hex_text
 from epigrid.functions.projection import LON_LAT, UTM_NORTH, from_utm, reproject_parts, to_utm
+from epigrid.functions.ring_text import ring_texts
 from epigrid.functions.rings import (
     number_text, parts_area, parts_centroid, parts_wkt, point_wkt, ring_area, ring_wkt,
 )
@@ -144,7 +145,7 @@ def tier_buffers(t: Inputs) -> DataFrame:
         "infection_date",
         "risk_tier",
         "radius_meters",
-        ring_wkt(F.col("ring")).alias("zone_wkt"),
+        ring_texts(F.col("ring")).alias("zone_wkt"),
     )
 
 
