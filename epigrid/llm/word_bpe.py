@@ -18,7 +18,10 @@ from tokenizers import Tokenizer
 from epigrid.llm.bpe import Merges
 
 CACHED = 300_000
+#: Words merged at once: their symbols stay in a core's cache.
+AT_ONCE = 8_000
 #: Characters that the normaliser only puts in lower case.
+SIGNS = ".,!?;:"
 PLAIN = regex.compile(r"[!-~¡-¬®-įıĲ-ɏ]*")
 
 
@@ -52,8 +55,11 @@ class WordBpe:
         self.merges = Merges(
             [vocab[a] for a, _ in pairs], [vocab[b] for _, b in pairs], [vocab[a + b] for a, b in pairs], range(len(pairs))
         )
+        # what was met lately, and what was met before that
         self.words: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {"": b""}
+        self.old_words: dict[str, bytes] = {}
+        self.old_units: dict[str, bytes] = {}
 
     def _learn_words(self, new: list[str]) -> None:
         raw = [w.encode() for w in new]
@@ -67,26 +73,36 @@ class WordBpe:
         self.words.update((w, out[a:b]) for w, a, b in zip(new, [0, *stop[:-1]], stop))
 
     def _learn(self, new: list[str]) -> None:
-        plain, rest = [], []
-        for u in new:
-            (plain if PLAIN.fullmatch(u) else rest).append(u)
-        cut = [self._words_of(u) for u in plain]
-        if unknown := list(set().union(*cut).difference(self.words)):
-            self._learn_words(unknown)
+        """Plain words, also with a sign at the end, need no pattern and are told apart by the string methods alone."""
+        lower = "\n".join(new).lower().split("\n")
+        # flat lists: a tuple per unit would set the garbage collector going
+        single, words_of_single, ended, words_of_ended, several, rest = [], [], [], [], [], []
+        for u, low in zip(new, lower):
+            if not u.isascii() and not PLAIN.fullmatch(u):
+                rest.append(u)
+            elif u.isalpha():
+                single.append(u)
+                words_of_single.append(low)
+            elif u[-1] in SIGNS and u[:-1].isalpha():
+                ended.append(u)
+                words_of_ended.append(low[:-1])
+            elif PLAIN.fullmatch(u):
+                several.append(u)
+            else:
+                rest.append(u)
+        cut = [self.cut(u.lower()) for u in several]
+        unknown = _recalled(set(SIGNS).union(words_of_single, words_of_ended, *cut), self.words, self.old_words)
+        for at in range(0, len(unknown), AT_ONCE):
+            self._learn_words(unknown[at : at + AT_ONCE])
         get = self.words.__getitem__
-        self.units.update((u, get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws))) for u, ws in zip(plain, cut))
+        signs = {sign: get(sign) for sign in SIGNS}
+        self.units.update(zip(single, map(get, words_of_single)))
+        self.units.update(zip(ended, [get(w) + signs[u[-1]] for u, w in zip(ended, words_of_ended)]))
+        self.units.update(zip(several, [b"".join(map(get, ws)) for ws in cut]))
         if rest:
             for u, e in zip(rest, self.library.encode_batch(rest, add_special_tokens=False)):
                 self.units[u] = np.array(e.ids, "<u4").tobytes()
 
-    def _words_of(self, unit: str) -> list[str]:
-        """What the file's pattern cuts a unit into; plain words, also with a sign at the end, need no pattern."""
-        if unit.isalpha():
-            return [unit.lower()]
-        if unit[-1] in ".,!?;:" and unit[:-1].isalpha():
-            return [unit[:-1].lower(), unit[-1]]
-        return self.cut(unit.lower())
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers; null counts as empty."""
         if self.added and (special := {k: t for k, t in enumerate(texts) if t and any(a in t for a in self.added)}):
@@ -99,15 +115,24 @@ class WordBpe:
     def _encode(self, texts: list[str | None]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") if t else [""] for t in texts]
         if len(self.units) > self.remember:
-            self.units = {"": b""}
+            self.units, self.old_units = {"": b""}, self.units
         if len(self.words) > self.remember:
-            self.words = {}
-        if new := list(set().union(*split).difference(self.units)):
+            self.words, self.old_words = {}, self.words
+        if new := _recalled(set().union(*split), self.units, self.old_units):
             self._learn(new)
         get = self.units.__getitem__
         return [b"".join(map(get, units)) for units in split]
 
 
+def _recalled(wanted: set[str], known: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
+    """What of `wanted` is in neither table. What only the old one has comes over: the frequent stays when the old one is dropped."""
+    missing = wanted.difference(known)
+    if old and (again := missing.intersection(old)):
+        known.update((x, old[x]) for x in again)
+        missing -= again
+    return list(missing)
+
+
 def _byte_letters() -> list[str]:
     """The printable letter that byte-level tokenizers write for each byte: itself if visible, else one from U+0100 on."""
     seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
