@@ -120,6 +120,17 @@ def test_thinning_bounds_a_hot_spot(spark):
     assert zones.thin(centres, ["g", "radius_meters"]).count() < 100_000
 
 
+def test_evenly_crowded_places_are_thinned(spark):
+    """Four centres a cell, below the bound of a hot cell: inside the place one centre a cell is left and no edge of it is open."""
+    groups = {"even": scattered(8, 12_000, 13.0), "holes": [p for p in scattered(9, 6_000, 12.0) if math.hypot(p[0] - 100.05, p[1] - 13.05) > 2 * R]}
+    data = [(name, 1000, x, y) for name, centres in groups.items() for x, y in centres]
+    df = spark.createDataFrame(data, "g string, radius_meters int, lon double, lat double")
+    left = zones.thin(zones.distinct_centres(df, ["g"]), ["g", "radius_meters"]).cache()
+    assert left.count() < 0.7 * len(data)
+    assert left.filter(F.col("_hidden") != zones.ALL_EDGES).count() < 0.5 * len(data)
+    assert merged(spark, groups) == pytest.approx(merged(spark, groups, steps=0), rel=1e-9)
+
+
 def test_outline_closes(located):
     pieces = zones.outline(zones.tiers_of(located.select("region_name", "lon", "lat")), ["region_name"])
     sums = pieces.groupBy("region_name", "radius_meters").agg(
