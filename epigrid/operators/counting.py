@@ -1,25 +1,33 @@
 """Counts and nearest distances around facilities without making their pairs.
 
-Cases are counted once per grid cell. A cell that lies wholly between two of the asked radii is added as one number; only the
-cells on a rim, and those that can hold the nearest case, are opened, level by level, down to the cases themselves.
+Cases are counted once per tile of a grid. A tile that lies wholly between two of the asked radii is added as one number; a place goes
+only to the tiles on a rim, and to those that can hold its nearest case, and is counted there in the task that has the tile's cases. What is
+shuffled are cases and places, a bounded number of tiles each, and never their pairs.
 """
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from epigrid import constants
 from epigrid.functions.geo import dist_deg
 from epigrid.operators.joins import at_most, cell_join, neighbours, offset_array
 from epigrid.operators.proximity import within_distance
+from epigrid.operators.tile_counts import tile_counter
 from epigrid.session import cut_lineage
 
 # Cases that a finest cell should hold, the finest level, and the first one that costs less than the pairs.
 WANTED = 8
 FINEST = 10
 WORTH = 2
-# Levels that the search goes down at once.
-DOWN = 2
+# How often a tile halves a cell as wide as the last radius at most, and how many more halvings would leave WANTED cases in it.
+TILES, FULL = 4, 1
+# Places and cases of a tile that a task takes at once; work of a tile by itself, and of a task, in places times rows of a tile;
+# places that a task holds against the tiles around them.
+PLACES, CASES = 100_000, 500_000
+MET_PLACES = 2_000
+TILE_WORK, TASK_WORK = 10_000, 4_000_000
 
 
 def ring_counts(
@@ -80,51 +88,81 @@ def _around_places(
 ) -> DataFrame:
     """(lon, lat, _ring, *by, _n, _near), aggregated, for every place of a facility with a case in reach.
 
-    Sums, products and roots of doubles do not fall when their arguments rise, so the gaps between a place and the corners of a cell's box bound
+    Sums, products and roots of doubles do not fall when their arguments rise, so the gaps between a place and the corners of a tile's box bound
     the computed distances of its cases without any tolerance.
     """
     reach = degrees[-1]
+    halved = min(TILES, depth - FULL)
+    wide, down = side * 2 ** max(0, -halved), max(0, halved)
     spots = cases.filter(_placed()).select(
-        case_id, F.col("lon").alias("case_lon"), F.col("lat").alias("case_lat"), *by,
-        *[F.floor(F.col(c) / F.lit(side / 2**depth)).alias(g) for g, c in (("_cx", "lon"), ("_cy", "lat"))],
+        case_id, F.col("lon").cast("double").alias("case_lon"), F.col("lat").cast("double").alias("case_lat"), *by,
+        *[F.floor(F.col(c) / F.lit(wide / 2**down)).alias(g) for g, c in (("_cx", "lon"), ("_cy", "lat"))],
     )
-    finest = cut_lineage(_with_counts(spots, by), "count-cells")
-    places = facilities.filter(_placed()).select("lon", "lat").distinct()
-    state = (
-        places.withColumns({"_spread": F.xxhash64("lon", "lat"), "_bound": F.lit(math.inf), "_o": F.explode(offset_array(neighbours()))})
-        .withColumns({p: F.floor(F.col(c) / F.lit(side)) + F.col(f"_o.{d}") for p, c, d in (("_px", "lon", "dx"), ("_py", "lat", "dy"))})
-        .drop("_o")
-    )
-    found = []
-    above = 0
-    for level in [*range(0, depth, DOWN), depth]:
-        cells = _coarser_cells(finest, depth - level).withColumns(
-            {p: F.call_function("shiftright", F.col(c), F.lit(level - above)) for p, c in (("_px", "_cx"), ("_py", "_cy"))}
+    tiles = cut_lineage(_with_counts(spots, by), "count-cells")
+    small = at_most(tiles, constants.BROADCAST_ROWS)
+    cells = tiles.withColumns({p: F.call_function("shiftright", F.col(c), F.lit(down)) for p, c in (("_px", "_cx"), ("_py", "_cy"))})
+
+    # by their bytes all places would be put into one task
+    tasks = math.ceil((facilities.count() + 1) / MET_PLACES)
+
+    def meet(places: DataFrame) -> DataFrame:
+        state = (
+            places.repartition(tasks, "lon", "lat").withColumns({"_spread": F.xxhash64("lon", "lat"), "_o": F.explode(offset_array(neighbours()))})
+            .withColumns({p: F.floor(F.col(c) / F.lit(wide)) + F.col(f"_o.{d}") for p, c, d in (("_px", "lon", "dx"), ("_py", "lat", "dy"))})
+            .drop("_o")
         )
-        met = cell_join(state, cells, ["_px", "_py"], "_spread", at_most(cells, constants.BROADCAST_ROWS))
-        pairs = cut_lineage(_judged(met, degrees, nearest), "count-pairs")
-        whole = pairs.filter("NOT _open").select("lon", "lat", F.col("_last").alias("_ring"), F.explode("_counts").alias("_c"))
-        found.append(whole.groupBy("lon", "lat", "_ring", *[F.col(f"_c.{c}").alias(c) for c in by]).agg(F.sum("_c._n").alias("_n")))
-        state = pairs.filter("_open").select("lon", "lat", "_spread", "_bound", F.col("_cx").alias("_px"), F.col("_cy").alias("_py"))
-        if nearest:
-            bounds = pairs.filter(F.col("_bound") <= F.lit(reach)).groupBy("lon", "lat").agg(F.min("_bound").alias("_near"))
-            found.append(bounds.withColumn("_n", F.lit(0).cast("bigint")))
-        above = level
-
-    rim = state.withColumnsRenamed({"_px": "_cx", "_py": "_cy"}).drop("_bound", "_spread")
-    load = finest.select("_cx", "_cy", "_n")
-    tested = (
-        cell_join(spots, rim, ["_cx", "_cy"], case_id, at_most(rim, constants.BROADCAST_ROWS), load)
-        .withColumn("_near", dist_deg("lon", "lat", "case_lon", "case_lat"))
-        .filter(F.col("_near") <= F.lit(reach))
-        .withColumn("_ring", _ring(F.col("_near"), degrees))
+        return _judged(cell_join(state, cells, ["_px", "_py"], "_spread", small), degrees)
+
+    places = facilities.filter(_placed()).select(F.col("lon").cast("double"), F.col("lat").cast("double")).distinct()
+    if nearest:
+        # a case is at most as far as the farthest corner of any tile's box
+        places = cut_lineage(meet(places).groupBy("lon", "lat").agg(F.min("_hi").alias("_bound")), "count-bounds")
+    else:
+        places = places.withColumn("_bound", F.lit(-1.0))
+    met = meet(places)
+    whole = met.filter("NOT _rim").select("lon", "lat", F.col("_last").alias("_ring"), F.explode("_counts").alias("_c"))
+    whole = whole.groupBy("lon", "lat", "_ring", *[F.col(f"_c.{c}").alias(c) for c in by]).agg(F.sum("_c._n").alias("_n"))
+    # a tile that is left closed at its bound is a single spot, and the bound is its distance
+    close = F.col("_lo") < F.col("_bound")
+    opened = met.filter(F.col("_rim") | close).select(
+        "lon", "lat", "_cx", "_cy", "_n", "_rim", F.when(close, F.col("_bound")).otherwise(-1.0).alias("_bound"), F.lit(True).alias("_open")
     )
-    total = tested.groupBy("lon", "lat", "_ring", *by).agg(F.count(F.lit(1)).alias("_n"), F.min("_near").alias("_near"))
-    for part in found:
-        total = total.unionByName(part, allowMissingColumns=True)
+    pairs = cut_lineage(opened, "count-pairs")
+    counted = _counted(pairs, spots, degrees, by, case_id)
+    total = counted.unionByName(whole, allowMissingColumns=True)
+    if nearest:
+        bounds = places.filter(F.col("_bound") <= F.lit(reach)).select("lon", "lat", F.lit(0).cast("bigint").alias("_n"), F.col("_bound").alias("_near"))
+        total = total.unionByName(bounds, allowMissingColumns=True)
     return total.groupBy("lon", "lat", "_ring", *by).agg(F.sum("_n").alias("_n"), F.min("_near").alias("_near"))
 
 
+def _counted(pairs: DataFrame, spots: DataFrame, degrees: list[float], by: tuple[str, ...], case_id: str) -> DataFrame:
+    """The places of each opened tile with its cases, in portions that a task can hold: counts add up over portions."""
+    load = pairs.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_places"), F.max("_n").alias("_cases"))
+    portions = {p: F.ceil(F.col(c) / F.lit(float(most))).cast("int") for p, c, most in (("_pp", "_places", PLACES), ("_cp", "_cases", CASES))}
+    load = cut_lineage(load.withColumns(portions), "count-tiles")
+    work = load.agg(F.sum(F.col("_places") * F.sqrt("_cases")) + F.count(F.lit(1)) * TILE_WORK, F.sum(F.col("_pp") * F.col("_cp"))).first()
+    tasks = max(1, min(math.ceil((work[0] or 0) / TASK_WORK), work[1] or 0))
+    load = load.select("_cx", "_cy", "_pp", "_cp")
+    if at_most(load, constants.BROADCAST_ROWS):
+        load = F.broadcast(load)
+    key = ["_cx", "_cy", "_ps", "_cs"]
+
+    def dealt(df: DataFrame, by_hash: tuple[str, str, list[str]], copied: tuple[str, str], columns: list[str]) -> DataFrame:
+        name, parts, spread = by_hash
+        salted = df.join(load, ["_cx", "_cy"]).withColumn(name, F.pmod(F.xxhash64(*spread), F.col(parts)).cast("int"))
+        copies = salted.withColumn(copied[0], F.explode(F.sequence(F.lit(0), F.col(copied[1]) - F.lit(1))))
+        return copies.select(*key, *columns).repartition(tasks, *key)
+
+    left = dealt(pairs, ("_ps", "_pp", ["lon", "lat"]), ("_cs", "_cp"), ["lon", "lat", "_rim", "_bound"])
+    right = dealt(spots, ("_cs", "_cp", [case_id]), ("_ps", "_pp"), ["case_lon", "case_lat", *by])
+    kinds = [("lon", "double"), ("lat", "double"), ("_ring", "integer"), *[(c, spots.schema[c].dataType) for c in by], ("_n", "long"), ("_near", "double")]
+    schema = StructType()
+    for name, kind in kinds:
+        schema = schema.add(name, kind)
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(tile_counter(degrees, by), schema)
+
+
 def _with_counts(spots: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """The occupied cells with the box of their cases, their number `_n`, and the numbers per value of `by` as a list."""
     corners = [f(c).alias(n) for f, c, n in (
@@ -134,17 +172,6 @@ def _with_counts(spots: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return _joined(per_value, F.struct(*by, "_n"))
 
 
-def _coarser_cells(finest: DataFrame, up: int) -> DataFrame:
-    """The cells 2^up times as wide. A shift rounds down for negative numbers too."""
-    if not up:
-        return finest
-    shifted = finest.withColumns({c: F.call_function("shiftright", F.col(c), F.lit(up)) for c in ("_cx", "_cy")})
-    values = finest.schema["_counts"].dataType.elementType.names[:-1]
-    exploded = shifted.withColumn("_c", F.explode("_counts")).select("_cx", "_cy", "x0", "y0", "x1", "y1", "_c.*")
-    per_value = exploded.groupBy("_cx", "_cy", *values).agg(*_hull(), F.sum("_n").alias("_n"))
-    return _joined(per_value, F.struct(*values, "_n"))
-
-
 def _joined(per_value: DataFrame, entry: Column) -> DataFrame:
     return per_value.groupBy("_cx", "_cy").agg(*_hull(), F.sum("_n").alias("_n"), F.collect_list(entry).alias("_counts"))
 
@@ -153,11 +180,9 @@ def _hull() -> list[Column]:
     return [f(c).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))]
 
 
-def _judged(met: DataFrame, degrees: list[float], nearest: bool) -> DataFrame:
-    """Pairs of a place and a cell in reach: the ring `_last` of its farthest corner, and whether the cell must be opened.
-
-    It must be if its cases can lie in different rings, or one of them nearer than the farthest corner of any other cell (`_bound`).
-    """
+def _judged(met: DataFrame, degrees: list[float]) -> DataFrame:
+    """Pairs of a place and a tile in reach: the gaps `_lo` and `_hi` to its nearest and farthest corner, the ring `_last` of the latter, and
+    whether its cases can lie in different rings (`_rim`)."""
     lon, lat = F.col("lon"), F.col("lat")
     dx = F.greatest(F.col("x0") - lon, lon - F.col("x1"), F.lit(0.0))
     dy = F.greatest(F.col("y0") - lat, lat - F.col("y1"), F.lit(0.0))
@@ -165,13 +190,7 @@ def _judged(met: DataFrame, degrees: list[float], nearest: bool) -> DataFrame:
     high = F.greatest(F.abs(lat - F.col("y0")), F.abs(lat - F.col("y1")))
     pairs = met.withColumns({"_lo": F.sqrt(dx * dx + dy * dy), "_hi": F.sqrt(wide * wide + high * high)})
     pairs = pairs.filter(F.col("_lo") <= F.lit(degrees[-1])).withColumn("_last", _ring(F.col("_hi"), degrees))
-    open_ = ~_ring(F.col("_lo"), degrees).eqNullSafe(F.col("_last"))
-    if nearest:
-        bound = F.least(F.col("_bound"), F.min("_hi").over(Window.partitionBy("lon", "lat")))
-        pairs = pairs.withColumn("_bound", bound)
-        open_ = open_ | (F.col("_lo") < F.col("_bound"))
-    kept = ["lon", "lat", "_spread", "_bound", "_cx", "_cy", "_n", "_counts", "_last"]
-    return pairs.select(*kept, open_.alias("_open"))
+    return pairs.withColumn("_rim", ~_ring(F.col("_lo"), degrees).eqNullSafe(F.col("_last")))
 
 
 def _ring(dist: Column, degrees: list[float]) -> Column:
