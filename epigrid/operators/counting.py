@@ -23,6 +23,8 @@ FINEST = 10
 WORTH = 2
 # How often a tile halves a cell as wide as the last radius at most, and how many more halvings would leave WANTED cases in it.
 TILES, FULL = 4, 1
+# Tiles that are few, and cases that make up for more of them.
+FEW_TILES, FULL_TILE = 4_000, 2_000
 # Places and cases of a tile that a task takes at once; work of a tile by itself, and of a task, in places times rows of a tile;
 # places that a task holds against the tiles around them.
 PLACES, CASES = 100_000, 500_000
@@ -71,11 +73,26 @@ def count_depth(cases: DataFrame, side: float) -> int:
 
     One pass over the cases; the driver sees one row.
     """
+    depth = min(FINEST, math.floor(math.log(_crowd(cases, side)[0] / WANTED, 4)))
+    return depth if depth >= WORTH else 0
+
+
+def _crowd(cases: DataFrame, side: float) -> tuple[float, int]:
+    """How many cases a case finds in its cell of this side on average, itself included, and how many cells are occupied."""
     cells = cases.filter(_placed()).groupBy(F.floor(F.col("lon") / F.lit(side)), F.floor(F.col("lat") / F.lit(side))).count()
     n = F.col("count").cast("double")
-    crowd = cells.agg(F.sum(n * n) / F.sum(n)).first()[0] or 1.0
-    depth = min(FINEST, math.floor(math.log(crowd / WANTED, 4)))
-    return depth if depth >= WORTH else 0
+    crowd, occupied = cells.agg(F.sum(n * n) / F.sum(n), F.count(F.lit(1))).first()
+    return crowd or 1.0, occupied
+
+
+def _halvings(cases: DataFrame, side: float, depth: int) -> int:
+    """How often to halve a cell of this side for the tiles, below zero to double it: a tile costs a task some milliseconds by itself, so
+    there are few of them unless each has many cases."""
+    crowd, occupied = _crowd(cases, side)
+    halved = min(TILES, depth - FULL)
+    while occupied * 4.0**halved > FEW_TILES and crowd / 4.0**halved < FULL_TILE:
+        halved -= 1
+    return halved
 
 
 def _placed() -> Column:
@@ -92,7 +109,7 @@ def _around_places(
     the computed distances of its cases without any tolerance.
     """
     reach = degrees[-1]
-    halved = min(TILES, depth - FULL)
+    halved = _halvings(cases, side, depth)
     wide, down = side * 2 ** max(0, -halved), max(0, halved)
     spots = cases.filter(_placed()).select(
         case_id, F.col("lon").cast("double").alias("case_lon"), F.col("lat").cast("double").alias("case_lat"), *by,
