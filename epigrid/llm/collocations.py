@@ -9,8 +9,9 @@ The filters are dealt by the first bits of the quotient; those of one range are
 frequent enough is turned back into its words.
 
 A filter holds every phrase once per chunk, however often it occurs, and ranges follow the number of words of the table, so neither a
-hot phrase nor a hot language makes a large group; what all tasks hold is bounded by the chunk or the range. Nothing but numbers of
-rows goes through the driver, and no table is broadcast.
+hot phrase nor a hot language makes a large group; what all tasks hold is bounded by the chunk or the range. The keys of a chunk are
+made, sorted and counted for one block of them at a time, and open chunks count together, however many languages there are. Nothing
+but numbers of rows goes through the driver, and no table is broadcast.
 
 Null texts have no words; a null language counts as `und`. Ids are not read: repeated rows and documents count each for itself.
 Further columns are not read either. A document longer than a chunk is a chunk of its own. An empty table gives no rows.
@@ -27,16 +28,22 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from epigrid.llm.common import shards_for
-from epigrid.session import cut_lineage
+from epigrid.llm.common import giving_back, shards_for
+from epigrid.session import cut_lineage, small_batches
 
 LONGEST = 4
 #: Bytes of text in a chunk; occurrences for each of which a range of keys is made; bits of the key by which one step splits ranges.
 CHUNK_BYTES = 8 << 20
 PER_RANGE = 1_000_000
 STEP_BITS = 10
+#: Chunks' worth of text in all open chunks of a task; different words of a chunk; keys of a chunk that are sorted at a time.
+OPEN_CHUNKS = 4
+CHUNK_WORDS = 400_000
+PER_BLOCK = 1 << 19
 #: Phrases of a language that are ranked among themselves first.
 PER_RANKING = 100_000
+#: Rows of a row group of the table of chunks; the size of a page is looked at after every row.
+CHUNK_ROWS = {"parquet.block.row.count.limit": "4", "parquet.page.size.row.check.min": "1"}
 BREAK = b"\xff"  # no byte of UTF-8
 #: A-Z to lower case; signs that end a piece to the break; white space inside a piece to spaces.
 _TABLE = bytes(
@@ -53,11 +60,15 @@ def marked_words(raw: bytes) -> list[bytes]:
 
 def chunks(docs: DataFrame, lang_column: str, text_column: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(chunk, lang, words, counts, codes): words of some texts of one language, their counts, and the texts as the words'
-    numbers from 1 on, 0 for a break, as little-endian 32-bit numbers."""
+    numbers from 1 on, 0 for a break, as little-endian 32-bit numbers.
+
+    A chunk ends when it is full; if there are many languages, the largest one ends when all together hold too much.
+    """
 
     def run(batches):
         numbers = count(TaskContext.get().partitionId() << 33)
         open_chunks: dict[str, _Chunk] = {}
+        held = 0
         for batch in batches:
             langs = batch.column(0).to_pylist()
             texts = batch.column(1)
@@ -69,36 +80,44 @@ def chunks(docs: DataFrame, lang_column: str, text_column: str, chunk_bytes: int
                 if chunk is None:
                     chunk = open_chunks[lang] = _Chunk()
                 chunk.add(raw.to_pybytes())
-                if chunk.size >= chunk_bytes:
-                    yield open_chunks.pop(lang).row(next(numbers), lang)
+                held += raw.size
+                if chunk.size >= chunk_bytes or len(chunk.number) > CHUNK_WORDS:
+                    full = lang
+                elif held > OPEN_CHUNKS * chunk_bytes:
+                    full = max(open_chunks, key=lambda k: open_chunks[k].size)
+                else:
+                    continue
+                held -= open_chunks[full].size
+                yield open_chunks.pop(full).row(next(numbers), full)
         for lang, chunk in open_chunks.items():
             yield chunk.row(next(numbers), lang)
 
     picked = docs.select(F.coalesce(F.col(lang_column).cast("string"), F.lit("und")), F.col(text_column).cast("string"))
-    return picked.mapInArrow(run, "chunk long, lang string, words array<string>, counts array<long>, codes binary")
+    return picked.mapInArrow(giving_back(run), "chunk long, lang string, words array<string>, counts array<long>, codes binary")
 
 
 class _Chunk:
     def __init__(self):
         self.number: defaultdict[bytes, int] = defaultdict(count(1).__next__)
         self.number[BREAK] = 0
-        self.codes: list[np.ndarray] = []
+        self.codes = bytearray()
         self.size = 0
 
     def add(self, raw: bytes) -> None:
         words = marked_words(raw)
-        self.codes.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
-        self.codes.append(np.zeros(1, np.int32))
+        self.codes += np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)).tobytes()
+        self.codes += bytes(4)
         self.size += len(raw)
 
     def row(self, number: int, lang: str) -> pa.RecordBatch:
-        codes = np.concatenate(self.codes)
-        words = [w.decode() for w in self.number if w != BREAK]  # in the order of their numbers, without the break
-        counts = np.bincount(codes, minlength=len(words) + 1)[1:]
+        words = pa.array([w for w in self.number if w != BREAK], pa.binary()).cast(pa.string())  # by their numbers, without the break
+        counts = np.bincount(np.frombuffer(self.codes, np.int32), minlength=len(words) + 1)[1:]
+        ends = pa.array([0, len(words)], pa.int32())
+        codes = pa.Array.from_buffers(pa.binary(), 1, [None, pa.array([0, len(self.codes)], pa.int32()).buffers()[1], pa.py_buffer(self.codes)])
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([number], pa.int64()), pa.array([lang], pa.string()), pa.array([words], pa.list_(pa.string())),
-                pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([codes.tobytes()], pa.binary()),
+                pa.array([number], pa.int64()), pa.array([lang], pa.string()), pa.ListArray.from_arrays(ends, words),
+                pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())), codes,
             ],
             names=["chunk", "lang", "words", "counts", "codes"],
         )
@@ -158,10 +177,19 @@ class Keys:
         return high, low
 
     def order(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
-        """Rows in key order; short keys are sorted as one number."""
+        """Rows in key order; short keys are sorted as one number, of long ones only the few with a shared first half by both."""
         if 2 * self.half <= 64:
-            return np.argsort(high << np.uint64(self.half) | low, kind="stable")
-        return np.lexsort((low, high))
+            return np.argsort(high << np.uint64(self.half) | low)
+        order = np.argsort(high)
+        first, second = high[order], low[order]
+        mixed = (first[1:] == first[:-1]) & (second[1:] != second[:-1])
+        if mixed.any():
+            shared = np.zeros(len(first), bool)
+            for half in np.unique(first[1:][mixed]):
+                shared[np.searchsorted(first, half) : np.searchsorted(first, half, "right")] = True
+            rows = order[shared]
+            order[shared] = rows[np.lexsort((low[rows], high[rows]))]
+        return order
 
 
 class QuotientFilter:
@@ -252,34 +280,44 @@ class QuotientFilter:
         return cls(keys, filters[0].lead, high[heads], low[heads], np.add.reduceat(counts[order], heads))
 
 
-def chunk_phrases(codes: np.ndarray, number: np.ndarray, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
-    """Different runs of 2 to `longest` frequent words, as rows of `longest` numbers, and their counts.
+def _phrase_keys(at: np.ndarray, start: np.ndarray, n: int, keys: Keys) -> tuple[np.ndarray, np.ndarray]:
+    """Permuted keys of the runs of n words that begin at the given places."""
+    rows = np.zeros((LONGEST, len(start)), np.uint64)
+    for k in range(n):
+        rows[k] = at[start + k]
+    return keys.permute(*keys.pack(rows))
+
+
+def chunk_filters(codes: np.ndarray, number: np.ndarray, keys: Keys, lead: int, shard: int) -> Iterator[pa.RecordBatch]:
+    """Rows of `dealt` with every run of 2 to LONGEST frequent words of a chunk, from some ranges of keys at a time.
 
     codes: words of the chunk, 0 for breaks; number: of each word across all chunks, 0 if it is not frequent.
     """
-    here = np.flatnonzero(number)
-    local = np.zeros(len(number), np.uint64)
-    local[here] = np.arange(1, len(here) + 1)
-    bits = max(1, len(here).bit_length())
-    at = local[codes]
+    at = number.astype(np.uint32)[codes]
     good = at > 0
-    key, found, counts = at, [], []
-    single = longest * bits <= 64
-    for n in range(2, longest + 1):
-        good = good[:-1] & (at[n - 1 :] > 0)
-        start = np.flatnonzero(good)
-        if single:
-            key = (key[:-1] << np.uint64(bits)) | at[n - 1 :]
-            different, times = np.unique(key[start], return_counts=True)
-            one = np.uint64((1 << bits) - 1)
-            rows = np.stack([(different >> np.uint64(bits * (n - 1 - k))) & one for k in range(n)])
-        else:  # a chunk with very many different words
-            rows, times = np.unique(np.stack([at[start + k] for k in range(n)]), axis=1, return_counts=True)
-        full = np.zeros((longest, rows.shape[1]), np.int64)
-        full[:n] = number[here[rows.astype(np.int64) - 1]] if rows.size else 0
-        found.append(full)
-        counts.append(times)
-    return np.concatenate(found, axis=1), np.concatenate(counts)
+    long = good.astype(np.uint8)  # words of the longest such run from each place on
+    for n in range(1, LONGEST):
+        good = good[:-1] & (at[n:] > 0)
+        long[: len(good)] += good
+    lengths = range(2, LONGEST + 1)
+    runs = sum(int(np.count_nonzero(long >= n)) for n in lengths)
+    bits = min(lead, 8, (shards_for(runs, PER_BLOCK) - 1).bit_length())
+    blocks = np.zeros((len(lengths), len(at) if bits else 0), np.uint8)  # the first bits of each run's key
+    if bits:
+        for n in lengths:
+            for begin in range(0, len(at), PER_BLOCK):
+                start = np.flatnonzero(long[begin : begin + PER_BLOCK] >= n) + begin
+                blocks[n - 2, start] = _phrase_keys(at, start, n, keys)[0] >> np.uint64(keys.half - bits)
+    for block in range(1 << bits):
+        found = []
+        for n in lengths:
+            here = long >= n
+            found.append(_phrase_keys(at, np.flatnonzero(here & (blocks[n - 2] == block) if bits else here), n, keys))
+        high, low = (np.concatenate(halves) for halves in zip(*found))
+        del found
+        if len(high):
+            whole = QuotientFilter.merged([QuotientFilter(keys, 0, high, low, np.ones(len(high), np.int64))])
+            yield whole.dealt(lead, shard)
 
 
 def range_steps(occurrences: int, keys: Keys) -> list[int]:
@@ -291,9 +329,9 @@ def range_steps(occurrences: int, keys: Keys) -> list[int]:
 def filters(chunk_table: DataFrame, named: DataFrame, keys: Keys, lead: int, shards: int) -> DataFrame:
     """(first, shard, filter): a packed filter per chunk and range of keys; chunks are dealt to `shards` by a hash."""
     words = chunk_table.select("chunk", "lang", F.posexplode("words").alias("at", "word"))
-    numbers = words.join(named, ["lang", "word"]).groupBy("chunk").agg(
-        F.collect_list(F.struct(F.col("at").cast("long").alias("at"), "g")).alias("numbers")  # one for each word of the chunk at most
-    )
+    # one for each word of the chunk at most; place and number in one long, since the lists stand in the executor's heap
+    placed = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("g"))
+    numbers = words.join(named, ["lang", "word"]).groupBy("chunk").agg(F.collect_list(placed).alias("numbers"))
     texts = chunk_table.select("chunk", F.size("words").alias("size"), "codes").join(numbers, "chunk")
     shard = F.pmod(F.xxhash64("chunk"), F.lit(shards)).cast("int").alias("shard")
 
@@ -301,16 +339,12 @@ def filters(chunk_table: DataFrame, named: DataFrame, keys: Keys, lead: int, sha
         for batch in batches:
             for i in range(batch.num_rows):
                 number = np.zeros(batch.column("size")[i].as_py() + 1, np.int64)
-                at, g = batch.column("numbers")[i].values.flatten()
-                number[at.to_numpy() + 1] = g.to_numpy()
+                placed = batch.column("numbers")[i].values.to_numpy()
+                number[(placed >> 32) + 1] = placed & 0xFFFFFFFF
                 codes = np.frombuffer(batch.column("codes")[i].as_buffer(), np.int32)
-                phrases, counts = chunk_phrases(codes, number)
-                high, low = keys.permute(*keys.pack(phrases))
-                order = keys.order(high, low)
-                whole = QuotientFilter(keys, 0, high[order], low[order], counts[order])
-                yield whole.dealt(lead, batch.column("shard")[i].as_py())
+                yield from chunk_filters(codes, number, keys, lead, batch.column("shard")[i].as_py())
 
-    return texts.select("size", "codes", "numbers", shard).mapInArrow(run, "first int, shard int, filter binary")
+    return texts.select("size", "codes", "numbers", shard).mapInArrow(giving_back(run), "first int, shard int, filter binary")
 
 
 def _merged(rows: pa.Table, keys: Keys, lead: int) -> QuotientFilter:
@@ -406,7 +440,9 @@ def mine(
     docs: DataFrame, least: int = 30, percent: int = 80, top: int = 2000, lang_column: str = "lang", text_column: str = "text"
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best phrases of each language."""
-    chunk_table = cut_lineage(chunks(docs, lang_column, text_column), "word-chunks")
+    small_batches(docs.sparkSession)
+    # a row is a chunk: Parquet's writer and reader hold some of them at once, not as many as a task has
+    chunk_table = cut_lineage(chunks(docs, lang_column, text_column), "word-chunks", CHUNK_ROWS)
     named, lengths, words, total = numbered_words(chunk_table, least)
     keys = Keys(words)
     steps = range_steps((LONGEST - 1) * total, keys)

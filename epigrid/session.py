@@ -70,12 +70,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def cut_lineage(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
+def cut_lineage(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back; `options` are further ones of the Parquet writer.
 
     The rest of a query then starts from stored rows: its plan stays small and a lost executor costs a read, not a
     recomputation. The stored tables stay until the owner of the folder cleans it.
     """
     path = f"{shared_folder(df.sparkSession)}/epigrid-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
