@@ -21,6 +21,16 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def views_end_with_their_test(request):
+    """Temporary views live as long as the session, which all tests share."""
+    yield
+    if "spark" in request.fixturenames:
+        session = request.getfixturevalue("spark")
+        for view in session.sql("SHOW VIEWS IN default").filter("isTemporary").collect():
+            session.catalog.dropTempView(view["viewName"])
+
+
 @pytest.fixture(scope="session")
 def small(spark):
     return fixture_tables(spark)
